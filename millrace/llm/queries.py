@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .language import language_id
+from .minhash import NearConfig, near_duplicates
 from .mixing import mix_sources
 from .tables import read
+from .toxicity import toxicity
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +16,21 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources}
+def op3_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document: size of its set of 4-word shingles, its component, and whether it is the one kept."""
+    return near_duplicates(read(spark, sf_dir, "documents"), NearConfig(shingle=4))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document: its score and prediction, learned from labels outside the held-out fold."""
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document: its predicted language, learned outside the held-out fold."""
+    return language_id(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_mix_sources": op1_mix_sources, "op3_minhash_near_duplicates": op3_minhash_near_duplicates, "op7_toxicity": op7_toxicity, "op8_language_id": op8_language_id}
 
 ORACLE_SQL: dict[str, str] = {}
