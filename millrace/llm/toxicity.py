@@ -1,15 +1,19 @@
 """Operator 7: toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-The kernel of two words sums, over all letter triples that both hold as subsequences, decay ** span of each occurrence.
-Spans reach over REACH letters, so a word with letters put in between, left out or repeated still shares triples with
-the plain one; digits stand for the letters they look like and punctuation inside a word is passed over. Landmarks are
-words of the labelled texts; the Nyström map sends a word to its kernel values with the landmarks, whitened. A linear
-support vector machine on that map is trained with a text's most toxic word standing for the text, which is chosen
-anew after every fit, and with the words that only toxic texts hold far beyond chance, against all words of clean texts, the hardest first. As the kernel is a sum over triples, the
-trained machine folds into one weight per triple, so that scoring is a table lookup and no landmark is touched again.
-A text's score is a logistic function of its highest word value, fitted on labelled texts.
-
-Null and empty texts, and texts without letters, get the score of a text with no toxic word. Without labels of both
+The string kernel of two words sums, over all letter triples that both hold as subsequences, decay ** span of each
+occurrence, divided by the words' own norms; the kernel of the machine is a Gaussian of the distance it gives. Spans
+reach over REACH letters, so a word with letters put in between, left out or repeated still shares triples with the
+plain one; digits stand for the letters they look like and punctuation inside a word is passed over. Landmarks are
+words of the labelled texts: the telling ones, and the clean words nearest to them. The Nyström map sends a word to
+its kernel values with the landmarks, whitened. A linear support vector machine on that map is trained with a text's
+most toxic word standing for the text, which is chosen anew after every fit, and with the words that only toxic texts
+hold, far beyond chance, against the words of clean texts.
+
+Only a word that comes near a telling landmark can make a text toxic. A bound on its string kernel with all of them,
+which is one table lookup for each triple, finds those words (ToxicConfig.near); the others have the lowest value.
+A text's score is a logistic function of its highest word value, fitted on labelled texts kept out of the machine.
+
+Null and empty texts, and texts without letters, get the score of a text with no such word. Without labels of both
 kinds every score is 0. Repeated rows are scored each.
 """
 
@@ -34,11 +38,13 @@ TRIPLES = SYMBOLS**3
 @dataclass(frozen=True)
 class ToxicConfig:
     each: int = 2500  #: labelled rows of either label to learn from, the bound of the sample
-    landmarks: int = 96
-    decay: float = 0.7
-    rounds: int = 5
-    negatives: int = 20_000  #: words of clean texts in a fit, drawn anew and joined by the hardest
-    cost: float = 1000.0
+    telling: int = 128  #: landmarks among the words of toxic texts
+    clean: int = 64  #: landmarks among the words of clean texts
+    decay: float = 0.8
+    gamma: float = 2.0  #: of the Gaussian
+    near: float = 0.55  #: string kernel with a telling landmark that a word must be able to reach
+    rounds: int = 4
+    cost: float = 30.0
     gapped: int = 2  #: copies of each toxic word with one letter put in, which the machine learns beside it
     seed: int = 7
 
@@ -78,69 +84,98 @@ def norms(lengths: np.ndarray, decay: float) -> np.ndarray:
 
 @dataclass
 class ToxicModel:
-    weights: np.ndarray  #: for each triple
+    config: ToxicConfig
+    reach: np.ndarray  #: for each triple its greatest part in a telling landmark
+    table: np.ndarray  #: triples x landmarks
+    slots: np.ndarray  #: for each triple its row of table
+    weights: np.ndarray  #: for each landmark
     bias: float
-    decay: float
+    floor: float
     slope: float
     shift: float
 
-    def word_values(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def near(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The words that may come near a telling landmark."""
         if not len(begin):
-            return np.zeros(0)
-        total = np.zeros(len(symbols))
+            return np.zeros(0, np.int64)
+        total = np.zeros(len(symbols), np.float32)
         for span, codes, inside in triples(symbols, begin, end):
-            total += self.weights[codes] * (self.decay**span * inside)
-        sums = np.add.reduceat(total, begin)
-        norm = norms(end - begin, self.decay)
-        return np.where(norm > 0, sums / np.maximum(norm, 1e-9), 0.0) + self.bias
+            total += self.reach[codes] * (np.float32(self.config.decay**span) * inside)
+        bound = np.add.reduceat(total, begin)
+        return np.flatnonzero(bound >= self.config.near * np.maximum(norms(end - begin, self.config.decay), 1e-9))
+
+    def word_values(self, words: list[bytes]) -> np.ndarray:
+        return gaussian(string_kernel(words, self.table, self.slots, self.config.decay), self.config.gamma) @ self.weights + self.bias
 
     def text_values(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The highest word value of each text; a text without words has that of a word without triples."""
+        """The highest word value of each text."""
         symbols, first = stream(raw, at, digits=True)
         begin, end = word_places(symbols)
-        values = self.word_values(symbols, begin, end)
-        out = np.full(len(at) - 1, self.bias)
-        place = np.searchsorted(begin, first)
-        some = np.flatnonzero(place[1:] > place[:-1])
-        if len(some):
-            out[some] = np.maximum.reduceat(values, place[some])
-        return np.maximum(out, self.bias)
+        out = np.full(len(at) - 1, self.floor)
+        near = self.near(symbols, begin, end)
+        if len(near):
+            data = symbols.tobytes()
+            words = [data[i:j] for i, j in zip(begin[near], end[near])]
+            number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+            values = self.word_values(list(number))[[number[w] for w in words]]
+            np.maximum.at(out, np.searchsorted(first, begin[near], "right") - 1, values)
+        return out
 
     def scores(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.text_values(raw, at) + self.shift, -30, 30)))
 
 
+def _no_model(config: ToxicConfig) -> ToxicModel:
+    return ToxicModel(config, np.zeros(TRIPLES, np.float32), np.zeros((1, 0)), np.zeros(TRIPLES, np.int64), np.zeros(0), 0.0, 0.0, 0.0, -1e3)
+
+
 def _features(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of words given as symbols: (word, triple, weight) of all their triples, weights divided by the word's norm."""
+    """Of words given as symbols: (word, triple, weight), each triple of a word once and each word's weights with norm 1."""
     symbols = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
     begin, end = word_places(symbols)
     owner = np.zeros(len(symbols), np.int64)
     owner[begin] = 1
     owner = np.cumsum(owner) - 1
-    norm = np.maximum(norms(end - begin, decay), 1e-9)
-    who, what, weight = [], [], []
+    keys, weights = [], []
     for span, codes, inside in triples(symbols, begin, end):
         where = np.flatnonzero(inside)
-        who.append(owner[where])
-        what.append(codes[where])
-        weight.append(decay**span / norm[owner[where]])
-    return np.concatenate(who), np.concatenate(what), np.concatenate(weight)
+        keys.append(owner[where] * TRIPLES + codes[where])
+        weights.append(np.full(len(where), decay**span))
+    keys, back = np.unique(np.concatenate(keys), return_inverse=True)
+    weights = np.bincount(back, np.concatenate(weights), len(keys))
+    who, what = keys // TRIPLES, keys % TRIPLES
+    norm = np.sqrt(np.bincount(who, weights**2, len(words)))
+    return who, what, weights / norm[who]
 
 
-def _kernel(words: list[bytes], table: np.ndarray, decay: float) -> np.ndarray:
-    """Kernel values of words with the landmarks whose triples are the columns of table."""
+def string_kernel(words: list[bytes], table: np.ndarray, slots: np.ndarray, decay: float) -> np.ndarray:
+    """Normalised kernel values of words with the landmarks that are the columns of table."""
     out = np.zeros((len(words), table.shape[1]))
     for low in range(0, len(words), 4096):
         who, what, weight = _features(words[low : low + 4096], decay)
-        order = np.argsort(who, kind="stable")
-        if not len(order):
-            continue
-        who, rows = who[order], table[what[order]] * weight[order, None]
-        first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
-        out[low + who[first]] = np.add.reduceat(rows, first, axis=0)
+        used = slots[what] > 0
+        who, what, weight = who[used], what[used], weight[used]
+        if len(who):
+            first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
+            out[low + who[first]] = np.add.reduceat(table[slots[what]] * weight[:, None], first, axis=0)
     return out
 
 
+def gaussian(kernel: np.ndarray, gamma: float) -> np.ndarray:
+    return np.exp(-2 * gamma * (1 - kernel))
+
+
+def _landmarks(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray]:
+    """(table, slots) of landmarks; row 0 of the table is of triples that no landmark has."""
+    who, what, weight = _features(words, decay)
+    used = np.unique(what)
+    slots = np.zeros(TRIPLES, np.int64)
+    slots[used] = 1 + np.arange(len(used))
+    table = np.zeros((len(used) + 1, len(words)))
+    table[slots[what], who] = weight
+    return table, slots
+
+
 def _machine(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
     """Linear support vector machine with squared hinge loss, by Newton steps; the last column of x is 1. Both labels weigh alike."""
     w, weight = np.zeros(x.shape[1]), np.where(y > 0, cost / max(1, (y > 0).sum()), cost / max(1, (y < 0).sum())) * len(y) / 100
@@ -158,7 +193,7 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
 def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> ToxicModel:
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
-        return ToxicModel(np.zeros(TRIPLES), 0.0, config.decay, 0.0, -30.0)
+        return _no_model(config)
     number: dict[bytes, int] = {}
     owned: list[np.ndarray] = []
     for text in texts:
@@ -166,47 +201,70 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
         symbols, _ = stream(raw, np.array([0, len(raw)]), digits=True)
         owned.append(np.array(sorted({number.setdefault(w, len(number)) for w in symbols.tobytes().split(b"\0") if len(w) >= 3}), np.int64))
     words = list(number)
+    # near copies count once: of texts whose long words have the same least hash and label the first stays
+    long = np.array([len(w) >= 6 for w in words], bool)
+    rank = V.mix(np.arange(len(words), dtype=V.U64))
+    first: dict[tuple, int] = {}
+    for i, mine in enumerate(owned):
+        own = rank[mine[long[mine]]]
+        first.setdefault((int(own.min()), int(y[i])) if len(own) else (i, -1), i)
+    stay = sorted(first.values())
+    owned, y = [owned[i] for i in stay], y[stay]
+    if y.min() == y.max():
+        return _no_model(config)
+    # every fourth text has no part in the fit; they show how high clean texts come
+    apart_y, apart_texts = y[3::4], owned[3::4]
+    fit = [i for i in range(len(y)) if i % 4 != 3]
+    owned, y = [owned[i] for i in fit], y[fit]
+    if y.min() == y.max():
+        return _no_model(config)
     in_toxic, in_clean = np.zeros(len(words)), np.zeros(len(words))
     for mine, label in zip(owned, y):
         (in_toxic if label else in_clean)[mine] += 1
     gain = np.log((in_toxic + 0.5) / ((y == 1).sum() + 1)) - np.log((in_clean + 0.5) / ((y == 0).sum() + 1))
     random = np.random.RandomState(config.seed)
-    telling = np.argsort(-gain * np.sqrt(in_toxic), kind="stable")[: config.landmarks * 2 // 3]
-    common = np.argsort(-in_clean, kind="stable")
-    common = common[~np.isin(common, telling)][: config.landmarks - len(telling)]
-    marks = [words[i] for i in np.concatenate([telling, common])]
-    table = np.zeros((TRIPLES, len(marks)), np.float32)
-    who, what, weight = _features(marks, config.decay)
-    np.add.at(table, (what, who), weight)
-    gram = _kernel(marks, table, config.decay)
-    level, axes = np.linalg.eigh((gram + gram.T) / 2)
+    pull = np.where((in_toxic > 0) & (gain > 0), gain * np.sqrt(in_toxic), 0.0)
+    telling = np.argsort(-pull, kind="stable")[: config.telling]
+    marks = [words[i] for i in telling]
+    table, slots = _landmarks(marks, config.decay)
+    model = _no_model(config)
+    model.reach[slots > 0] = table[slots[slots > 0]].max(axis=1)
+    # only words that may come near a telling landmark count from here on
+    symbols = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
+    near = model.near(symbols, *word_places(symbols))
+    place = np.full(len(words), -1)
+    place[near] = np.arange(len(near))
+    clean = np.flatnonzero(in_clean[near] > 0)
+    close = string_kernel([words[near[i]] for i in clean], table, slots, config.decay).max(axis=1, initial=0)
+    marks += [words[near[i]] for i in clean[np.argsort(-close, kind="stable")[: config.clean]] if words[near[i]] not in set(marks)]
+    table, slots = _landmarks(marks, config.decay)
+    level, axes = np.linalg.eigh(gaussian(string_kernel(marks, table, slots, config.decay), config.gamma))
     good = level > 1e-6 * level.max()
     white = axes[:, good] / np.sqrt(level[good])
 
-    pool = np.flatnonzero(in_clean > 0)
-    toxic = [mine for mine, label in zip(owned, y) if label and len(mine)]
-    need = np.unique(np.concatenate([*toxic, pool])) if toxic else pool
-    place = np.full(len(words), -1)
-    place[need] = np.arange(len(need))
-    x = np.column_stack([_kernel([words[i] for i in need], table, config.decay) @ white, np.ones(len(need))])
-    value = (gain * np.sqrt(in_toxic))[need]
-    w = np.zeros(x.shape[1])
-    pool = place[pool]
-    # words that stand in so many toxic texts that chance, at the share of toxic texts, leaves none of all words
-    sure = place[np.flatnonzero((gain > 2) & (in_toxic * -np.log(np.mean(y)) > np.log(100 * len(words))))]
-    for turn in range(config.rounds):
-        plus = np.concatenate([[place[mine][np.argmax(value[place[mine]])] for mine in toxic], np.repeat(sure, max(1, len(toxic) // max(1, len(sure))))]).astype(np.int64)
-        minus = random.choice(pool, min(len(pool), config.negatives), replace=False)
-        if turn:
-            minus = np.unique(np.concatenate([minus, pool[np.argsort(-value[pool], kind="stable")[: config.negatives]]]))
-        apart = sorted({w[:k] + bytes([random.randint(1, 27)]) + w[k:] for w in (words[need[i]] for i in np.unique(plus)) for k in random.randint(1, len(w), config.gapped)})
-        gapped = np.column_stack([_kernel(apart, table, config.decay) @ white, np.ones(len(apart))])
-        rows = np.concatenate([plus, minus])
-        w = _machine(np.concatenate([x[rows], gapped]), np.concatenate([np.ones(len(plus)), -np.ones(len(minus)), np.ones(len(apart))]), config.cost)
+    def mapped(some):
+        return np.column_stack([gaussian(string_kernel(some, table, slots, config.decay), config.gamma) @ white, np.ones(len(some))])
+
+    x = mapped([words[i] for i in near])
+    toxic = [own for mine, label in zip(owned, y) if label and len(own := place[mine][place[mine] >= 0])]
+    # words that stand in so many toxic texts, and no clean one, that chance at the share of toxic texts leaves none of all words
+    sure = np.flatnonzero((in_clean[near] == 0) & (in_toxic[near] * -np.log(np.mean(y)) > np.log(100 * len(words))))
+    value, w = pull[near], np.zeros(x.shape[1])
+    for _ in range(config.rounds):
+        plus = np.array([own[np.argmax(value[own])] for own in toxic], np.int64)
+        plus = np.concatenate([plus[in_clean[near[plus]] == 0], sure]).astype(np.int64)
+        apart = sorted({v[:k] + bytes([random.randint(1, 27)]) + v[k:] for v in (words[near[i]] for i in np.unique(plus)) for k in random.randint(1, len(v), config.gapped)})
+        more = max(1, len(plus) // max(1, len(apart)))  # they weigh as much as the plain words
+        rows = np.concatenate([x[plus], np.repeat(mapped(apart), more, axis=0), x[clean]])
+        w = _machine(rows, np.concatenate([np.ones(len(plus) + more * len(apart)), -np.ones(len(clean))]), config.cost)
         value = x @ w
-    model = ToxicModel((table.astype(np.float64) @ (white @ w[:-1])), float(w[-1]), config.decay, 1.0, 0.0)
-    best = np.array([max(model.bias, value[place[mine][place[mine] >= 0]].max(initial=model.bias)) for mine in owned])
-    model.slope, model.shift = _logistic(best, y)
+    model = ToxicModel(config, model.reach, table, slots, white @ w[:-1], float(w[-1]), 0.0, 1.0, 0.0)
+    model.floor = float(min(w[-1], value.min(initial=0.0), -1.0))
+    # one toxic word is enough: the logistic function parts the toxic words, plain and gapped, from the highest words of clean texts
+    low = np.array([value[place[mine][place[mine] >= 0]].max(initial=model.floor) for mine in [mine for mine, label in zip(apart_texts, apart_y) if not label]])
+    high = np.concatenate([value[np.unique(plus)], mapped(apart) @ w])
+    low = np.repeat(low, -(-20 * len(high) // max(1, len(low))))  # clean texts are far more than toxic words
+    model.slope, model.shift = _logistic(np.concatenate([low, high]), np.concatenate([np.zeros(len(low), int), np.ones(len(high), int)]))
     return model
 
 
