@@ -2,13 +2,16 @@
 
 1. Each text becomes its set of word shingles (64-bit hashes of whole shingles), a digest of that set and a signature.
 2. Texts with equal sets form a class; only one of a class goes on, so copies never multiply.
-3. Signature bands put classes into buckets. Each member of a bucket is a candidate with the bucket's smallest id.
+3. Signature bands put classes into buckets. Each member of a bucket is a candidate with the bucket's leader.
 4. Candidates are compared signature batch by signature batch. Under a uniform prior, matches in n draws give a Beta
    posterior of the similarity; a pair goes when the posterior chance of reaching the threshold falls under the miss
    probability. Survivors are verified exactly on the full sets.
-5. Links make components. A bucket that still holds several components then offers all its pairs across components,
-   which are verified alike: no link between members of a bucket is left out, while pairs inside a component, which
-   change nothing, are never made.
+5. Links make components, and each linked document belongs to the star of the smallest document it links with. A
+   bucket that still holds several components then offers pairs of stars across components. One less similarity is a
+   metric, so members of two stars can only link if the similarity of the stars' centres is at least the threshold less
+   both radii; star pairs are pruned by the same posterior at that lower bound. Members of the star pairs that stay are
+   verified as above. So no link between members of a bucket is left out, pairs inside a component, which change
+   nothing, are never made, and an outsider meets a large group once, not each of its members.
 
 Null and empty texts, and texts without words, have an empty set, link with nothing and keep themselves. Rows with a
 null id are returned, are linked with nothing and keep themselves. Repeated ids count as one document of that id.
@@ -34,9 +37,9 @@ class NearConfig:
     shingle: int = 5  #: words
     numerator: int = 4  #: the threshold is numerator / denominator, so that it is met exactly
     denominator: int = 5
-    bands: int = 32
-    rows: int = 5  #: signature values in a band; at the threshold a pair is missed by all bands with chance (1 - t ** rows) ** bands
-    batch: int = 32  #: signature values compared at once
+    bands: int = 40
+    rows: int = 6  #: signature values in a band; at the threshold a pair is missed by all bands with chance (1 - t ** rows) ** bands
+    batch: int = 30  #: signature values compared at once
     miss: float = 1e-6  #: posterior chance of reaching the threshold under which a pair is pruned
     seed: int = 5
 
@@ -80,63 +83,73 @@ def sketches(config: NearConfig):
 
     def run(batches):
         for batch, raw, at in V.chunks(batches):
-            sizes, digests, signs = [], [], []
+            sizes, digests, signs, bands = [], [], [], []
             for grams in shingle_sets(raw, at, config.shingle):
                 sizes.append(len(grams))
-                digests.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
-                signs.append(signature(grams, flips, factors).tobytes() if len(grams) else None)
+                least = signature(grams, flips, factors) if len(grams) else None
+                digests.append(None if least is None else hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
+                signs.append(None if least is None else (least & np.uint32(255)).astype(np.uint8).tobytes())
+                bands.append(None if least is None else band_buckets(least, config).tobytes())
             ids = batch.column(batch.schema.get_field_index("doc_id"))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "digest", "sign"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, signs, bands))], names=["doc_id", "n_shingles", "digest", "sign", "bands"])
 
     return run
 
 
-def band_buckets(config: NearConfig):
-    """A row for each class and band: the bucket is a hash of the band's number and values."""
+def band_buckets(least: np.ndarray, config: NearConfig) -> np.ndarray:
+    """Of a signature: a hash of each band's number and values."""
+    bucket = V.mix(np.arange(config.bands, dtype=V.U64) + V.U64(1))
+    for column in least.reshape(config.bands, config.rows).T.astype(V.U64):
+        bucket = V.mix(bucket * V.BASE + column)
+    return bucket
+
+
+def bucket_rows(config: NearConfig):
+    """A row for each class and band."""
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, config.bands, config.rows).astype(V.U64)
-            bucket = np.broadcast_to(V.mix(np.arange(config.bands, dtype=V.U64) + V.U64(1)), signs.shape[:2])
-            for k in range(config.rows):
-                bucket = V.mix(bucket * V.BASE + signs[:, :, k])
+            buckets = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
             rep, n = (np.repeat(batch.column(i).to_numpy(), config.bands) for i in (0, 2))
-            yield pa.RecordBatch.from_arrays([pa.array(V.signed(bucket.reshape(-1))), pa.array(rep), pa.array(n)], names=["bucket", "rep", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(rep), pa.array(n)], names=["bucket", "rep", "n"])
 
     return run
 
 
-def least_matches(config: NearConfig) -> list[tuple[int, int]]:
-    """(signature values compared, matches needed to stay): posterior of the similarity under a uniform prior, on a grid."""
-    grid = (np.arange(4000) + 0.5) / 4000
-    high = grid >= config.numerator / config.denominator
+def least_matches(config: NearConfig, threshold: float) -> list[tuple[int, int]]:
+    """(signature values compared, matches needed to stay): posterior of the similarity under a uniform prior, on a grid.
+
+    Of each value one byte is compared, so unlike values agree once in 256 times."""
+    grid = (np.arange(2000) + 0.5) / 2000
+    high = grid >= threshold
+    grid = grid + (1 - grid) / 256
+    up, down = np.log(grid), np.log1p(-grid)
     out = []
     for n in range(config.batch, config.size + 1, config.batch):
-        need = 0
-        for m in range(n + 1):
-            logs = m * np.log(grid) + (n - m) * np.log1p(-grid)
-            mass = np.exp(logs - logs.max())
-            if mass[high].sum() / mass.sum() >= config.miss:
-                need = m
-                break
-        out.append((n, need))
+        m = np.arange(n + 1)[:, None]
+        logs = m * up + (n - m) * down
+        mass = np.exp(logs - logs.max(axis=1, keepdims=True))
+        out.append((n, int(np.argmax(mass[:, high].sum(axis=1) / mass.sum(axis=1) >= config.miss))))
     return out
 
 
 def prune(config: NearConfig):
-    steps = least_matches(config)
+    """Rows a, b, two signatures and, where there is a fifth column, by how much the pair may fall short of the threshold."""
+    threshold, grain = config.numerator / config.denominator, 20
+    needs = [np.array(least_matches(config, max(0.0, threshold - k / grain)))[:, 1] for k in range(grain + 1)]
+    ends = range(config.batch, config.size + 1, config.batch)
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(batch.num_rows, config.size) for i in (2, 3))
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, config.size) for i in (2, 3))
+            slack = batch.column(4).to_numpy() if batch.num_columns > 4 else np.zeros(batch.num_rows)
+            need = np.array(needs)[np.minimum(np.ceil(slack * grain - 1e-9).astype(np.int64), grain)]
             alive, matches, done = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64), 0
-            for n, need in steps:
+            for step, n in enumerate(ends):
                 matches[alive] += (left[alive, done:n] == right[alive, done:n]).sum(axis=1)
-                alive, done = alive[matches[alive] >= need], n
+                alive, done = alive[matches[alive] >= need[alive, step]], n
             kept = batch.take(pa.array(alive))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
@@ -153,32 +166,37 @@ def full_sets(config: NearConfig):
 
 
 def verify(config: NearConfig):
-    """Pairs whose full sets reach the threshold, in whole numbers."""
+    """Pairs whose full sets reach the threshold, in whole numbers, with their similarity."""
 
     def run(batches):
         for batch in batches:
-            a, b, good = batch.column(0), batch.column(1), []
-            last = (None, None)
+            a, b, good, far = batch.column(0), batch.column(1), [], []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), V.U64), np.frombuffer(y.as_buffer(), V.U64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(config.denominator * both >= config.numerator * (len(x) + len(y) - both))
+                far.append(1 - both / (len(x) + len(y) - both))
             mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask), pa.array(far, pa.float64()).filter(mask)], names=["a", "b", "far"])
 
     return run
 
 
-def _links(pairs: DataFrame, signs: DataFrame, docs: DataFrame, config: NearConfig, label: str) -> DataFrame:
-    """pairs: distinct a < b. The links among them."""
+def _compared(pairs: DataFrame, signs: DataFrame, config: NearConfig) -> DataFrame:
+    """The pairs, of columns a, b and perhaps slack, that their signatures do not rule out."""
     left, right = signs.select(F.col("rep").alias("a"), F.col("sign").alias("sa")), signs.select(F.col("rep").alias("b"), F.col("sign").alias("sb"))
-    alive = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(prune(config), "a long, b long")
-    alive = written(alive, label + "-alive")
+    joined = pairs.join(right, "b").join(left, "a")
+    return joined.select("a", "b", "sa", "sb", *(["slack"] if "slack" in pairs.columns else [])).mapInArrow(prune(config), "a long, b long")
+
+
+def _links(pairs: DataFrame, signs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
+    """pairs: distinct a < b. The links among them."""
+    alive = written(_compared(pairs, signs, config), "alive")
     asked = alive.select(F.col("a").alias("doc_id")).union(alive.select(F.col("b").alias("doc_id"))).distinct()
     grams = docs.join(asked, "doc_id", "left_semi").mapInArrow(full_sets(config), "doc_id long, grams binary").dropDuplicates(["doc_id"])
-    grams = written(grams, label + "-sets")
+    grams = written(grams, "sets")
     full = alive.join(grams.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b").join(grams.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
-    return written(full.select("a", "b", "ga", "gb").mapInArrow(verify(config), "a long, b long"), label)
+    return written(full.select("a", "b", "ga", "gb").mapInArrow(verify(config), "a long, b long, far double"), "links")
 
 
 def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataFrame:
@@ -188,27 +206,47 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     document; texts are shuffled nowhere. A bucket with a third of all classes costs as many candidates as it has members.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = written(docs.mapInArrow(sketches(config), "doc_id long, n_shingles long, digest binary, sign binary"), "sketches")
+    sketch = written(docs.mapInArrow(sketches(config), "doc_id long, n_shingles long, digest binary, sign binary, bands binary"), "sketches")
     named = sketch.where("digest is not null and doc_id is not null")
-    classes = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    classes = written(classes, "classes")
-    signs = named.join(classes, "digest").where("doc_id = rep").select("rep", "sign", F.col("n_shingles").alias("n")).dropDuplicates(["rep"])
+    classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    signs = named.join(classes, "digest").where("doc_id = rep").select("rep", "sign", "bands", F.col("n_shingles").alias("n")).dropDuplicates(["rep"])
     signs = written(signs, "signs")
-    buckets = signs.mapInArrow(band_buckets(config), "bucket long, rep long, n long")
-    shared = buckets.groupBy("bucket").agg(F.min("rep").alias("lead"), F.count("*").alias("members"), F.min_by("n", "rep").alias("lead_n")).where("members > 1")
-    members = written(buckets.join(shared.select("bucket", "lead", "lead_n"), "bucket"), "buckets")
-    near_size = f"{config.denominator} * least({{0}}, {{1}}) >= {config.numerator} * greatest({{0}}, {{1}})"
-    pairs = members.where("rep <> lead").where(near_size.format("n", "lead_n")).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    first = _links(pairs, signs, docs, config, "links")
-    reached = components(first)
-    told = members.join(reached.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    told = written(told, "told")
-    mixed = told.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    told = told.join(mixed, "bucket")
-    one, other = told.toDF("bucket", "a", "na", "ca"), told.toDF("bucket", "b", "nb", "cb")
-    across = one.join(other, "bucket").where("a < b and ca <> cb").where(near_size.format("na", "nb")).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    second = _links(across, signs, docs, config, "links")
-    reached = written(components(first.union(second)), "reached")
+    buckets = signs.select("rep", "bands", "n").mapInArrow(bucket_rows(config), "bucket long, rep long, n long")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
+    told = written(buckets.join(shared, "bucket"), "buckets")
+    lead = told.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("lead"))
+    pairs = told.join(lead, "bucket").where("rep <> lead.rep").where(_near_size(config, "n", "lead.n")).select(F.col("lead.rep").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = written(pairs, "pairs")
+    first = _links(pairs, signs, docs, config)
+    second = _links(_across(told, first, pairs, signs, config), signs, docs, config)
+    links = first.union(second)
+    reached = written(components(links), "reached")
     final = classes.join(reached, classes["rep"] == reached["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = sketch.join(final, "digest", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
+    out = sketch.select("doc_id", "n_shingles", "digest").join(final, "digest", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _near_size(config: NearConfig, x: str, y: str) -> str:
+    """Sets of sizes this far apart cannot reach the threshold."""
+    return f"{config.denominator} * least({x}, {y}) >= {config.numerator} * greatest({x}, {y})"
+
+
+def _across(told: DataFrame, links: DataFrame, asked: DataFrame, signs: DataFrame, config: NearConfig) -> DataFrame:
+    """Pairs of bucket members in different components that may link, by their stars, without those asked before."""
+    reached = written(components(links), "reached")
+    star = links.groupBy("b").agg(F.min(F.struct("a", "far")).alias("centre"))
+    told = told.join(reached, told["rep"] == reached["node"], "left").join(star, told["rep"] == star["b"], "left")
+    told = told.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"), F.coalesce("centre.a", "rep").alias("star"), F.coalesce("centre.far", F.lit(0.0)).alias("far"))
+    told = written(told, "told")
+    mixed = told.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    told = written(told.join(mixed, "bucket"), "mixed")
+    stars = told.groupBy("bucket", "component", "star").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    one, other = stars.toDF("bucket", "ca", "a", "la", "ma"), stars.toDF("bucket", "cb", "b", "lb", "mb")
+    reach = f"{config.denominator} * ma >= {config.numerator} * lb and {config.denominator} * mb >= {config.numerator} * la"
+    met = one.join(other, "bucket").where("a < b and ca <> cb").where(reach).select("a", "b").distinct()
+    radius = told.groupBy("star").agg(F.max("far").alias("far"))
+    met = met.join(radius.toDF("a", "fa"), "a").join(radius.toDF("b", "fb"), "b").select("a", "b", (F.col("fa") + F.col("fb")).alias("slack"))
+    near = written(_compared(met, signs, config), "stars")
+    x, y = told.select("bucket", F.col("star").alias("a"), F.col("rep").alias("x"), F.col("n").alias("nx")), told.select("bucket", F.col("star").alias("b"), F.col("rep").alias("y"), F.col("n").alias("ny"))
+    pairs = near.join(x, "a").join(y, ["bucket", "b"]).where(_near_size(config, "nx", "ny")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return written(pairs.join(asked, ["a", "b"], "left_anti"), "across")
