@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .embeddings import near_vectors
 from .language import language_id
+from .lines import dedup_lines
 from .minhash import NearConfig, near_duplicates
 from .mixing import mix_sources
 from .tables import read
@@ -31,6 +33,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_mix_sources": op1_mix_sources, "op3_minhash_near_duplicates": op3_minhash_near_duplicates, "op7_toxicity": op7_toxicity, "op8_language_id": op8_language_id}
+def op9_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each vector: how many others it links with at cosine 0.98 within its label, and its component."""
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document that loses lines or sentences: what is left, and the spans that went with their kept occurrences."""
+    return dedup_lines(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_minhash_near_duplicates, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
