@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .embeddings import near_vectors
+from .html import extract
 from .language import language_id
 from .lines import dedup_lines
 from .minhash import NearConfig, near_duplicates
@@ -18,6 +19,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each page: the text of its article."""
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op3_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document: size of its set of 4-word shingles, its component, and whether it is the one kept."""
     return near_duplicates(read(spark, sf_dir, "documents"), NearConfig(shingle=4))
@@ -43,6 +49,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_minhash_near_duplicates, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
