@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import leaks
 from .embeddings import near_vectors
 from .html import extract
 from .language import language_id
@@ -29,6 +30,11 @@ def op3_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), NearConfig(shingle=4))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that it holds within a fifth of the item's words in edits."""
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document: its score and prediction, learned from labels outside the held-out fold."""
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -49,6 +55,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op5_decontaminate, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
