@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors as V
+from .tables import written
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -226,5 +227,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakConfig
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakConfig()) -> DataFrame:
-    """The documents that hold no item, with all their columns. Rows with a null id stay unless their id is a leak's, which null never is."""
-    return docs.join(leaks(docs, benchmark, config).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """The documents that hold no item, with all their columns. Rows with a null id stay: nothing tells them apart."""
+    found = written(leaks(docs, benchmark, config).select("doc_id").distinct(), "leaks")
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)

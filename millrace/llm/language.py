@@ -69,7 +69,7 @@ class LanguageModel:
                 yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in names] + [pa.array(best, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
         letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
-        return docs.select(*keep, "text", letter).mapInArrow(run, schema)
+        return docs.select(*keep, *([] if "text" in keep else ["text"]), letter).mapInArrow(run, schema)
 
 
 def _grams(raw: np.ndarray, at: np.ndarray):

@@ -154,3 +154,39 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mix:
     took = took.groupBy("source_ix", "doc_key").agg(F.sum(F.expr("aggregate(takes, 0L, (n, w) -> n + least(high, w) - least(low, w))")).alias("taken"))
     out = d.join(took, ["source_ix", "doc_key"], "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source_ix", "doc_key")
     return Mix(out, places, slots, sources)
+
+
+def _taken(batches):
+    """Texts cut to their stretches of words; a text that is taken whole stays as it is."""
+    for batch in batches:
+        names = batch.schema.names
+        column = lambda c: batch.column(names.index(c))  # noqa: B023, E731
+        out = []
+        for text, spans in zip(column("text").to_pylist(), column("spans").to_pylist()):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            found, parts, end = V.words(raw, np.array([0, len(raw)])), [], 0
+            for low, high in sorted((s["low"], s["high"]) for s in spans):
+                if parts and low <= end:
+                    parts[-1] = (parts[-1][0], high)
+                else:
+                    parts.append((low, high))
+                end = high
+            whole = parts == [(0, len(found.begin))]
+            out.append(text if whole else b"\n".join(raw[found.begin[low] : found.end[high - 1]].tobytes() for low, high in parts).decode())
+        texts = pa.array(out, pa.string())
+        sizes = pa.array([len(t) for t in out], pa.int64())
+        yield pa.RecordBatch.from_arrays([texts if c == "text" else sizes if c == "n_chars" else column(c) for c in names if c != "spans"], names=[c for c in names if c != "spans"])
+
+
+def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
+    """The mix as documents, with the columns of docs: a row for each document and pass, its text cut to the words taken.
+
+    n_chars, where there is such a column, is counted anew. A doc_id names one document; rows that share one are each
+    given what the mix takes of any of them. Documents without words, and passes that take nothing, give no row.
+    """
+    mix = mix_sources(docs, config)
+    taken = mix.places.join(mix.slots.select("source_ix", "block", "pass", "words"), ["source_ix", "block"]).where("words > low")
+    spans = taken.select("doc_id", "pass", F.struct((F.col("block") * config.block + F.col("low") - F.col("start")).alias("low"), (F.col("block") * config.block + F.least("high", "words") - F.col("start")).alias("high")).alias("span"))
+    spans = spans.groupBy("doc_id", "pass").agg(F.collect_list("span").alias("spans")).withColumnRenamed("doc_id", "mixed_id")
+    both = docs.where("text is not null").join(spans, docs["doc_id"].eqNullSafe(spans["mixed_id"])).select(*docs.columns, "spans")
+    return both.mapInArrow(_taken, docs.schema)

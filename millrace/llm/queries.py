@@ -11,7 +11,9 @@ from .language import language_id
 from .lines import dedup_lines
 from .minhash import NearConfig, near_duplicates
 from .mixing import mix_sources
+from .suffixes import repeats
 from .tables import read
+from .tokens import materialise, public_config
 from .toxicity import toxicity
 
 
@@ -30,11 +32,21 @@ def op3_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), NearConfig(shingle=4))
 
 
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each sequence of token ids in training order: its slot, shard, byte, documents and checksum; the shards are files."""
+    return materialise(read(spark, sf_dir, "documents"), public_config()).index
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it holds within a fifth of the item's words in edits."""
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each stretch of 50 words or more that repeats an earlier one, with the place of the earlier."""
+    return repeats(read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document: its score and prediction, learned from labels outside the held-out fold."""
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -55,6 +67,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op5_decontaminate, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op4_token_shards, op5_decontaminate, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
