@@ -32,14 +32,20 @@ from .graph import components
 from .tables import written
 
 
+#: Steps in which a threshold is lowered.
+GRAIN = 20
+
+
 @dataclass(frozen=True)
 class NearConfig:
     shingle: int = 5  #: words
     numerator: int = 4  #: the threshold is numerator / denominator, so that it is met exactly
     denominator: int = 5
-    bands: int = 40
-    rows: int = 6  #: signature values in a band; at the threshold a pair is missed by all bands with chance (1 - t ** rows) ** bands
-    batch: int = 30  #: signature values compared at once
+    bands: int = 64
+    rows: int = 8  #: signature values in a band; at the threshold a pair is missed by all bands with chance (1 - t ** rows) ** bands
+    compared: int = 256  #: signature values that verification may look at
+    batch: int = 64  #: of them, how many at once
+    shipped: int = 4_000_000  #: ids of documents to read again that are broadcast; more of them are joined by shuffle
     miss: float = 1e-6  #: posterior chance of reaching the threshold under which a pair is pruned
     seed: int = 5
 
@@ -83,15 +89,16 @@ def sketches(config: NearConfig):
 
     def run(batches):
         for batch, raw, at in V.chunks(batches):
-            sizes, digests, signs, bands = [], [], [], []
+            sizes, digests, signs, bands, heads = [], [], [], [], []
             for grams in shingle_sets(raw, at, config.shingle):
                 sizes.append(len(grams))
                 least = signature(grams, flips, factors) if len(grams) else None
                 digests.append(None if least is None else hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
-                signs.append(None if least is None else (least & np.uint32(255)).astype(np.uint8).tobytes())
+                signs.append(None if least is None else (least[: config.compared] & np.uint32(255)).astype(np.uint8).tobytes())
+                heads.append(None if least is None else (least[: config.batch] & np.uint32(255)).astype(np.uint8).view(np.int64))
                 bands.append(None if least is None else band_buckets(least, config).tobytes())
             ids = batch.column(batch.schema.get_field_index("doc_id"))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, signs, bands))], names=["doc_id", "n_shingles", "digest", "sign", "bands"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, signs, bands)), pa.array(heads, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "sign", "bands", "head"])
 
     return run
 
@@ -125,7 +132,7 @@ def least_matches(config: NearConfig, threshold: float) -> list[tuple[int, int]]
     grid = grid + (1 - grid) / 256
     up, down = np.log(grid), np.log1p(-grid)
     out = []
-    for n in range(config.batch, config.size + 1, config.batch):
+    for n in range(config.batch, config.compared + 1, config.batch):
         m = np.arange(n + 1)[:, None]
         logs = m * up + (n - m) * down
         mass = np.exp(logs - logs.max(axis=1, keepdims=True))
@@ -135,17 +142,17 @@ def least_matches(config: NearConfig, threshold: float) -> list[tuple[int, int]]
 
 def prune(config: NearConfig):
     """Rows a, b, two signatures and, where there is a fifth column, by how much the pair may fall short of the threshold."""
-    threshold, grain = config.numerator / config.denominator, 20
-    needs = [np.array(least_matches(config, max(0.0, threshold - k / grain)))[:, 1] for k in range(grain + 1)]
-    ends = range(config.batch, config.size + 1, config.batch)
+    threshold = config.numerator / config.denominator
+    needs = [np.array(least_matches(config, max(0.0, threshold - k / GRAIN)))[:, 1] for k in range(GRAIN + 1)]
+    ends = range(config.batch, config.compared + 1, config.batch)
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, config.size) for i in (2, 3))
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, config.compared) for i in (2, 3))
             slack = batch.column(4).to_numpy() if batch.num_columns > 4 else np.zeros(batch.num_rows)
-            need = np.array(needs)[np.minimum(np.ceil(slack * grain - 1e-9).astype(np.int64), grain)]
+            need = np.array(needs)[np.minimum(np.ceil(slack * GRAIN - 1e-9).astype(np.int64), GRAIN)]
             alive, matches, done = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64), 0
             for step, n in enumerate(ends):
                 matches[alive] += (left[alive, done:n] == right[alive, done:n]).sum(axis=1)
@@ -192,7 +199,9 @@ def _compared(pairs: DataFrame, signs: DataFrame, config: NearConfig) -> DataFra
 def _links(pairs: DataFrame, signs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
     """pairs: distinct a < b. The links among them."""
     alive = written(_compared(pairs, signs, config), "alive")
-    asked = alive.select(F.col("a").alias("doc_id")).union(alive.select(F.col("b").alias("doc_id"))).distinct()
+    asked = written(alive.select(F.col("a").alias("doc_id")).union(alive.select(F.col("b").alias("doc_id"))).distinct(), "asked")
+    if asked.count() <= config.shipped:
+        asked = F.broadcast(asked)
     grams = docs.join(asked, "doc_id", "left_semi").mapInArrow(full_sets(config), "doc_id long, grams binary").dropDuplicates(["doc_id"])
     grams = written(grams, "sets")
     full = alive.join(grams.select(F.col("doc_id").alias("b"), F.col("grams").alias("gb")), "b").join(grams.select(F.col("doc_id").alias("a"), F.col("grams").alias("ga")), "a")
@@ -206,10 +215,10 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataF
     document; texts are shuffled nowhere. A bucket with a third of all classes costs as many candidates as it has members.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = written(docs.mapInArrow(sketches(config), "doc_id long, n_shingles long, digest binary, sign binary, bands binary"), "sketches")
+    sketch = written(docs.mapInArrow(sketches(config), "doc_id long, n_shingles long, digest binary, sign binary, bands binary, head array<long>"), "sketches")
     named = sketch.where("digest is not null and doc_id is not null")
     classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    signs = named.join(classes, "digest").where("doc_id = rep").select("rep", "sign", "bands", F.col("n_shingles").alias("n")).dropDuplicates(["rep"])
+    signs = named.join(classes, "digest").where("doc_id = rep").select("rep", "sign", "bands", "head", F.col("n_shingles").alias("n")).dropDuplicates(["rep"])
     signs = written(signs, "signs")
     buckets = signs.select("rep", "bands", "n").mapInArrow(bucket_rows(config), "bucket long, rep long, n long")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
@@ -231,6 +240,19 @@ def _near_size(config: NearConfig, x: str, y: str) -> str:
     return f"{config.denominator} * least({x}, {y}) >= {config.numerator} * greatest({x}, {y})"
 
 
+def _unlike(config: NearConfig) -> str:
+    """The first step of prune() as SQL, so that the join makes no rows that it rules out: unlike bytes of two heads, against the most that fa + fb allows."""
+    threshold = config.numerator / config.denominator
+    most = [config.batch - least_matches(config, max(0.0, threshold - k / GRAIN))[0][1] for k in range(GRAIN + 1)]
+    terms = []
+    for k in range(config.batch // 8):
+        z = f"(ha[{k}] ^ hb[{k}])"
+        for shift in (4, 2, 1):
+            z = f"({z} | shiftrightunsigned({z}, {shift}))"
+        terms.append(f"bit_count({z} & 72340172838076673L)")
+    return f"{' + '.join(terms)} <= array({', '.join(map(str, most))})[least({GRAIN}, int(ceil((fa + fb) * {GRAIN} - 1e-9D)))]"
+
+
 def _across(told: DataFrame, links: DataFrame, asked: DataFrame, signs: DataFrame, config: NearConfig) -> DataFrame:
     """Pairs of bucket members in different components that may link, by their stars, without those asked before."""
     reached = written(components(links), "reached")
@@ -240,12 +262,12 @@ def _across(told: DataFrame, links: DataFrame, asked: DataFrame, signs: DataFram
     told = written(told, "told")
     mixed = told.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
     told = written(told.join(mixed, "bucket"), "mixed")
+    radius = told.groupBy("star").agg(F.max("far").alias("radius"))
     stars = told.groupBy("bucket", "component", "star").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    one, other = stars.toDF("bucket", "ca", "a", "la", "ma"), stars.toDF("bucket", "cb", "b", "lb", "mb")
+    stars = written(stars.join(radius, "star").join(signs.select(F.col("rep").alias("star"), "head"), "star").select("bucket", "component", "star", "least", "most", "radius", "head"), "stars")
+    one, other = stars.toDF("bucket", "ca", "a", "la", "ma", "fa", "ha"), stars.toDF("bucket", "cb", "b", "lb", "mb", "fb", "hb")
     reach = f"{config.denominator} * ma >= {config.numerator} * lb and {config.denominator} * mb >= {config.numerator} * la"
-    met = one.join(other, "bucket").where("a < b and ca <> cb").where(reach).select("a", "b").distinct()
-    radius = told.groupBy("star").agg(F.max("far").alias("far"))
-    met = met.join(radius.toDF("a", "fa"), "a").join(radius.toDF("b", "fb"), "b").select("a", "b", (F.col("fa") + F.col("fb")).alias("slack"))
+    met = one.join(other, "bucket").where("a < b and ca <> cb").where(reach).where(_unlike(config)).select("a", "b", (F.col("fa") + F.col("fb")).alias("slack")).distinct()
     near = written(_compared(met, signs, config), "stars")
     x, y = told.select("bucket", F.col("star").alias("a"), F.col("rep").alias("x"), F.col("n").alias("nx")), told.select("bucket", F.col("star").alias("b"), F.col("rep").alias("y"), F.col("n").alias("ny"))
     pairs = near.join(x, "a").join(y, ["bucket", "b"]).where(_near_size(config, "nx", "ny")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
