@@ -19,7 +19,7 @@ kinds every score is 0. Repeated rows are scored each.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +42,7 @@ class ToxicConfig:
     clean: int = 64  #: landmarks among the words of clean texts
     decay: float = 0.8
     gamma: float = 2.0  #: of the Gaussian
-    near: float = 0.55  #: string kernel with a telling landmark that a word must be able to reach
+    near: float = 0.6  #: string kernel with a telling landmark that a word must be able to reach
     rounds: int = 4
     cost: float = 30.0
     gapped: int = 2  #: copies of each toxic word with one letter put in, which the machine learns beside it
@@ -93,6 +93,7 @@ class ToxicModel:
     floor: float
     slope: float
     shift: float
+    known: dict = field(default_factory=dict)  #: values of words that have been met
 
     def near(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The words that may come near a telling landmark."""
@@ -116,8 +117,11 @@ class ToxicModel:
         if len(near):
             data = symbols.tobytes()
             words = [data[i:j] for i, j in zip(begin[near], end[near])]
-            number = {w: i for i, w in enumerate(dict.fromkeys(words))}
-            values = self.word_values(list(number))[[number[w] for w in words]]
+            if len(self.known) > 400_000:
+                self.known.clear()
+            if new := [w for w in dict.fromkeys(words) if w not in self.known]:
+                self.known.update(zip(new, self.word_values(new).tolist()))
+            values = np.array([self.known[w] for w in words])
             np.maximum.at(out, np.searchsorted(first, begin[near], "right") - 1, values)
         return out
 
