@@ -42,7 +42,7 @@ class ToxicConfig:
     clean: int = 64  #: landmarks among the words of clean texts
     decay: float = 0.8
     gamma: float = 2.0  #: of the Gaussian
-    near: float = 0.6  #: string kernel with a telling landmark that a word must be able to reach
+    near: float = 0.7  #: string kernel with a telling landmark that a word must be able to reach
     rounds: int = 4
     cost: float = 30.0
     gapped: int = 2  #: copies of each toxic word with one letter put in, which the machine learns beside it
