@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import query_data, query_dedup, query_eval, query_text  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES  # noqa: F401
