@@ -18,8 +18,8 @@ filled up with end marks; n_tokens tells how many ids are its own.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +41,6 @@ class TokenConfig:
     length: int = 1024
     shard_sequences: int = 8192
     key: int = 0x5EED
-    cached: int = 200_000  #: words whose ids a worker remembers
 
 
 def public_config(name: str = "byte_bpe_multi_50k.tiktoken") -> TokenConfig:
@@ -51,53 +50,29 @@ def public_config(name: str = "byte_bpe_multi_50k.tiktoken") -> TokenConfig:
     return TokenConfig(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
 
-#: Where this is found, cutting at single spaces could change how a text is split.
-_IRREGULAR = re.compile(r"\s\s|\A\s|\s\Z")
+def _encoder(vocabulary: bytes, config: TokenConfig):
+    import tiktoken
 
-
-class Tokenizer:
-    """Ids of texts as bytes. Words are looked up: a single space between two other characters always begins a new piece."""
-
-    def __init__(self, vocabulary: bytes, pattern: str, cached: int):
-        import tiktoken
-
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
-        self.encode_list = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.cached, self.known = cached, {}
-
-    def ids(self, text: str) -> bytes:
-        return np.array(self.encode_list(text), np.uint16).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if _IRREGULAR.search(text):
-            return self.ids(text)
-        first, *rest = text.split(" ")
-        known = self.known
-        try:
-            return self.ids(first) + b"".join([known[w] for w in rest])
-        except KeyError:
-            if len(known) > self.cached:
-                known.clear()
-            for w in rest:
-                if w not in known:
-                    known[w] = self.ids(" " + w)
-            return self.ids(first) + b"".join([known[w] for w in rest])
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
+    return tiktoken.Encoding("given", pat_str=config.pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def _encoded(batches, vocabulary: bytes, config: TokenConfig):
     """(doc_id, ids with the end mark) of each text that has any."""
-    tokenizer, mark = Tokenizer(vocabulary, config.pattern, config.cached), np.uint16(config.end).tobytes()
+    encode = _encoder(vocabulary, config)
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1)):
             if text := text.as_py():
-                yield doc_id.as_py(), tokenizer.encode(text) + mark
+                ids = encode(text)
+                ids.append(config.end)
+                yield doc_id.as_py(), ids
 
 
 def count_sequences(vocabulary: bytes, config: TokenConfig):
     def run(batches):
         total = mark = 0
         for doc_id, ids in _encoded(batches, vocabulary, config):
-            total += len(ids) // 2
+            total += len(ids)
             mark = zlib.crc32(f"{doc_id} {total}".encode(), mark)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total], pa.int64()), pa.array([mark], pa.int64())], names=["part", "tokens", "mark"])
 
@@ -122,9 +97,9 @@ def pack_sequences(vocabulary: bytes, config: TokenConfig, begins: dict[int, tup
             return batch
 
         for doc_id, ids in _encoded(batches, vocabulary, config):
-            seen += len(ids) // 2
+            seen += len(ids)
             mark = zlib.crc32(f"{doc_id} {seen}".encode(), mark)
-            held += ids
+            held += array("H", ids).tobytes()
             owners.append(doc_id)
             low = 0
             while len(held) - low >= size:
