@@ -98,7 +98,7 @@ def count_class(c: Column, chars: str) -> Column:
 def detect_language(c: Column) -> Column:
     """vi, vi-khong-dau, en, other or unknown, by shares of letters and of common words."""
     low = fold(F.coalesce(c, F.lit("")))
-    letters, latin, marked = count_class(low, r"\p{L}"), count_class(low, r"\p{Latin}a-z"), count_class(low, VIETNAMESE_LETTERS)
+    letters, latin, marked = count_class(low, r"\p{L}"), count_class(low, r"\p{IsLatin}a-z"), count_class(low, VIETNAMESE_LETTERS)
     count = lambda w, names: F.size(F.filter(w, lambda x: x.isin(names)))
     by_words = let(words(low), lambda w: F.when(count(w, VIETNAMESE_ASCII_WORDS) * 100 >= F.size(w) * 8, "vi-khong-dau").when(count(w, ENGLISH_WORDS) * 20 >= F.size(w), "en").otherwise("unknown"))
     return (

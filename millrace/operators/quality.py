@@ -53,7 +53,9 @@ class QualityConfig:
 
 def flatten(messages: str | Column) -> tuple[Column, Column]:
     """Contents of the user's turns and of the assistant's, each joined by line feeds."""
-    return tuple(F.array_join(F.transform(F.filter(messages, lambda m, r=role: m["role"] == r), lambda m: m["content"]), "\n") for role in ("user", "assistant"))
+    messages = F.col(messages) if isinstance(messages, str) else messages
+    of = lambda role: F.array_join(F.transform(F.filter(messages, lambda m: m["role"] == F.lit(role)), lambda m: m["content"]), "\n")
+    return of("user"), of("assistant")
 
 
 def language_reason(text: Column, declared: Column, config: QualityConfig = QualityConfig()) -> Column:
