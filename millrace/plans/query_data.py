@@ -1 +1,306 @@
-"""Queries."""
+"""Queries of sources, mapping, conversations, validation, formats, statistics, mixing, registry and streams of events."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from ..functions import text as T
+from ..functions.python import arithmetic
+from ..operators import mixing, quality, validation
+from ..operators.synthetic import tool_call_rows as generate
+from .query_text import CONV, ENDS, FLAT, conversations
+from .registry import Tables, query
+
+
+@query("SELECT event_id, user_id FROM (SELECT * FROM (SELECT * FROM events ORDER BY event_id LIMIT 5000) WHERE event_type = 'click' ORDER BY event_id LIMIT 200)")
+def src_scan_where_limit(t: Tables):
+    """scan_limit bounds the rows that are read, limit those that come out: both are the feature."""
+    scanned = t.events.orderBy("event_id").limit(5000)
+    return scanned.where(F.col("event_type").eqNullSafe("click")).orderBy("event_id").limit(200).select("event_id", "user_id")
+
+
+@query("SELECT 'customer' AS source, c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL FROM supplier")
+def src_union_sources(t: Tables):
+    a = t.customer.select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    b = t.supplier.select(F.lit("supplier").alias("source"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 3")
+def src_inspect(t: Tables):
+    return t.documents.select("doc_id", "lang", "source").orderBy("doc_id").limit(3)
+
+
+@query("""SELECT 'org-parts-' || p_partkey AS id, p_name AS input, p_type AS expected_output, CASE WHEN p_brand <> '' THEN p_brand END AS context, 'tool_use' AS domain FROM part""")
+def map_rows(t: Tables):
+    name = T.slug(F.lit("Org/Parts"))
+    return t.part.select(F.concat(name, F.lit("-"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("input"), F.col("p_type").alias("expected_output"), F.when(F.col("p_brand") != "", F.col("p_brand")).alias("context"), F.lit("tool_use").alias("domain"))
+
+
+@query("""WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos, CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ' NaN ' WHEN 2 THEN 'none' ELSE 'u' || c_custkey END AS raw FROM customer)
+SELECT c_custkey, 'org-ds-' || CASE WHEN raw IS NULL OR lower(trim(raw)) IN ('', 'nan', 'none', 'null') THEN pos::VARCHAR ELSE raw END AS id FROM r""")
+def map_rows_id_fallback(t: Tables):
+    """Ids that are null or no id at all become the row's position. The position of a whole source is one order over it: zipped on the sorted table, not one window."""
+    k = F.col("c_custkey") % 5
+    raw = F.when(k == 0, F.lit(None)).when(k == 1, " NaN ").when(k == 2, "none").otherwise(F.concat(F.lit("u"), F.col("c_custkey").cast("string")))
+    placed = mixing.with_position(t.customer.select("c_custkey"), "c_custkey")
+    absent = raw.isNull() | F.lower(F.trim(raw)).isin("", "nan", "none", "null")
+    return placed.select("c_custkey", F.concat(F.lit("org-ds-"), F.when(absent, F.col("position").cast("string")).otherwise(raw)).alias("id"))
+
+
+ROLE = "CASE turn % 3 WHEN 0 THEN CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END ELSE role END"
+
+
+@query(f"SELECT conv_id, turn, CASE r WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE r END AS role, text AS content FROM (SELECT *, {ROLE} AS r FROM conversations)")
+def conv_clean_messages(t: Tables):
+    alias = F.create_map(*[F.lit(x) for x in ("human", "user", "gpt", "assistant")])
+    shared = F.when((F.col("turn") % 3 == 0) & (F.col("role") == "user"), "human").when((F.col("turn") % 3 == 0) & (F.col("role") == "assistant"), "gpt").otherwise(F.col("role"))
+    return t.conversations.select("conv_id", "turn", F.coalesce(F.try_element_at(alias, shared), shared).alias("role"), F.col("text").alias("content"))
+
+
+@query(f"SELECT conv_id, list_filter(m, lambda x: x.role = 'user')[1].content AS prompt, m[-1].content AS answer FROM ({CONV})")
+def conv_prompt_answer(t: Tables):
+    prompt = F.try_element_at(F.filter("messages", lambda m: m["role"] == F.lit("user")), F.lit(1))["content"]
+    return conversations(t).select("conv_id", prompt.alias("prompt"), F.element_at("messages", -1)["content"].alias("answer"))
+
+
+@query(f"SELECT conv_id, {FLAT('user')} AS user_text, {FLAT('assistant')} AS assistant_text FROM ({CONV})")
+def conv_flatten(t: Tables):
+    user, assistant = quality.flatten("messages")
+    return conversations(t).select("conv_id", user.alias("user_text"), assistant.alias("assistant_text"))
+
+
+VALID = "len(list_filter(m, lambda x: x.role NOT IN ('system', 'user', 'assistant') OR trim(x.content) = '')) = 0 AND len(list_filter(m, lambda x: x.role = 'user')) > 0 AND m[-1].role = 'assistant'"
+
+
+@query(f"SELECT conv_id, {VALID} AS valid FROM ({CONV})")
+def conv_valid_messages(t: Tables):
+    return conversations(t).select("conv_id", validation.valid_messages(F.col("messages")).alias("valid"))
+
+
+RECORDS = """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'r' || doc_id % 900 END AS id, CASE WHEN doc_id % 13 = 0 THEN 'nowhere' ELSE 'chat' END AS domain, CASE WHEN doc_id % 17 = 0 THEN NULL ELSE 'sft' END AS task,
+ doc_id % 7 AS difficulty, CASE WHEN doc_id % 5 = 0 THEN 1.5 ELSE 0.5 END AS quality_score, CASE WHEN doc_id % 19 = 0 THEN 'lost' ELSE 'pending' END AS validation_status FROM documents"""
+
+
+def records(t: Tables):
+    k = F.col("doc_id")
+    return t.documents.select(
+        "doc_id",
+        F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("r"), (k % 900).cast("string"))).alias("id"),
+        F.when(k % 13 == 0, "nowhere").otherwise("chat").alias("domain"),
+        F.when(k % 17 != 0, "sft").alias("task"),
+        F.col("text").alias("input"),
+        F.lit("answer").alias("expected_output"),
+        F.struct(F.col("source").alias("name")).alias("source"),
+        F.struct(F.lit("mit").alias("name")).alias("license"),
+        F.lit("v1").alias("dataset_version"),
+        (k % 7).cast("int").alias("difficulty"),
+        F.when(k % 5 == 0, 1.5).otherwise(0.5).alias("quality_score"),
+        F.when(k % 19 == 0, "lost").otherwise("pending").alias("validation_status"),
+    )
+
+
+CODES = "CASE WHEN id = '' OR task IS NULL THEN list_filter([CASE WHEN id = '' THEN 'missing:id' END, CASE WHEN task IS NULL THEN 'missing:task' END], lambda x: x IS NOT NULL) ELSE list_filter([CASE WHEN domain = 'nowhere' THEN 'invalid:domain' END, CASE WHEN validation_status = 'lost' THEN 'invalid:validation_status' END, CASE WHEN difficulty NOT BETWEEN 1 AND 5 THEN 'invalid:difficulty' END, CASE WHEN quality_score > 1 THEN 'invalid:quality_score' END], lambda x: x IS NOT NULL) END"
+
+
+@query("SELECT doc_id, list_filter([CASE WHEN id = '' THEN 'missing:id' END, CASE WHEN task IS NULL THEN 'missing:task' END], lambda x: x IS NOT NULL) AS errors FROM (%s)" % RECORDS)
+def validate_missing(t: Tables):
+    r = records(t)
+    return r.select("doc_id", validation.missing({f.name: f.dataType.typeName() for f in r.schema}).alias("errors"))
+
+
+@query(f"SELECT doc_id, e AS errors, CASE WHEN len(e) = 0 THEN 'valid' ELSE 'rejected' END AS status FROM (SELECT doc_id, {CODES} AS e FROM ({RECORDS}))")
+def validate_errors(t: Tables):
+    r = records(t)
+    return r.select("doc_id", validation.errors(r).alias("errors")).select("doc_id", "errors", F.when(F.size("errors") == 0, "valid").otherwise("rejected").alias("status"))
+
+
+@query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY id ORDER BY doc_id) AS r FROM ({RECORDS}) WHERE id <> '' AND task IS NOT NULL) WHERE r > 1")
+def validate_duplicate_id(t: Tables):
+    r = records(t)
+    coded = validation.with_duplicate_ids(r.withColumn("errors", validation.errors(r)), "id", "doc_id")
+    return coded.where(F.array_contains("errors", "duplicate:id")).select("doc_id")
+
+
+@query("""SELECT item_id, list_filter([CASE WHEN item_id % 4 = 3 THEN 'invalid:scoring' END, CASE WHEN item_id % 5 = 0 THEN 'invalid:language' END, CASE WHEN item_id % 4 = 2 AND item_id % 3 = 0 THEN 'missing:pattern' END], lambda x: x IS NOT NULL) AS errors FROM benchmark""")
+def eval_case_errors(t: Tables):
+    k = F.col("item_id")
+    cases = t.benchmark.select(k, F.element_at(F.array(*map(F.lit, ("exact", "contains", "regex", "guess"))), (k % 4 + 1).cast("int")).alias("scoring"), F.when(k % 5 == 0, "xx").otherwise("vi").alias("language"), F.when(k % 3 == 0, "").otherwise("a+").alias("pattern"))
+    codes = [F.when(~F.col("scoring").isin("exact", "contains", "regex", "python_tests"), "invalid:scoring"), F.when(~F.col("language").isin("vi", "en"), "invalid:language"), F.when((F.col("scoring") == "regex") & (F.col("pattern") == ""), "missing:pattern")]
+    return cases.select("item_id", F.array_compact(F.array(*codes)).alias("errors"))
+
+
+SFT = "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ctx' || chr(10) || chr(10) || text ELSE text END AS question, CASE WHEN doc_id % 4 = 0 THEN '<think>' || chr(10) || 'why' || chr(10) || '</think>' || chr(10) || chr(10) || lang ELSE lang END AS answer FROM documents"
+
+
+def formatted(t: Tables):
+    return t.documents.select("doc_id", F.col("text").alias("input"), F.col("lang").alias("expected_output"), F.when(F.col("doc_id") % 3 == 0, "ctx").alias("context"), F.when(F.col("doc_id") % 4 == 0, "why").alias("reasoning"), F.when(F.col("doc_id") % 6 == 0, "worse").alias("rejected_output"), F.when(F.col("doc_id") % 8 == 0, F.array(F.lit("search"))).otherwise(F.array().cast("array<string>")).alias("tools_used"))
+
+
+@query(SFT)
+def fmt_sft(t: Tables):
+    from ..operators.formats import sft_messages
+
+    m = sft_messages()
+    return formatted(t).select("doc_id", m[0]["content"].alias("question"), m[1]["content"].alias("answer"))
+
+
+@query("SELECT doc_id, text AS prompt, lang AS chosen, 'worse' AS rejected FROM documents WHERE doc_id % 6 = 0")
+def fmt_preference(t: Tables):
+    from ..operators.formats import prepare
+
+    return prepare(formatted(t), "preference", key="doc_id")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 8 = 0")
+def fmt_tool_use(t: Tables):
+    from ..operators.formats import prepare
+
+    return prepare(formatted(t), "tool_use", key="doc_id").select("doc_id")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 4 = 0")
+def fmt_reasoning(t: Tables):
+    from ..operators.formats import prepare
+
+    return prepare(formatted(t), "reasoning", key="doc_id").select("doc_id")
+
+
+@query("SELECT count(*)::BIGINT AS examples, sum(length(text))::BIGINT AS total, sum(length(text))::DOUBLE / count(*) AS mean, max(length(text))::BIGINT AS longest FROM documents")
+def stats_overall(t: Tables):
+    n = F.length("text").cast("bigint")
+    return t.documents.agg(F.count("*").alias("examples"), F.sum(n).alias("total"), (F.sum(n).cast("double") / F.count("*")).alias("mean"), F.max(n).alias("longest"))
+
+
+@query("SELECT source, count(*)::BIGINT AS examples FROM documents GROUP BY source")
+def stats_by_group(t: Tables):
+    return t.documents.groupBy("source").agg(F.count("*").alias("examples"))
+
+
+@query("SELECT lang, count(*)::BIGINT AS examples, count(*)::DOUBLE / (SELECT count(*) FROM documents) AS share FROM documents GROUP BY lang")
+def stats_languages(t: Tables):
+    d = t.documents
+    return d.groupBy("lang").agg(F.count("*").alias("examples")).crossJoin(d.agg(F.count("*").alias("n"))).select("lang", "examples", (F.col("examples").cast("double") / F.col("n")).alias("share"))  # one row
+
+
+@query("SELECT (SELECT n FROM (SELECT length(text)::BIGINT AS n, row_number() OVER (ORDER BY length(text)) AS r, count(*) OVER () AS c FROM documents) WHERE r = c // 2 + 1) AS upper_median")
+def stats_lengths(t: Tables):
+    """The upper median: from counts of lengths, which are few, not from a window over all rows."""
+    counts = t.documents.groupBy(F.length("text").cast("bigint").alias("n")).agg(F.count("*").alias("c"))
+    run = counts.withColumn("upto", F.sum("c").over(W.orderBy("n"))).crossJoin(counts.agg(F.sum("c").alias("all")))
+    return run.where("upto >= floor(all / 2) + 1").agg(F.min("n").alias("upper_median"))
+
+
+MIX = "q AS (SELECT min(n / w) AS total FROM (SELECT lang, count(*)::DOUBLE AS n FROM documents GROUP BY lang) JOIN (VALUES ('en', 0.5), ('fr', 0.3), ('de', 0.2)) v(lang, w) USING (lang))"
+
+
+@query(f"WITH {MIX} SELECT lang, round_even(total * w, 0)::BIGINT AS quota FROM q, (VALUES ('en', 0.5::DOUBLE), ('fr', 0.3::DOUBLE), ('de', 0.2::DOUBLE)) v(lang, w)")
+def mix_quotas(t: Tables):
+    return mixing.quotas(t.documents, "lang", {"en": 0.5, "fr": 0.3, "de": 0.2})
+
+
+@query(f"WITH {MIX} SELECT lang, round_even(total * w, 0)::BIGINT AS n FROM q, (VALUES ('en', 0.5::DOUBLE), ('fr', 0.3::DOUBLE), ('de', 0.2::DOUBLE)) v(lang, w)")
+def mix_sample(t: Tables):
+    """How many rows of each group a seeded sample takes."""
+    return mixing.sample(t.documents.select("doc_id", "lang"), "lang", "doc_id", {"en": 0.5, "fr": 0.3, "de": 0.2}, 17).groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES ('code', 1000::BIGINT), ('reasoning', 750), ('chat', 750)) v(preset, rows)")
+def mix_counts(t: Tables):
+    counts = mixing.mix_counts({"code": 0.4, "reasoning": 0.3, "chat": 0.3}, {"code": 1000, "reasoning": 1000, "chat": 1000})
+    return t.spark.createDataFrame(list(counts.items()), "preset string, rows bigint")
+
+
+@query("SELECT * FROM (VALUES ('a', 900::BIGINT), ('b', 900), ('synthetic', 200)) v(part, rows)")
+def mix_plan(t: Tables):
+    counts, synthetic = mixing.mix_plan({"a": 0.5, "b": 0.5}, {"a": 2000, "b": 2000}, 2000, 0.1)
+    return t.spark.createDataFrame([*counts.items(), ("synthetic", synthetic)], "part string, rows bigint")
+
+
+@query("SELECT language, kind, 25::BIGINT AS rows, 25::BIGINT AS prompts FROM (VALUES ('vi'), ('en')) l(language), (VALUES ('calculator'), ('read_file'), ('search'), ('none')) k(kind)")
+def tool_call_rows(t: Tables):
+    rows = generate(t.spark, 200, seed=17, banned=(14, 99))
+    return rows.groupBy("language", "kind").agg(F.count("*").alias("rows"), F.countDistinct("prompt").alias("prompts"))
+
+
+@query("SELECT event_id, event_id % 3 <> 0 AS passed FROM events")
+def verify_math(t: Tables):
+    k = F.col("event_id")
+    done = t.events.select("event_id", arithmetic(F.concat(k.cast("string"), F.lit(" + 1"))).alias("r"), F.when(k % 3 == 0, "x").otherwise((k + 1).cast("string")).alias("expected"))
+    return done.select("event_id", F.coalesce(F.col("r.value") == F.col("expected"), F.lit(False)).alias("passed"))
+
+
+@query("SELECT event_id, event_id % 4 <> 0 AS passed FROM events")
+def verify_tool_call(t: Tables):
+    step = F.struct(F.when(F.col("event_id") % 4 != 0, "search").alias("tool"), F.create_map(F.lit("q"), F.col("props")).alias("arguments"))
+    return t.events.select("event_id", F.forall(F.array(step), lambda s: s["tool"].isNotNull() & s["arguments"].isNotNull()).alias("passed"))
+
+
+@query("SELECT event_id % 3 <> 0 AS accepted, count(*)::BIGINT AS rows FROM events GROUP BY ALL")
+def synthetic_verify(t: Tables):
+    return verify_math_rows(t).groupBy(F.col("passed").alias("accepted")).agg(F.count("*").alias("rows"))
+
+
+def verify_math_rows(t: Tables):
+    k = F.col("event_id")
+    done = t.events.select("event_id", arithmetic(F.concat(k.cast("string"), F.lit(" * 2"))).alias("r"))
+    return done.select("event_id", F.coalesce(F.col("r.value") == F.when(k % 3 == 0, "x").otherwise((k * 2).cast("string")), F.lit(False)).alias("passed"))
+
+
+STATUS = "CASE o_orderstatus WHEN 'F' THEN 'COMPLETE' WHEN 'O' THEN 'VALIDATED' ELSE 'FAILED' END"
+
+
+def shards(t: Tables):
+    status = F.when(F.col("o_orderstatus") == "F", "COMPLETE").when(F.col("o_orderstatus") == "O", "VALIDATED").otherwise("FAILED")
+    return t.orders.select("o_orderkey", F.col("o_custkey").alias("shard"), status.alias("status"), (F.col("o_orderkey") % 1000).alias("tokens"), F.col("o_orderpriority").alias("domain"))
+
+
+@query(f"""SELECT sum(tokens)::BIGINT AS acquired, sum(tokens) FILTER (status IN ('VALIDATED', 'COMPLETE'))::BIGINT AS validated, sum(tokens) FILTER (status = 'COMPLETE')::BIGINT AS verified, count(*) FILTER (status = 'FAILED')::BIGINT AS failed,
+count(*) FILTER (status NOT IN ('COMPLETE', 'FAILED'))::BIGINT AS pending FROM (SELECT o_orderkey % 1000 AS tokens, {STATUS} AS status FROM orders)""")
+def corpus_progress(t: Tables):
+    s, n = F.col("status"), F.col("tokens")
+    of = lambda *names: F.sum(F.when(s.isin(*names), n))
+    return shards(t).agg(F.sum(n).alias("acquired"), of("VALIDATED", "COMPLETE").alias("validated"), of("COMPLETE").alias("verified"), F.count_if(s == "FAILED").alias("failed"), F.count_if(~s.isin("COMPLETE", "FAILED")).alias("pending"))
+
+
+@query(f"SELECT domain, sum(tokens)::BIGINT AS tokens FROM (SELECT o_orderpriority AS domain, o_orderkey % 1000 AS tokens, {STATUS} AS status FROM orders) WHERE status = 'COMPLETE' GROUP BY domain")
+def corpus_by_domain(t: Tables):
+    return shards(t).where("status = 'COMPLETE'").groupBy("domain").agg(F.sum("tokens").alias("tokens"))
+
+
+@query(f"SELECT o_custkey AS shard, arg_max({STATUS}, o_orderkey) AS status, count(*)::BIGINT AS attempts FROM orders GROUP BY o_custkey")
+def registry_latest(t: Tables):
+    """The latest state of each key, and how often it was written."""
+    return shards(t).groupBy("shard").agg(F.max_by("status", "o_orderkey").alias("status"), F.count("*").alias("attempts"))
+
+
+@query("SELECT doc_id, substr(sha256(source || sha256(text)), 1, 20) AS shard_id FROM documents")
+def corpus_shard_id(t: Tables):
+    return t.documents.select("doc_id", F.substring(F.sha2(F.concat("source", F.sha2("text", 256)), 256), 1, 20).alias("shard_id"))
+
+
+@query("SELECT p_partkey, list_filter([CASE WHEN p_partkey % 5 = 0 THEN 'name' END, CASE WHEN p_partkey % 7 = 0 THEN 'license' END], lambda x: x IS NOT NULL) AS missing FROM part")
+def corpus_source_missing(t: Tables):
+    k = F.col("p_partkey")
+    rows = t.part.select(k, F.when(k % 5 != 0, F.col("p_name")).otherwise("").alias("name"), F.when(k % 7 != 0, F.col("p_brand")).alias("license"))
+    empty = [F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(c)) for c in ("name", "license")]
+    return rows.select("p_partkey", F.array_compact(F.array(*empty)).alias("missing"))
+
+
+@query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS state, count(*)::BIGINT AS transitions FROM events GROUP BY user_id")
+def job_state(t: Tables):
+    last = F.max(F.struct("ts", "event_id", "event_type"))
+    return t.events.groupBy("user_id").agg(last.alias("l"), F.count("*").alias("transitions")).select("user_id", F.col("l.event_type").alias("state"), "transitions")
+
+
+@query("SELECT event_id FROM (SELECT event_id, ts FROM events WHERE event_type = 'purchase' ORDER BY ts, event_id LIMIT 1)")
+def job_evict_candidate(t: Tables):
+    return t.events.where("event_type = 'purchase'").agg(F.min(F.struct("ts", "event_id")).alias("m")).where("m is not null").select("m.event_id")
+
+
+@query("SELECT user_id, max(event_id % 1000)::BIGINT AS step FROM events GROUP BY user_id")
+def ckpt_latest(t: Tables):
+    """Of names checkpoint-N the one with the largest N."""
+    step = F.regexp_extract(F.concat(F.lit("checkpoint-"), (F.col("event_id") % 1000).cast("string")), r"checkpoint-(\d+)$", 1).cast("bigint")
+    return t.events.groupBy("user_id").agg(F.max(step).alias("step"))
