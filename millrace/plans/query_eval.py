@@ -1 +1,216 @@
-"""Queries."""
+"""Queries of scoring, comparing, agents' verdicts and the cost model."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import cost, scoring
+from .query_text import CONV, NORM, conversations
+from .registry import Tables, query
+
+EV = lambda x: f"regexp_replace(regexp_replace({NORM(x)}, '^[ .!?\"]+', ''), '[ .!?\"]+$', '')"
+ANSWER = "CASE item_id % 3 WHEN 0 THEN ' ' || text || ' ! ' WHEN 1 THEN '<think>x' || chr(10) || 'y</think> so: ' || text ELSE 'no' END"
+
+
+def answers(t: Tables):
+    k = F.col("item_id") % 3
+    answer = F.when(k == 0, F.concat(F.lit(" "), "text", F.lit(" ! "))).when(k == 1, F.concat(F.lit("<think>x\ny</think> so: "), "text")).otherwise("no")
+    return t.benchmark.select("item_id", "text", answer.alias("answer"))
+
+
+@query(f"SELECT item_id, {EV('a')} = {EV('text')} AS passed FROM (SELECT item_id, text, {ANSWER} AS a FROM benchmark)")
+def eval_score_exact(t: Tables):
+    return answers(t).select("item_id", scoring.exact(F.col("answer"), F.col("text")).alias("passed"))
+
+
+@query(f"SELECT item_id, contains({EV('a')}, {EV('text')}) AS passed FROM (SELECT item_id, text, {ANSWER} AS a FROM benchmark)")
+def eval_score_contains(t: Tables):
+    return answers(t).select("item_id", scoring.contains(F.col("answer"), F.col("text")).alias("passed"))
+
+
+@query(f"SELECT item_id, regexp_matches(a, CASE WHEN item_id % 2 = 0 THEN '(?is)so.{{1,3}}[a-z]' ELSE '(?is)^ *no$' END) AS passed FROM (SELECT item_id, {ANSWER} AS a FROM benchmark)")
+def eval_score_regex(t: Tables):
+    pattern = F.when(F.col("item_id") % 2 == 0, "so.{1,3}[a-z]").otherwise("^ *no$")
+    return answers(t).select("item_id", scoring.regex(F.col("answer"), pattern).alias("passed"))
+
+
+@query(rf"SELECT item_id, regexp_replace(regexp_replace(regexp_replace(a, '(?is)<think>.*?(</think>|\z)', '', 'g'), '^\s+', ''), '\s+$', '') AS answer FROM (SELECT item_id, {ANSWER} AS a FROM benchmark)")
+def eval_strip_think(t: Tables):
+    return answers(t).select("item_id", T.strip_think(F.col("answer")).alias("answer"))
+
+
+@query("SELECT item_id, CASE item_id % 2 WHEN 0 THEN 'a = 1' || chr(10) || chr(10) || chr(10) || 'b = 2' || chr(10) ELSE text END AS code FROM benchmark")
+def eval_extract_code(t: Tables):
+    x = F.when(F.col("item_id") % 2 == 0, F.lit("see ```python\na = 1\n``` and ```py\nb = 2\n``` end")).otherwise(F.col("text"))
+    return t.benchmark.select("item_id", T.extract_code(x).alias("code"))
+
+
+SCORED = "SELECT d.doc_id, lang, source, length(text) AS n, quality = 1 AS before, toxic = 0 AS after FROM documents d JOIN labels l USING (doc_id)"
+
+
+def scored(t: Tables):
+    return t.documents.join(t.labels, "doc_id").select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("n"), (F.col("quality") == 1).alias("before"), (F.col("toxic") == 0).alias("after"))
+
+
+@query(f"SELECT lang, source, count(*)::BIGINT AS cases, count(*) FILTER (before)::BIGINT AS passed, count(*) FILTER (before)::DOUBLE / count(*) AS accuracy, sum(n)::BIGINT AS chars FROM ({SCORED}) GROUP BY GROUPING SETS ((lang), (source), ())")
+def eval_buckets(t: Tables):
+    return scoring.buckets(scored(t), ("lang", "source"), F.col("before"), F.col("n"))
+
+
+@query("SELECT role AS id, count(*)::BIGINT AS n FROM conversations GROUP BY role HAVING count(*) > 1")
+def eval_duplicate_ids(t: Tables):
+    return t.conversations.groupBy(F.col("role").alias("id")).agg(F.count("*").alias("n")).where("n > 1")
+
+
+@query(f"SELECT avg((trim(a) = trim(text))::INT)::DOUBLE AS accuracy FROM (SELECT text, {ANSWER} AS a FROM benchmark)")
+def bench_exact(t: Tables):
+    return answers(t).agg(F.coalesce(F.avg((F.trim("answer") == F.trim("text")).cast("double")), F.lit(0.0)).alias("accuracy"))
+
+
+FLIPS = f"SELECT lang, count(*) FILTER (before AND NOT after)::BIGINT AS newly_failed, count(*) FILTER (after AND NOT before)::BIGINT AS newly_passed FROM ({SCORED}) GROUP BY lang"
+
+
+@query(FLIPS)
+def eval_compare_flips(t: Tables):
+    return scoring.flips(scored(t), "lang")
+
+
+@query(f"SELECT lang, round_even(100 * (count(*) FILTER (after)::DOUBLE / count(*) - count(*) FILTER (before)::DOUBLE / count(*)), 0)::BIGINT AS points FROM ({SCORED}) GROUP BY lang")
+def eval_compare_rates(t: Tables):
+    rate = lambda c: F.count_if(c).cast("double") / F.count("*")
+    return scored(t).groupBy("lang").agg(F.bround(100 * (rate(F.col("after")) - rate(F.col("before")))).cast("bigint").alias("points"))
+
+
+@query("SELECT * FROM (VALUES (0::BIGINT, 4::BIGINT, 0.125::DOUBLE, 'uncertain'), (0, 2, 0.5, 'uncertain'), (0, 6, 0.03125, 'real'), (3, 3, 1.0, 'uncertain'), (0, 0, 1.0, 'unchanged')) v(newly_failed, newly_passed, p, verdict)")
+def mcnemar_p(t: Tables):
+    rows = t.spark.createDataFrame([(0, 4), (0, 2), (0, 6), (3, 3), (0, 0)], "newly_failed bigint, newly_passed bigint")
+    p = scoring.mcnemar(F.col("newly_failed"), F.col("newly_passed"))
+    return rows.withColumn("p", p).withColumn("verdict", scoring.verdict(F.col("newly_failed") + F.col("newly_passed"), F.col("p")))
+
+
+RUNS = "SELECT user_id AS id, count(*) FILTER (event_type = 'click') AS clicks, max(value) > 50 AS completed, count(*) % 3 = 0 AS answered FROM events GROUP BY user_id"
+VERDICT = "CASE WHEN NOT completed THEN 'not completed' WHEN NOT answered THEN 'wrong answer' WHEN clicks = 0 THEN 'missing tool' END"
+
+
+def agent_runs(t: Tables, shift: int = 0):
+    return t.events.groupBy(F.col("user_id").alias("id")).agg(F.count_if(F.col("event_type") == "click").alias("clicks"), (F.max("value") > 50).alias("completed"), ((F.count("*") + shift) % 3 == 0).alias("answered"))
+
+
+def verdicts(t: Tables, shift: int = 0):
+    used = F.when(F.col("clicks") > 0, F.array(F.lit("terminal"))).otherwise(F.array().cast("array<string>"))
+    return agent_runs(t, shift).select("id", scoring.agent_reason(F.col("completed"), F.col("answered"), F.array(F.lit("terminal")), used).alias("reason"))
+
+
+@query(f"SELECT id, {VERDICT} AS reason FROM ({RUNS})")
+def agent_verdict(t: Tables):
+    return verdicts(t)
+
+
+@query(f"SELECT count(*)::BIGINT AS total, count(*) FILTER (r IS NULL)::BIGINT AS passed, count(*) FILTER (r IS NULL)::DOUBLE / count(*) AS rate FROM (SELECT {VERDICT} AS r FROM ({RUNS}))")
+def agent_report(t: Tables):
+    ok = F.count_if(F.col("reason").isNull())
+    return verdicts(t).agg(F.count("*").alias("total"), ok.alias("passed"), (ok.cast("double") / F.count("*")).alias("rate"))
+
+
+@query(f"""WITH a AS (SELECT id, ({VERDICT}) IS NULL AS ok FROM ({RUNS}) WHERE id % 2 = 0), b AS (SELECT id, ({VERDICT.replace('NOT answered', 'NOT again')}) IS NULL AS ok FROM ({RUNS.replace(' AS answered', ' AS answered, (count(*) + 1) % 3 = 0 AS again')}) WHERE id % 3 = 0)
+SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL OR b.id IS NULL THEN 'only in one' WHEN a.ok = b.ok THEN 'same' WHEN b.ok THEN 'newly passed' ELSE 'newly failed' END AS change FROM a FULL JOIN b ON a.id = b.id""")
+def agent_compare(t: Tables):
+    a = verdicts(t).where("id % 2 = 0").select("id", F.col("reason").isNull().alias("before"))
+    b = verdicts(t, 1).where("id % 3 = 0").select("id", F.col("reason").isNull().alias("after"))
+    change = F.when(F.col("before").isNull() | F.col("after").isNull(), "only in one").when(F.col("before") == F.col("after"), "same").when(F.col("after"), "newly passed").otherwise("newly failed")
+    return a.join(b, "id", "full_outer").select("id", change.alias("change"))
+
+
+AMOUNT = "'Total: 1.' || lpad((event_id % 1000)::VARCHAR, 3, '0') || ' dong, or ' || event_id || ',5'"
+
+
+def amounts():
+    k = F.col("event_id")
+    return F.concat(F.lit("Total: 1."), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(" dong, or "), k.cast("string"), F.lit(",5"))
+
+
+@query("SELECT event_id, 'total: 1' || lpad((event_id % 1000)::VARCHAR, 3, '0') || ' dong, or ' || event_id || ',5' AS normalized FROM events")
+def answer_normalize(t: Tables):
+    return t.events.select("event_id", T.normalize_answer(amounts()).alias("normalized"))
+
+
+@query("SELECT event_id, (1000 + event_id % 1000)::DOUBLE AS first, event_id + 0.5::DOUBLE AS second FROM events")
+def answer_numbers(t: Tables):
+    n = T.answer_numbers(amounts())
+    return t.events.select("event_id", n[0].cast("double").alias("first"), n[1].cast("double").alias("second"))
+
+
+@query("SELECT event_id, (event_id % 1000 = 500 OR event_id = 1500) AS matches FROM events")
+def answer_match(t: Tables):
+    return t.events.select("event_id", T.answer_matches(amounts(), F.array(F.lit("1500"), F.lit("DONG"))).alias("matches"))
+
+
+TOKENS = f"SELECT conv_id, least(1024, ceil(list_sum(list_transform(m, lambda x: length(x.content))) / 3.4) + 5 * len(m))::BIGINT AS tokens FROM ({CONV})"
+
+
+def tokens(t: Tables):
+    return conversations(t).select("conv_id", cost.row_tokens(F.col("messages"), 1024).alias("tokens"))
+
+
+@query(TOKENS)
+def est_row_tokens(t: Tables):
+    return tokens(t)
+
+
+@query(f"SELECT sum(m * n)::DOUBLE / sum(n) AS average FROM (SELECT max(tokens) AS m, count(*) AS n FROM (SELECT tokens, (row_number() OVER (ORDER BY conv_id) - 1) // 4 AS b FROM ({TOKENS})) GROUP BY b)")
+def est_padded_tokens(t: Tables):
+    """Rows in order of id, in batches of 4, padded to the longest of each."""
+    return cost.padded_average(tokens(t), "conv_id", "tokens", 4)
+
+
+@query("SELECT * FROM (VALUES ('T4', 15.0::DOUBLE, 5.2::DOUBLE, 190.0::DOUBLE, 0.025::DOUBLE)) v(name, memory_gb, train_tflops, memory_gbps, token_overhead_s)")
+def est_gpu_profile(t: Tables):
+    return cost.gpu_profile(t.spark, "NVIDIA Tesla T4")
+
+
+MODELS = "(VALUES (0.49::DOUBLE), (4.02::DOUBLE), (14.0::DOUBLE)) m(params_b)"
+
+
+def models(t: Tables):
+    return t.spark.createDataFrame([(0.49,), (4.02,), (14.0,)], "params_b double")
+
+
+@query(f"SELECT params_b, 125::BIGINT AS steps, 2 * params_b * 1e9 * (125 * (16 * 820.0::DOUBLE)) * 3 / (5.2 * 1e12) / 60 AS train_minutes, 0.025 + 2 * params_b / 190.0 AS token_seconds FROM {MODELS}")
+def est_training(t: Tables):
+    return models(t).select("params_b", F.lit(cost.training_steps(2000, 4, 4, 1)).cast("bigint").alias("steps"), cost.train_minutes(F.col("params_b"), 125 * (16 * 820.0), 3, 5.2).alias("train_minutes"), cost.token_seconds(F.col("params_b"), 190.0, 0.025).alias("token_seconds"))
+
+
+VRAM = "params_b * bits / 8 + (params_b * bits / 8 * 0.25 + CASE WHEN p = 'bf16' THEN 0.0 ELSE 2.67 * sqrt(params_b) END) * (0.5 + 0.5 * len / 2048.0) + 1"
+PRECISIONS = "(VALUES ('bf16', 16.0::DOUBLE), ('8bit', 8.5), ('4bit', 4.5)) b(p, bits)"
+
+
+@query(f"SELECT params_b, p AS precision, params_b * bits / 8 AS weights_gb, {VRAM.replace('len', '2048.0')} AS training_gb FROM {MODELS}, {PRECISIONS}")
+def vram_table(t: Tables):
+    rows = models(t).select("params_b", F.explode(F.array(*map(F.lit, cost.BITS))).alias("precision"))
+    return rows.select("params_b", "precision", cost.weights_gb(F.col("params_b"), F.col("precision")).alias("weights_gb"), cost.training_gb(F.col("params_b"), F.col("precision"), F.lit(2048)).alias("training_gb"))
+
+
+@query(f"SELECT params_b, coalesce(max(len) FILTER ({VRAM} <= 16), 0)::BIGINT AS longest FROM {MODELS}, (VALUES ('4bit', 4.5::DOUBLE)) b(p, bits), (SELECT 64 * unnest(range(1, 5000)) AS len) GROUP BY params_b")
+def vram_max_len(t: Tables):
+    return models(t).select("params_b", cost.longest(F.col("params_b"), F.lit("4bit"), 16.0).alias("longest"))
+
+
+@query("SELECT 5.358::DOUBLE AS tflops_near, true AS close")
+def calib_train(t: Tables):
+    """Effective throughput of a measured run."""
+    one = t.spark.createDataFrame([(0.49, 13104.0, 125, 896.9, 3)], "params_b double, tokens_per_step double, steps int, seconds double, passes int")
+    got = cost.effective_tflops(F.col("params_b"), F.col("tokens_per_step"), F.col("steps"), F.col("passes"), F.col("seconds"))
+    return one.select(F.lit(5.358).cast("double").alias("tflops_near"), (F.abs(got - 5.358) < 0.05).alias("close"))
+
+
+@query("SELECT avg(d / (c / 3.4) - 2 * 0.49::DOUBLE / 190.0) AS overhead, bool_and(l) AS reliable FROM (VALUES (132.0::DOUBLE, 10000.0::DOUBLE, true), (156.0, 9000.0, false)) v(d, c, l)")
+def calib_eval(t: Tables):
+    rows = t.spark.createDataFrame([(132.0, 10000.0, True), (156.0, 9000.0, False)], "d double, c double, l boolean")
+    return rows.agg(F.avg(cost.implied_overhead(F.col("d"), F.col("c"), F.lit(0.49), 190.0)).alias("overhead"), F.bool_and("l").alias("reliable"))
+
+
+@query("SELECT doc_id, least(1.0, 0.35 + CASE WHEN quality = 1 THEN 0.25 ELSE 0 END + CASE WHEN toxic = 0 THEN 0.25 ELSE 0 END + CASE WHEN doc_id % 4 = 0 THEN 0.1 ELSE 0 END + 0.05)::DECIMAL(4, 2)::DOUBLE AS score FROM documents LEFT JOIN labels USING (doc_id)")
+def quality_score(t: Tables):
+    d = t.documents.join(t.labels, "doc_id", "left")
+    return d.select("doc_id", scoring.record_score(F.col("quality") == 1, F.col("toxic") == 0, F.col("doc_id") % 4 == 0, F.lit(True)).alias("score"))

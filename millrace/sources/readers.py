@@ -1,0 +1,76 @@
+"""Sources: records from JSON Lines, JSON, CSV and Parquet, several of them as one, limits before and after a filter, and file digests."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
+
+
+def load_records(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """By suffix. JSON is a list of records, or an object whose `examples` is one; CSV columns are all strings."""
+    suffix = path.rstrip("/").rpartition(".")[2].lower()
+    reader = spark.read.schema(schema) if schema else spark.read
+    if suffix == "jsonl":
+        return reader.json(path)
+    if suffix == "json":
+        df = reader.option("multiLine", True).json(path)
+        if df.columns == ["examples"] and isinstance(df.schema["examples"].dataType, ArrayType):
+            return df.select(F.explode("examples").alias("r")).select("r.*")
+        return df
+    if suffix == "csv":
+        return reader.option("header", True).csv(path)
+    if suffix in ("parquet", "pq"):
+        return reader.parquet(path)
+    raise ValueError(f"no reader for .{suffix} files: {path}")
+
+
+def load_all(spark: SparkSession, paths: list[str], schema: StructType | str | None = None) -> DataFrame:
+    """Records of all sources, with `source_no` for their order."""
+    if not paths:
+        raise ValueError("no sources")
+    out = None
+    for number, path in enumerate(paths):
+        df = load_records(spark, path, schema).withColumn("source_no", F.lit(number))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
+@dataclass(frozen=True)
+class SourceSpec:
+    name: str
+    license: str
+    mapping: dict[str, str] = field(default_factory=dict)
+    messages_field: str | None = None
+    where: tuple[tuple[str, object], ...] = ()
+    scan_limit: int | None = None
+    limit: int | None = None
+
+    def __post_init__(self):
+        if not self.name or not self.license:
+            raise ValueError("a source needs a name and a license")
+        if not self.messages_field and not {"input", "expected_output"} <= set(self.mapping):
+            raise ValueError("a source needs messages_field, or a mapping of input and expected_output")
+        if self.where and (not isinstance(self.scan_limit, int) or self.scan_limit < 1):
+            raise ValueError("a filter needs a positive scan_limit")
+
+
+def scan(spec: SourceSpec, loader: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of a source: scan_limit bounds what is read, then the filter, then limit."""
+    df = loader()
+    if spec.scan_limit:
+        df = df.limit(spec.scan_limit)
+    for column, value in spec.where:
+        df = df.where(F.col(column).eqNullSafe(F.lit(value)))
+    return df.limit(spec.limit) if spec.limit else df
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+
+def text_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path, wholetext=True)
