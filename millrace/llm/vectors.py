@@ -122,7 +122,9 @@ def slice_hash(run: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
 
 def gram_hash(codes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n codes, by its first place; there are n - 1 fewer of them than codes."""
-    out = np.zeros(max(0, len(codes) - n + 1), U64)
+    if len(codes) < n:
+        return np.zeros(0, U64)
+    out = np.zeros(len(codes) - n + 1, U64)
     factor = 1
     for k in range(n):
         factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
