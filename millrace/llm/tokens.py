@@ -53,19 +53,24 @@ def public_config(name: str = "byte_bpe_multi_50k.tiktoken") -> TokenConfig:
 def _encoder(vocabulary: bytes, config: TokenConfig):
     import tiktoken
 
+    # a worker serves many tasks; the library's module outlives them, this function's own globals do not
+    held, name = tiktoken.__dict__.setdefault("_held_encoders", {}), (zlib.crc32(vocabulary), len(vocabulary), config.pattern)
+    if name in held:
+        return held[name]
     ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
-    return tiktoken.Encoding("given", pat_str=config.pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    held[name] = tiktoken.Encoding("given", pat_str=config.pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return held[name]
 
 
 def _encoded(batches, vocabulary: bytes, config: TokenConfig):
     """(doc_id, ids with the end mark) of each text that has any."""
     encode = _encoder(vocabulary, config)
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1)):
-            if text := text.as_py():
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if text:
                 ids = encode(text)
                 ids.append(config.end)
-                yield doc_id.as_py(), ids
+                yield doc_id, ids
 
 
 def count_sequences(vocabulary: bytes, config: TokenConfig):
