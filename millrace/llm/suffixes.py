@@ -1,18 +1,15 @@
-"""Operator 6: substring dedup on a sparse suffix array.
+"""Operator 6: substring dedup on sparse suffixes.
 
 A repeated passage is `length` or more words that stand in two places, in one document or two, with A-Z lower-cased.
 
 1. Of all suffixes, those stay that begin at a minimiser: a word whose k-gram hash is the least of some window of
    consecutive k-grams. Windows are so short that every passage of `length` words has a minimiser in its first
    `slack` + 1 words, at the same place in each copy; its first core = length - slack words from there on are then equal.
-2. Suffixes whose core stands in one place alone go (a count by hash). The others are sorted, by the hash of their core
-   and then by the words that follow: that is the suffix array, with an order of hashes in place of letters.
-3. Neighbours of one core are compared and extended: to the right by the words that follow, to the left by those before,
-   up to `slack` words each way, which reaches the passage's next and last minimiser. Where two neighbours together have
-   `length` words in common, the later of them, by (doc_id, word), repeats the earlier in that stretch.
-4. Suffixes that have no earlier neighbour yet, and the two ends of every partition, are sorted and compared again, now
-   by the words before, then again by those after, until a round finds nothing: a suffix is done once it has met an
-   earlier copy. Each round has at most about half the linked suffixes of the one before.
+2. Suffixes whose core stands in one place alone go (a count by hash).
+3. Around each suffix that stays lie up to slack + 1 stretches of `length` words that hold its core, one for each split
+   of the other words between its two sides; of them those stay whose first window has its least at this suffix. Which
+   suffix that is depends on the words of the stretch alone, so every passage that stands in two places stays in both.
+4. Stretches are grouped by the hash of their words. The earliest of a group, by (doc_id, word), stays; all others repeat it.
 5. Overlapping stretches of a document are joined, so a passage of any length comes out whole.
 
 A run of one repeated word has no minimiser but its first, so it is no passage by itself. Null and empty texts and
@@ -39,7 +36,6 @@ class RepeatConfig:
     length: int = 50  #: words
     gram: int = 8
     slack: int = 17  #: words before the first minimiser of a passage
-    single: int = 50_000  #: suffixes that are sorted in one partition, which has no inner ends
 
     @property
     def window(self) -> int:
@@ -58,14 +54,20 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
 
 
+def _grams(codes: np.ndarray, config: RepeatConfig) -> np.ndarray:
+    """Hashes of k-grams; inside a run of one word all but the first are the greatest."""
+    grams = V.gram_hash(codes, config.gram)
+    same = np.concatenate([[False], codes[1:] == codes[:-1]])[: len(grams)] & (grams == np.concatenate([[0], grams[:-1]]))
+    grams[same] = _LAST
+    return grams
+
+
 def minimisers(codes: np.ndarray, first: np.ndarray, config: RepeatConfig) -> np.ndarray:
     """Places of the suffixes that stay. first: where each text's words begin, the end last."""
     n = len(codes)
     if n < config.length:
         return np.zeros(0, np.int64)
-    grams = V.gram_hash(codes, config.gram)
-    same = np.concatenate([[False], codes[1:] == codes[:-1]])[: len(grams)] & (grams == np.concatenate([[0], grams[:-1]]))
-    grams[same] = _LAST
+    grams = _grams(codes, config)
     least = _sliding(grams, config.window, np.minimum)
     # windows count only inside a text that has a whole passage from their first word on
     text = np.searchsorted(first, np.arange(len(least)), "right") - 1
@@ -102,8 +104,8 @@ def suffix_hashes(config: RepeatConfig):
     return run
 
 
-def suffix_records(config: RepeatConfig):
-    """Rows doc_id, text, places: a row for each place, with its core's hash and the words on both sides of the core."""
+def passage_rows(config: RepeatConfig):
+    """Rows doc_id, text, places: a row for each stretch of `length` words whose first minimiser window has its least at a place, with its hash."""
 
     def run(batches):
         for batch, raw, at in V.chunks(batches):
@@ -111,111 +113,65 @@ def suffix_records(config: RepeatConfig):
             lists = batch.column(batch.schema.get_field_index("places"))
             text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             places = lists.flatten().to_numpy().astype(np.int64) + first[text]
-            short = np.concatenate([(codes >> V.U64(32)).astype(">u4") | 1, np.zeros(config.core + 1, ">u4")])
-            sides = []
-            for offset, step in ((config.core, 1), (-1, -1)):
-                where = places[:, None] + offset + step * np.arange(config.slack)
-                good = (where >= first[text][:, None]) & (where < first[text + 1][:, None])
-                rows = np.where(good, short[np.clip(where, 0, len(short) - 1)], 0).astype(">u4")
-                sides.append(pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * config.slack), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary()))
+            starts = places[:, None] - np.arange(config.slack + 1)
+            good = (starts >= first[text][:, None]) & (starts + config.length <= first[text + 1][:, None])
+            grams = _grams(codes, config)
+            least = _sliding(grams, config.window, np.minimum) if len(codes) >= config.length else np.zeros(1, V.U64)
+            good &= least[np.clip(starts, 0, len(least) - 1)] == grams[places][:, None]
+            held = np.zeros(len(codes), bool)
+            held[starts[good]] = True
+            low = np.flatnonzero(held)
+            text = np.searchsorted(first, low, "right") - 1
             ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([pa.array(V.signed(core_hashes(codes, places, config))), *sides, ids, pa.array((places - first[text]).astype(np.int32))], names=["core", "after", "before", "doc_id", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(V.signed(V.gram_hash(codes, config.length)[low])), ids, pa.array((low - first[text]).astype(np.int32))], names=["passage", "doc_id", "low"])
 
     return run
 
 
-def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Leading words that the rows of a and b share; 0 stands for no word."""
-    return np.cumprod((a == b) & (a != 0), axis=1).sum(axis=1)
-
-
-def neighbours(config: RepeatConfig):
-    """Rows in sorted order. Out come stretches that repeat an earlier neighbour, and the rows that go to the next round."""
-
-    def rows_of(batch):
-        sides = [np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u4").reshape(-1, config.slack) for i in (1, 2)]
-        return [batch.column(0).to_numpy(), *sides, batch.column(3).to_numpy(), batch.column(4).to_numpy(), np.zeros(batch.num_rows, bool)]
-
-    def stretches(late, early, left, right):
-        """Of rows of `late` that repeat rows of `early`."""
-        low, high = late[4] - left, late[4] + config.core + right
-        n = len(low)
-        return pa.RecordBatch.from_arrays([pa.array(late[3]), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array(early[3]), pa.array((early[4] - left).astype(np.int32)), *(pa.nulls(n, t) for t in KINDS[5:])], names=NAMES)
+def joined(config: RepeatConfig):
+    """Rows doc_id, low, first_doc_id, first_low in order: stretches of `length` words that overlap or touch become one."""
 
-    def onward(rows):
-        n = len(rows[0])
-        sides = [pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * config.slack), n, [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary()) for x in rows[1:3]]
-        return pa.RecordBatch.from_arrays([pa.array(rows[3]), *(pa.nulls(n, t) for t in KINDS[1:5]), pa.array(rows[0]), *sides, pa.array(rows[4].astype(np.int32))], names=NAMES)
+    def rows_of(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=NAMES)
 
     def run(batches):
-        held = None
+        held = None  # the last stretch, which may go on
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = rows_of(batch)
-            if held is None:
-                yield onward([x[:1] for x in rows])  # the partition's first: its neighbour is elsewhere
-                rows[5][0] = True  # so it is not sent on twice
-            else:
+            ids, low, first_ids, first_low = (batch.column(i).to_numpy() for i in range(4))
+            rows = [ids, low, low + np.int32(config.length), first_ids, first_low]
+            if held is not None:
                 rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
-            core, after, before, ids, place, done = rows
-            same = core[1:] == core[:-1]
-            right, left = (np.where(same, common(x[1:], x[:-1]), 0) for x in (after, before))
-            good = same & (config.core + right + left >= config.length)
-            later = (ids[1:] > ids[:-1]) | (ids[1:] == ids[:-1]) & (place[1:] > place[:-1])
-            equal = (ids[1:] == ids[:-1]) & (place[1:] == place[:-1])  # one place of repeated rows
-            for which, at in ((good & later, 1), (good & ~later & ~equal, 0)):
-                k = np.flatnonzero(which)
-                done[k + at] = True
-                if len(k):
-                    yield stretches([x[k + at] for x in rows], [x[k + 1 - at] for x in rows], left[k], right[k])
-            done[1:] |= equal
-            on = np.flatnonzero(~done[:-1])
-            if len(on):
-                yield onward([x[on] for x in rows])
-            held = [x[-1:].copy() for x in rows]
-        if held is not None and not held[5][0]:
-            yield onward(held)
+            heads = np.flatnonzero(np.concatenate([[True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] > rows[2][:-1])]))
+            out = [x[heads] for x in rows]
+            out[2] = rows[2][np.concatenate([heads[1:], [len(rows[0])]]) - 1]
+            yield rows_of([x[:-1] for x in out])
+            held = [x[-1:].copy() for x in out]
+        if held is not None:
+            yield rows_of(held)
 
     return run
 
 
-NAMES = ["doc_id", "low", "high", "first_doc_id", "first_low", "core", "after", "before", "place"]
-KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32()]
+NAMES = ["doc_id", "low", "high", "first_doc_id", "first_low"]
 
 
 def repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig()) -> DataFrame:
     """docs: doc_id (long), text. A row for each stretch that repeats an earlier one: doc_id, low, high (words), first_doc_id, first_low.
 
     Shuffles: core hashes to their count (pre-aggregated), places to the cores that repeat, texts once to their places,
-    and the suffixes that are left, in ranges, so that a passage with a third of all rows is many ranges.
+    stretches to the first of their hash (pre-aggregated), then to those that repeat, and the repeats to their documents.
+    A passage that a third of all documents hold is a few hashes, whose stretches a skewed join splits.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     hashes = docs.mapInArrow(suffix_hashes(config), "core long, doc_id long, place int")
     again = hashes.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
     places = hashes.join(again, "core").groupBy("doc_id").agg(F.array_sort(F.collect_set("place")).alias("places"))
-    records = docs.join(places, "doc_id").mapInArrow(suffix_records(config), "core long, after binary, before binary, doc_id long, place int")
-    found, left, turn = None, None, 0
-    while True:
-        order = ["core", *(("after", "before"), ("before", "after"))[turn % 2], "doc_id", "place"]
-        dealt = records.repartitionByRange(*order) if left is None or left > config.single else records.repartitionByRange(1, *order)
-        step = written(dealt.sortWithinPartitions(*order).mapInArrow(neighbours(config), "doc_id long, low int, high int, first_doc_id long, first_low int, core long, after binary, before binary, place int"), "neighbours")
-        new = step.where("low is not null").select(*NAMES[:5])
-        records = step.where("low is null").select("core", "after", "before", "doc_id", "place")
-        found = new if found is None else found.union(new)
-        now, got = step.agg(F.count(F.when(F.col("low").isNull(), 1)), F.count("low")).first()
-        turn += 1
-        if not now or (turn > 1 and not got):
-            break
-        left = now
-    rows = found
-    by_doc = rows.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("low", "high", "first_doc_id", "first_low"))).alias("all"))
-    merged = F.aggregate(
-        "all",
-        F.array().cast("array<struct<low:int,high:int,first_doc_id:bigint,first_low:int>>"),
-        lambda out, s: F.when((F.size(out) > 0) & (s["low"] <= F.element_at(out, -1)["high"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["low"].alias("low"), F.greatest(F.element_at(out, -1)["high"], s["high"]).alias("high"), F.element_at(out, -1)["first_doc_id"].alias("first_doc_id"), F.element_at(out, -1)["first_low"].alias("first_low"))))).otherwise(F.concat(out, F.array(s))),
-    )
-    return by_doc.select("doc_id", F.explode(merged).alias("s")).select("doc_id", "s.low", "s.high", "s.first_doc_id", "s.first_low")
+    rows = written(docs.join(places, "doc_id").mapInArrow(passage_rows(config), "passage long, doc_id long, low int"), "passages")
+    first = rows.groupBy("passage").agg(F.min(F.struct("doc_id", "low")).alias("first"), F.count("*").alias("n")).where("n > 1").select("passage", F.col("first.doc_id").alias("first_doc_id"), F.col("first.low").alias("first_low"))
+    later = rows.join(first, "passage").where("doc_id <> first_doc_id or low <> first_low").select("doc_id", "low", "first_doc_id", "first_low")
+    return later.repartition("doc_id").sortWithinPartitions("doc_id", "low", "first_doc_id", "first_low").mapInArrow(joined(config), "doc_id long, low int, high int, first_doc_id long, first_low int")
 
 
 def _cut(batches):

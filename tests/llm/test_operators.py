@@ -183,6 +183,37 @@ def test_lines(spark, docs):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def brute_repeats(rows):
+    seen, cover = set(), {}
+    for d, t in sorted(rows):
+        w = WORD.findall(low(t))
+        for k in range(len(w) - 49):
+            if (g := tuple(w[k : k + 50])) in seen:
+                cover.setdefault(d, set()).update(range(k, k + 50))
+            seen.add(g)
+    return cover
+
+
+def covered(found):
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.doc_id, set()).update(range(r.low, r.high))
+    return got
+
+
+def test_suffixes_around_shared_boilerplate(spark):
+    """One passage with varying words on each side: no order of the suffixes has all copies of a repeat side by side."""
+    r = random.Random(11)
+    passage = [f"p1_{k}" for k in range(48)]
+    rows = []
+    for d in range(600):
+        left, right = [f"l{r.randrange(20)}"], [f"r{r.randrange(20)}"]
+        rows.append((d, " ".join([f"x{d}a{k}" for k in range(20)] + left + passage + right + [f"x{d}b{k}" for k in range(20)])))
+    want = brute_repeats(rows)
+    assert len(want) > 200
+    assert covered(suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == want
+
+
 def test_toxicity():
     r = random.Random(2)
     words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
