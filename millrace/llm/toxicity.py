@@ -39,13 +39,13 @@ TRIPLES = SYMBOLS**3
 class ToxicConfig:
     each: int = 2500  #: labelled rows of either label to learn from, the bound of the sample
     telling: int = 128  #: landmarks among the words of toxic texts
-    clean: int = 64  #: landmarks among the words of clean texts
+    clean: int = 256  #: landmarks among the words of clean texts
     decay: float = 0.8
     gamma: float = 2.0  #: of the Gaussian
-    near: float = 0.7  #: string kernel with a telling landmark that a word must be able to reach
+    near: float = 0.5  #: most of the string kernel with a telling landmark that a word must be able to reach; less if a copy with a letter put in or left out has less
     rounds: int = 4
     cost: float = 30.0
-    gapped: int = 2  #: copies of each toxic word with one letter put in, which the machine learns beside it
+    gapped: int = 8  #: copies of each toxic word with one letter put in, which the machine learns beside it
     seed: int = 7
 
 
@@ -86,6 +86,7 @@ def norms(lengths: np.ndarray, decay: float) -> np.ndarray:
 class ToxicModel:
     config: ToxicConfig
     reach: np.ndarray  #: for each triple its greatest part in a telling landmark
+    least: float  #: bound on the string kernel from which on a word reaches the machine
     table: np.ndarray  #: triples x landmarks
     slots: np.ndarray  #: for each triple its row of table
     weights: np.ndarray  #: for each landmark
@@ -95,15 +96,18 @@ class ToxicModel:
     shift: float
     known: dict = field(default_factory=dict)  #: values of words that have been met
 
+    def bound(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """What the string kernel of each word with any telling landmark is at most."""
+        total = np.zeros(len(symbols), np.float32)
+        for span, codes, inside in triples(symbols, begin, end):
+            total += self.reach[codes] * (np.float32(self.config.decay**span) * inside)
+        return np.add.reduceat(total, begin) / np.maximum(norms(end - begin, self.config.decay), 1e-9)
+
     def near(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The words that may come near a telling landmark."""
         if not len(begin):
             return np.zeros(0, np.int64)
-        total = np.zeros(len(symbols), np.float32)
-        for span, codes, inside in triples(symbols, begin, end):
-            total += self.reach[codes] * (np.float32(self.config.decay**span) * inside)
-        bound = np.add.reduceat(total, begin)
-        return np.flatnonzero(bound >= self.config.near * np.maximum(norms(end - begin, self.config.decay), 1e-9))
+        return np.flatnonzero(self.bound(symbols, begin, end) >= self.least)
 
     def word_values(self, words: list[bytes]) -> np.ndarray:
         return gaussian(string_kernel(words, self.table, self.slots, self.config.decay), self.config.gamma) @ self.weights + self.bias
@@ -130,7 +134,7 @@ class ToxicModel:
 
 
 def _no_model(config: ToxicConfig) -> ToxicModel:
-    return ToxicModel(config, np.zeros(TRIPLES, np.float32), np.zeros((1, 0)), np.zeros(TRIPLES, np.int64), np.zeros(0), 0.0, 0.0, 0.0, -1e3)
+    return ToxicModel(config, np.zeros(TRIPLES, np.float32), config.near, np.zeros((1, 0)), np.zeros(TRIPLES, np.int64), np.zeros(0), 0.0, 0.0, 0.0, -1e3)
 
 
 def _features(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -155,8 +159,8 @@ def _features(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray,
 def string_kernel(words: list[bytes], table: np.ndarray, slots: np.ndarray, decay: float) -> np.ndarray:
     """Normalised kernel values of words with the landmarks that are the columns of table."""
     out = np.zeros((len(words), table.shape[1]))
-    for low in range(0, len(words), 4096):
-        who, what, weight = _features(words[low : low + 4096], decay)
+    for low in range(0, len(words), 1024):
+        who, what, weight = _features(words[low : low + 1024], decay)
         used = slots[what] > 0
         who, what, weight = who[used], what[used], weight[used]
         if len(who):
@@ -169,6 +173,16 @@ def gaussian(kernel: np.ndarray, gamma: float) -> np.ndarray:
     return np.exp(-2 * gamma * (1 - kernel))
 
 
+def put_in(word: bytes) -> list[bytes]:
+    """Copies of a word with one letter more."""
+    return [word[:k] + bytes([c]) + word[k:] for k in range(1, len(word)) for c in range(1, 27)]
+
+
+def left_out(word: bytes) -> list[bytes]:
+    """Copies of a word with one letter less; of a word of four letters or fewer little is left, which many words have."""
+    return [word[:k] + word[k + 1 :] for k in range(len(word))] if len(word) > 4 else []
+
+
 def _landmarks(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray]:
     """(table, slots) of landmarks; row 0 of the table is of triples that no landmark has."""
     who, what, weight = _features(words, decay)
@@ -186,7 +200,7 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
     ridge = np.eye(x.shape[1])
     for _ in range(20):
         active = y * (x @ w) < 1
-        a, c = x[active], weight[active]
+        a, c = x[active].astype(np.float64), weight[active]
         new = np.linalg.solve(ridge + (a * c[:, None]).T @ a, (a * c[:, None]).T @ y[active])
         if np.abs(new - w).max() < 1e-6:
             return new
@@ -232,7 +246,16 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
     marks = [words[i] for i in telling]
     table, slots = _landmarks(marks, config.decay)
     model = _no_model(config)
-    model.reach[slots > 0] = table[slots[slots > 0]].max(axis=1)
+    # words that stand in so many toxic texts, and no clean one, that chance at the share of toxic texts leaves none of all words
+    certain = (in_clean == 0) & (in_toxic * -np.log(np.mean(y)) > np.log(100 * len(words)))
+    gates = sorted({*marks, *(words[i] for i in np.flatnonzero(certain))})
+    gate_table, gate_slots = _landmarks(gates, config.decay)
+    model.reach[gate_slots > 0] = gate_table[gate_slots[gate_slots > 0]].max(axis=1)
+    for word in (words[i] for i in np.flatnonzero(certain)):
+        copies = np.frombuffer(b"\0".join([*put_in(word), *left_out(word)]) + b"\0", np.uint8)
+        begin, end = word_places(copies)
+        if len(begin):
+            model.least = min(model.least, float(model.bound(copies, begin, end).min()) - 1e-4)
     # only words that may come near a telling landmark count from here on
     symbols = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
     near = model.near(symbols, *word_places(symbols))
@@ -247,12 +270,14 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
     white = axes[:, good] / np.sqrt(level[good])
 
     def mapped(some):
-        return np.column_stack([gaussian(string_kernel(some, table, slots, config.decay), config.gamma) @ white, np.ones(len(some))])
+        out = np.ones((len(some), white.shape[1] + 1), np.float32)
+        for low in range(0, len(some), 1024):
+            out[low : low + 1024, :-1] = gaussian(string_kernel(some[low : low + 1024], table, slots, config.decay), config.gamma) @ white
+        return out
 
     x = mapped([words[i] for i in near])
     toxic = [own for mine, label in zip(owned, y) if label and len(own := place[mine][place[mine] >= 0])]
-    # words that stand in so many toxic texts, and no clean one, that chance at the share of toxic texts leaves none of all words
-    sure = np.flatnonzero((in_clean[near] == 0) & (in_toxic[near] * -np.log(np.mean(y)) > np.log(100 * len(words))))
+    sure = np.flatnonzero(certain[near])
     value, w = pull[near], np.zeros(x.shape[1])
     for _ in range(config.rounds):
         plus = np.array([own[np.argmax(value[own])] for own in toxic], np.int64)
@@ -262,7 +287,7 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
         rows = np.concatenate([x[plus], np.repeat(mapped(apart), more, axis=0), x[clean]])
         w = _machine(rows, np.concatenate([np.ones(len(plus) + more * len(apart)), -np.ones(len(clean))]), config.cost)
         value = x @ w
-    model = ToxicModel(config, model.reach, table, slots, white @ w[:-1], float(w[-1]), 0.0, 1.0, 0.0)
+    model = ToxicModel(config, model.reach, model.least, table, slots, white @ w[:-1], float(w[-1]), 0.0, 1.0, 0.0)
     model.floor = float(min(w[-1], value.min(initial=0.0), -1.0))
     # one toxic word is enough: the logistic function parts the toxic words, plain and gapped, from the highest words of clean texts
     low = np.array([value[place[mine][place[mine] >= 0]].max(initial=model.floor) for mine in [mine for mine, label in zip(apart_texts, apart_y) if not label]])

@@ -214,6 +214,22 @@ def test_suffixes_around_shared_boilerplate(spark):
     assert covered(suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == want
 
 
+def test_toxicity_reaches_changed_words():
+    """Words with a letter put in or left out come to the machine."""
+    r = random.Random(2)
+    words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
+    bad = ["zogrik", "mufwad", "kwibe", "drazz", "pojum"]
+    rows = [(" ".join([*(r.choice(words) for _ in range(40)), *([bad[i // 4 % 5]] if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(500)]
+    model = toxicity.train([t for t, _ in rows], [y for _, y in rows], toxicity.ToxicConfig())
+    import pyarrow as pa
+
+    for word in bad:
+        changed = [word[:k] + c + word[k:] for k in range(1, len(word)) for c in "aeqxz"] + [word[:k] + word[k + 1 :] for k in range(len(word))]
+        symbols, _ = toxicity.stream(*V.buffers(pa.array(changed)), digits=True)
+        begin, end = toxicity.word_places(symbols)
+        assert len(model.near(symbols, begin, end)) == len(changed), word
+
+
 def test_toxicity():
     r = random.Random(2)
     words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
