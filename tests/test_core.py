@@ -98,6 +98,14 @@ def test_similarity_join_against_brute_force(spark):
     assert got == want
 
 
+def test_candidates_are_all_pairs_of_a_bucket(spark):
+    """Texts 2 and 3 meet only in a bucket that another text leads."""
+    rows = [(1, [1, 1, 2, 2]), (2, [1, 1, 3, 3]), (3, [1, 1, 4, 4]), (4, [9, 9, 9, 9])]
+    signs = spark.createDataFrame([(i, k, v) for i, s in rows for k, v in enumerate(s)], "id long, slot int, value long")
+    got = [(r.a, r.b) for r in similarity.band_candidates(signs, 4, 2).collect()]
+    assert sorted(got) == [(1, 2), (1, 3), (2, 3)]
+
+
 def test_mixes(spark):
     assert mixing.mix_counts({"a": 0.4, "b": 0.3, "c": 0.3}, {"a": 1000, "b": 1000, "c": 1000}) == {"a": 1000, "b": 750, "c": 750}
     assert mixing.synthetic_split(2000, 0.1) == (1800, 200)
