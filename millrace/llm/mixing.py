@@ -118,15 +118,17 @@ def _place_of_last(blocks: np.ndarray, key: np.ndarray) -> np.ndarray:
     return V.unfeistel((pairs[0] - V.U64(1)).astype(np.int64), pairs[0], pairs[1])[back.reshape(-1)]
 
 
-def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mix:
-    """docs: doc_id, source, text; other columns are ignored.
+def mix_sources(docs: DataFrame, config: MixConfig = MixConfig(), row: str | None = None) -> Mix:
+    """docs: doc_id, source, text; other columns are ignored, but `row`, which orders ties and is carried to the places.
 
     Shuffles: counts by source and bucket (pre-aggregated), one by (source, bucket) of a row for each document without
     its text, one by (source, block). No group is larger than a bucket or a block, however large a source is.
     """
     spark = docs.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    sized = written(docs.select("doc_id", "source", "text").mapInArrow(word_counts, f"doc_id {kinds['doc_id']}, source {kinds['source']}, size long"), "sizes")
+    more = [row] if row else []
+    kept = ["doc_id", "source", *more]
+    sized = written(docs.select(*kept, "text").mapInArrow(word_counts, ", ".join(f"{c} {kinds[c]}" for c in kept) + ", size long"), "sizes")
     found = [tuple(r) for r in sized.groupBy("source").agg(F.sum("size"), F.count("*")).collect()]
     found.sort(key=lambda r: (r[0] is None, r[0]))  # Python compares by code point
     sizes, rows = [int(r[1]) for r in found], sum(r[2] for r in found)
@@ -138,13 +140,13 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig()) -> Mix:
     d = d.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)).cast("int"))
     base = d.groupBy("source_ix", "bucket").agg(F.sum("size").alias("n"))
     base = base.select("source_ix", "bucket", (F.sum("n").over(Window.partitionBy("source_ix").orderBy("bucket")) - F.col("n")).alias("base"))
-    order = Window.partitionBy("source_ix", "bucket").orderBy("doc_id", "size")
+    order = Window.partitionBy("source_ix", "bucket").orderBy("doc_id", "size", *more)
     d = d.withColumn("nth", F.row_number().over(order)).withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     d = d.join(base, ["source_ix", "bucket"]).withColumn("start", F.col("base") + F.col("upto") - F.col("size"))
-    d = written(d.select("source_ix", F.struct("bucket", "nth").alias("doc_key"), "doc_id", "size", "source_size", "target", "start"), "placed")
+    d = written(d.select("source_ix", F.struct("bucket", "nth").alias("doc_key"), "doc_id", *more, "size", "source_size", "target", "start"), "placed")
     size, length = F.lit(config.block), F.col("start") + F.col("size")
-    places = d.where("size > 0").select("source_ix", "doc_key", "doc_id", "size", "start", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((length - 1) / size))).alias("block"))
-    places = places.select("source_ix", "doc_key", "doc_id", "start", "block", F.greatest(F.col("start") - F.col("block") * size, F.lit(0)).alias("low"), F.least(length - F.col("block") * size, size).alias("high"))
+    places = d.where("size > 0").select("source_ix", "doc_key", "doc_id", *more, "size", "start", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((length - 1) / size))).alias("block"))
+    places = places.select("source_ix", "doc_key", "doc_id", *more, "start", "block", F.greatest(F.col("start") - F.col("block") * size, F.lit(0)).alias("low"), F.least(length - F.col("block") * size, size).alias("high"))
     plan = spark.createDataFrame(draw_plan(sizes, goals, config), "source_ix int, shard int, first long, n long, blocks long, size long, goal long")
     slots = plan.select("source_ix", "shard", "blocks", "size", "goal", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
     slots = slots.mapInArrow(slot_blocks(config), "shard int, source_ix int, slot long, pass long, block long, words long").where("words > 0")
@@ -181,12 +183,16 @@ def _taken(batches):
 def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     """The mix as documents, with the columns of docs: a row for each document and pass, its text cut to the words taken.
 
-    n_chars, where there is such a column, is counted anew. A doc_id names one document; rows that share one are each
-    given what the mix takes of any of them. Documents without words, and passes that take nothing, give no row.
+    n_chars, where there is such a column, is counted anew. Each row of docs is a document of its own, also where ids are
+    null or repeat: texts are found by a digest of all columns, and rows that are equal in all of them have one text.
+    Documents without words, and passes that take nothing, give no row.
     """
-    mix = mix_sources(docs, config)
+    # a hash passes over nulls, so which columns are null is hashed too; two seeds make a collision as good as impossible
+    values = [x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]
+    keyed = docs.where("text is not null").withColumn("mix_row", F.concat_ws(" ", F.xxhash64(*values), F.xxhash64(F.lit(config.seed), *values)))
+    mix = mix_sources(keyed, config, "mix_row")
     taken = mix.places.join(mix.slots.select("source_ix", "block", "pass", "words"), ["source_ix", "block"]).where("words > low")
-    spans = taken.select("doc_id", "pass", F.struct((F.col("block") * config.block + F.col("low") - F.col("start")).alias("low"), (F.col("block") * config.block + F.least("high", "words") - F.col("start")).alias("high")).alias("span"))
-    spans = spans.groupBy("doc_id", "pass").agg(F.collect_list("span").alias("spans")).withColumnRenamed("doc_id", "mixed_id")
-    both = docs.where("text is not null").join(spans, docs["doc_id"].eqNullSafe(spans["mixed_id"])).select(*docs.columns, "spans")
+    spans = taken.select("source_ix", "doc_key", "mix_row", "pass", F.struct((F.col("block") * config.block + F.col("low") - F.col("start")).alias("low"), (F.col("block") * config.block + F.least("high", "words") - F.col("start")).alias("high")).alias("span"))
+    spans = spans.groupBy("source_ix", "doc_key", "mix_row", "pass").agg(F.collect_list("span").alias("spans")).select("mix_row", "spans")
+    both = keyed.dropDuplicates(["mix_row"]).join(spans, "mix_row").select(*docs.columns, "spans")
     return both.mapInArrow(_taken, docs.schema)

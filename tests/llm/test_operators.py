@@ -230,6 +230,24 @@ def test_toxicity_reaches_changed_words():
         assert len(model.near(symbols, begin, end)) == len(changed), word
 
 
+def test_mixed_documents_without_ids(spark):
+    """Rows with null or repeated ids and texts of different length, and equal rows, are documents of their own."""
+    rows = [(i if i < 8 else None if i < 14 else 7, " ".join(f"d{i}w{k}" for k in range(3 + 11 * i)), "s0") for i in range(16)]
+    rows += [(None, "the same row twice " * 10, "s0")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    config = mixing.MixConfig(block=16, shard_slots=8)
+    taken = sorted((r["size"], r.taken) for r in mixing.mix_sources(docs, config).documents.collect() if r.taken)
+    count = {}
+    for r in mixing.mixed_documents(docs, config).collect():
+        for w in r.text.split():
+            count[w] = count.get(w, 0) + 1
+    assert sum(count.values()) == sum(t for _, t in taken)
+    size = lambda i: 3 + 11 * i
+    got = {i: sum(n for w, n in count.items() if w.startswith(f"d{i}w")) for i in range(16)}
+    assert sorted((size(i), n) for i, n in got.items() if n) == [x for x in taken if x[0] in {size(i) for i in range(16)}]
+    assert max(count[w] for w in count if w[0] == "d") <= 2
+
+
 def test_toxicity():
     r = random.Random(2)
     words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
