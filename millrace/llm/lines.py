@@ -1,7 +1,8 @@
 """Operator 10: substring dedup by hashing lines, and the sentences of lines.
 
 A unit is a line, or a sentence of a line of several. A unit's digest is 128 bits over its words, with A-Z lower-cased
-and white space between words as one space; shorter units than the least size are no candidates. Digests are grouped
+and white space between words as one space. Every line with a word is a candidate; sentences inside a line are none
+below the least size. Digests are grouped
 over all documents; the occurrence with the smallest (doc_id, offset) is kept, all others are removed, and each removal
 keeps its offsets in the original text and where the kept occurrence is.
 
@@ -26,8 +27,8 @@ _SECOND_INVERSE = V.U64(pow(int(_SECOND), -1, 1 << 64))
 
 @dataclass(frozen=True)
 class LineConfig:
-    min_words: int = 6
-    min_bytes: int = 48  #: of a unit with fewer words, so that scripts without spaces have units too
+    min_words: int = 6  #: of a sentence that is a unit beside its line
+    min_bytes: int = 48  #: of a sentence with fewer words, so that scripts without spaces have units too
 
 
 def _unit_hash(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, base: np.uint64, inverse: np.uint64) -> np.ndarray:
@@ -57,7 +58,7 @@ def unit_rows(config: LineConfig):
             inner = ~(last[part_end - 1] & np.isin(part_begin, line_begin))  # a sentence that is its whole line is no unit of its own
             begin, end = np.concatenate([line_begin, part_begin[inner]]), np.concatenate([line_end, part_end[inner]])
             size = found.end[end - 1] - found.begin[begin] if n else end
-            good = (end - begin >= config.min_words) | (size >= config.min_bytes)
+            good = (np.arange(len(begin)) < len(line_begin)) | (end - begin >= config.min_words) | (size >= config.min_bytes)
             begin, end = begin[good], end[good]
             text = np.searchsorted(found.first, begin, "right") - 1
             origin = chars[at[text]]

@@ -248,6 +248,12 @@ def test_mixed_documents_without_ids(spark):
     assert max(count[w] for w in count if w[0] == "d") <= 2
 
 
+def test_short_lines_go_too(spark):
+    rows = [(d, f"Read more\nText number {d} of these\nOK") for d in range(4)] + [(9, "Fine. Fine. It is.")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: f"Text number {d} of these" for d in range(1, 4)}
+
+
 def test_toxicity():
     r = random.Random(2)
     words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
