@@ -9,9 +9,11 @@ a window of it is within `share` of the item's words in edits. Windows are as lo
    The others give windows, at every start from which the item could be reached.
 2. Each window and item is embedded by random walks: a walk reads a symbol, writes it, and moves on or stays by a random
    bit drawn for the step and the symbol. Edit distance becomes Hamming distance between the outputs.
+   The longer an item, the further the walks of two sequences drift apart, so items of more than `sampled` words are not
+   sampled: all windows that the lemma leaves go to step 4, which loses none.
 3. Locality-sensitive hashing samples a few output places. It is repeated until a window within the edit threshold
    shares a sample with its item with at least the target recall, given how likely one place agrees.
-4. Windows that share a sample with an item go to an exact edit distance, free at both ends of the window; a document's
+4. Windows that share a sample with an item, or all windows of a long item, go to an exact edit distance, free at both ends of the window; a document's
    best window of an item is its row.
 
 Null and empty texts hold nothing; items without words are held by nothing. Repeated rows give repeated results.
@@ -41,6 +43,7 @@ class LeakConfig:
     sample: int = 4  #: output places in a hash
     agree: float = 0.5  #: chance that one output place of a window at the threshold agrees with the item's
     recall: float = 0.999
+    sampled: int = 50  #: words of the longest item whose windows are sampled
     walks: int = 4  #: independent walks, each with its own part of the hashes
     item_block: int = 20_000  #: items that are shipped to the executors at once
     seed: int = 55
@@ -118,7 +121,7 @@ def prepare(rows: list[tuple[int, str | None]], config: LeakConfig) -> Items:
     cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
     grams, owner, place = cat(grams, V.U64), cat(owner, np.int64), cat(place, np.int64)
     order = np.argsort(grams, kind="stable")
-    return Items(np.array(ids, np.int64), codes, edits, np.array(need, np.int64), grams[order], owner[order], place[order], [samples(c[None, :], len(c), config)[0] for c in codes], sorted(sizes))
+    return Items(np.array(ids, np.int64), codes, edits, np.array(need, np.int64), grams[order], owner[order], place[order], [samples(c[None, :], len(c), config)[0] if len(c) <= config.sampled else None for c in codes], sorted(sizes))
 
 
 def edit_distance(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
@@ -165,11 +168,12 @@ def find(items: Items, codes: np.ndarray, config: LeakConfig) -> list[tuple[int,
         # the first shared q-gram of a window is at most n - need words after its start
         starts = np.unique((dense[:, None] - np.arange(0, n - int(items.need[i]) + 1)[None, :]).reshape(-1))
         starts = starts[(starts >= 0) & (starts < len(codes))]
-        padded = np.concatenate([codes, np.zeros(n, V.U64)])
-        windows = padded[starts[:, None] + np.arange(n)]
-        shared = (samples(windows, n, config) == items.samples[i]).any(axis=1)
+        begins, found = starts, None
+        if n <= config.sampled:
+            padded = np.concatenate([codes, np.zeros(n, V.U64)])
+            windows = padded[starts[:, None] + np.arange(n)]
+            begins = starts[(samples(windows, n, config) == items.samples[i]).any(axis=1)]
         # windows that overlap are decided together
-        begins, found = starts[shared], None
         heads = np.flatnonzero(np.concatenate([[True], np.diff(begins) > n + 2 * e])) if len(begins) else []
         for first, last in zip(heads, [*heads[1:], len(begins)]):
             low = max(0, int(begins[first]) - e)

@@ -172,17 +172,6 @@ def test_suffixes(spark, docs):
     assert all(len(WORD.findall(cut[d])) == len(WORD.findall(texts(docs)[d])) - len(c) for d, c in cover.items())
 
 
-def test_lines(spark, docs):
-    got = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
-    assert set(range(401, 405)) <= set(got) and 400 not in got
-    assert set(range(100, 110)) - set(got) <= {d for d in range(100, 110) if len(texts(docs)[d]) < 48 and len(texts(docs)[d].split()) < 6}
-    for d in range(401, 405):
-        spans = [texts(docs)[d][s.low : s.high] for s in got[d].removed]
-        assert spans == [texts(docs)[400].split("\n")[1]] and spans[0] not in got[d].text
-    assert not set(got) & {500, 501, 502, 503}
-    assert lines.dedup_lines(docs.limit(0)).count() == 0
-
-
 def brute_repeats(rows):
     seen, cover = set(), {}
     for d, t in sorted(rows):
@@ -214,20 +203,38 @@ def test_suffixes_around_shared_boilerplate(spark):
     assert covered(suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == want
 
 
-def test_toxicity_reaches_changed_words():
-    """Words with a letter put in or left out come to the machine."""
-    r = random.Random(2)
-    words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
-    bad = ["zogrik", "mufwad", "kwibe", "drazz", "pojum"]
-    rows = [(" ".join([*(r.choice(words) for _ in range(40)), *([bad[i // 4 % 5]] if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(500)]
-    model = toxicity.train([t for t, _ in rows], [y for _, y in rows], toxicity.ToxicConfig())
-    import pyarrow as pa
+def test_lines(spark, docs):
+    got = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
+    assert set(range(401, 405)) <= set(got) and 400 not in got
+    assert set(range(100, 110)) - set(got) <= {d for d in range(100, 110) if len(texts(docs)[d]) < 48 and len(texts(docs)[d].split()) < 6}
+    for d in range(401, 405):
+        spans = [texts(docs)[d][s.low : s.high] for s in got[d].removed]
+        assert spans == [texts(docs)[400].split("\n")[1]] and spans[0] not in got[d].text
+    assert not set(got) & {500, 501, 502, 503}
+    assert lines.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_short_lines_go_too(spark):
+    rows = [(d, f"Read more\nText number {d} of these\nOK") for d in range(4)] + [(9, "Fine. Fine. It is.")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: f"Text number {d} of these" for d in range(1, 4)}
 
-    for word in bad:
-        changed = [word[:k] + c + word[k:] for k in range(1, len(word)) for c in "aeqxz"] + [word[:k] + word[k + 1 :] for k in range(len(word))]
-        symbols, _ = toxicity.stream(*V.buffers(pa.array(changed)), digits=True)
-        begin, end = toxicity.word_places(symbols)
-        assert len(model.near(symbols, begin, end)) == len(changed), word
+
+def test_decontaminate_long_items():
+    """Edits of all kinds up to a fifth of the words of long items."""
+    r = random.Random(12)
+    for n in (100, 200, 400):
+        item = [f"q{r.randrange(300)}" for _ in range(n)]
+        config = decontaminate.LeakConfig()
+        items = decontaminate.prepare([(1, " ".join(item))], config)
+        for trial in range(15):
+            t = list(item)
+            for _ in range(n // 5):
+                k = r.randrange(len(t))
+                t[k : k + 1] = ([], [t[k], f"z{r.randrange(900)}"], [f"z{r.randrange(900)}"])[r.randrange(3)]
+            text = " ".join([f"x{k}" for k in range(30)] + t + ["end"] * 9)
+            codes, _ = decontaminate.word_codes(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+            assert len(decontaminate.find(items, codes, config)) == 1, (n, trial)
 
 
 def test_mixed_documents_without_ids(spark):
@@ -248,12 +255,6 @@ def test_mixed_documents_without_ids(spark):
     assert max(count[w] for w in count if w[0] == "d") <= 2
 
 
-def test_short_lines_go_too(spark):
-    rows = [(d, f"Read more\nText number {d} of these\nOK") for d in range(4)] + [(9, "Fine. Fine. It is.")]
-    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {d: f"Text number {d} of these" for d in range(1, 4)}
-
-
 def test_toxicity():
     r = random.Random(2)
     words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
@@ -274,6 +275,22 @@ def test_toxicity():
     assert (toxicity.train(["a"], [0], toxicity.ToxicConfig()).scores(*V.buffers(pa.array(["x"]))) < 0.5).all()
 
 
+def test_toxicity_reaches_changed_words():
+    """Words with a letter put in or left out come to the machine."""
+    r = random.Random(2)
+    words = ["".join(r.choice(("the", "on", "er", "in", "st", "al", "ou", "re")) for _ in range(r.randint(1, 4))) for _ in range(600)]
+    bad = ["zogrik", "mufwad", "kwibe", "drazz", "pojum"]
+    rows = [(" ".join([*(r.choice(words) for _ in range(40)), *([bad[i // 4 % 5]] if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(500)]
+    model = toxicity.train([t for t, _ in rows], [y for _, y in rows], toxicity.ToxicConfig())
+    import pyarrow as pa
+
+    for word in bad:
+        changed = [word[:k] + c + word[k:] for k in range(1, len(word)) for c in "aeqxz"] + [word[:k] + word[k + 1 :] for k in range(len(word))]
+        symbols, _ = toxicity.stream(*V.buffers(pa.array(changed)), digits=True)
+        begin, end = toxicity.word_places(symbols)
+        assert len(model.near(symbols, begin, end)) == len(changed), word
+
+
 def test_language(spark):
     r = random.Random(3)
     made = {"aa": ["kli", "por", "ten"], "bb": ["zu", "wax", "qem"], "cc": ["éto", "ñis", "üra"]}
