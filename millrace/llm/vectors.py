@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that are worked on at once; longer single texts are worked on alone.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 
 _state = np.random.RandomState(20_240_607)
 BYTE_CODES = _state.randint(0, 1 << 62, 256).astype(U64) * U64(2) + U64(1)
@@ -94,7 +94,16 @@ def powers(n: int, base: np.uint64 = BASE) -> np.ndarray:
 
 
 _inverse = U64(pow(int(BASE), -1, 1 << 64))
-_cache: dict[str, np.ndarray] = {}
+
+
+class _Tables(dict):
+    """Tables that each process makes for itself: pickled, they are empty, so no function that is shipped carries them."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_cache = _Tables()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
