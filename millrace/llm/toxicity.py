@@ -9,11 +9,12 @@ its kernel values with the landmarks, whitened. A linear support vector machine
 most toxic word standing for the text, which is chosen anew after every fit, and with the words that only toxic texts
 hold, far beyond chance, against the words of clean texts.
 
-Only a word that comes near a telling landmark can make a text toxic. A bound on its string kernel with all of them,
-which is one table lookup for each triple, finds those words (ToxicConfig.near); the others have the lowest value.
+Every word of a text goes through the machine, a word that stands there often once. To be trained with, of the words of
+clean texts those count that can come near a telling landmark; a bound on the string kernel with all of them, which is
+one table lookup for each triple, finds them (ToxicConfig.near).
 A text's score is a logistic function of its highest word value, fitted on labelled texts kept out of the machine.
 
-Null and empty texts, and texts without letters, get the score of a text with no such word. Without labels of both
+Null and empty texts, and texts without letters, get the least score. Without labels of both
 kinds every score is 0. Repeated rows are scored each.
 """
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +44,7 @@ class ToxicConfig:
     clean: int = 256  #: landmarks among the words of clean texts
     decay: float = 0.8
     gamma: float = 2.0  #: of the Gaussian
-    near: float = 0.5  #: most of the string kernel with a telling landmark that a word must be able to reach; less if a copy with a letter put in or left out has less
+    near: float = 0.5  #: most of the string kernel with a telling landmark that a word must be able to reach to be trained with; less if a copy with a letter put in or left out has less
     rounds: int = 4
     cost: float = 30.0
     gapped: int = 8  #: copies of each toxic word with one letter put in, which the machine learns beside it
@@ -83,18 +85,40 @@ def norms(lengths: np.ndarray, decay: float) -> np.ndarray:
 
 
 @dataclass
-class ToxicModel:
+class Landmarks:
+    """Words by their triples: for each triple the landmarks that have it, and its weight in each."""
+
+    count: int
+    first: np.ndarray  #: for each triple, where its landmarks begin in owner and weight; the end last
+    owner: np.ndarray
+    weight: np.ndarray
+
+    def kernel(self, words: list[bytes], decay: float) -> np.ndarray:
+        """Normalised string kernel of words with the landmarks."""
+        out = np.zeros((len(words), self.count))
+        for low in range(0, len(words), 1024):
+            part = words[low : low + 1024]
+            who, what, weight = _features(part, decay)
+            begin, n = self.first[what], self.first[what + 1] - self.first[what]
+            row = np.repeat(np.arange(len(what)), n)
+            at = begin[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            out[low : low + len(part)] = np.bincount(who[row] * self.count + self.owner[at], weight[row] * self.weight[at], len(part) * self.count).reshape(len(part), self.count)
+        return out
+
+    def greatest(self) -> np.ndarray:
+        """For each triple its greatest weight in a landmark."""
+        out = np.zeros(TRIPLES, np.float32)
+        np.maximum.at(out, np.repeat(np.arange(TRIPLES), np.diff(self.first)), self.weight.astype(np.float32))
+        return out
+
+
+@dataclass
+class Gate:
+    """Which words can come near a telling landmark."""
+
     config: ToxicConfig
-    reach: np.ndarray  #: for each triple its greatest part in a telling landmark
-    least: float  #: bound on the string kernel from which on a word reaches the machine
-    table: np.ndarray  #: triples x landmarks
-    slots: np.ndarray  #: for each triple its row of table
-    weights: np.ndarray  #: for each landmark
-    bias: float
-    floor: float
-    slope: float
-    shift: float
-    known: dict = field(default_factory=dict)  #: values of words that have been met
+    reach: np.ndarray  #: for each triple its greatest weight in a telling landmark
+    least: float  #: bound on the string kernel from which on a word is near
 
     def bound(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """What the string kernel of each word with any telling landmark is at most."""
@@ -104,37 +128,55 @@ class ToxicModel:
         return np.add.reduceat(total, begin) / np.maximum(norms(end - begin, self.config.decay), 1e-9)
 
     def near(self, symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The words that may come near a telling landmark."""
-        if not len(begin):
-            return np.zeros(0, np.int64)
-        return np.flatnonzero(self.bound(symbols, begin, end) >= self.least)
+        return np.flatnonzero(self.bound(symbols, begin, end) >= self.least) if len(begin) else np.zeros(0, np.int64)
+
+
+@dataclass
+class ToxicModel:
+    config: ToxicConfig
+    marks: Landmarks
+    weights: np.ndarray  #: for each landmark
+    bias: float
+    floor: float
+    slope: float
+    shift: float
+    known: dict = field(default_factory=dict)  #: values of words that have been met
 
     def word_values(self, words: list[bytes]) -> np.ndarray:
-        return gaussian(string_kernel(words, self.table, self.slots, self.config.decay), self.config.gamma) @ self.weights + self.bias
+        out = np.empty(len(words))
+        for low in range(0, len(words), 4096):
+            out[low : low + 4096] = gaussian(self.marks.kernel(words[low : low + 4096], self.config.decay), self.config.gamma) @ self.weights + self.bias
+        return out
 
     def text_values(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The highest word value of each text."""
         symbols, first = stream(raw, at, digits=True)
         begin, end = word_places(symbols)
         out = np.full(len(at) - 1, self.floor)
-        near = self.near(symbols, begin, end)
-        if len(near):
+        if len(begin):
+            # a word is looked at once, however often it stands in the texts
+            which, _ = pd.factorize(V.slice_hash(V.prefix_hash(symbols), begin, end))
+            one = np.zeros(which.max() + 1, np.int64)
+            one[which] = np.arange(len(which))
             data = symbols.tobytes()
-            words = [data[i:j] for i, j in zip(begin[near], end[near])]
-            if len(self.known) > 400_000:
-                self.known.clear()
-            if new := [w for w in dict.fromkeys(words) if w not in self.known]:
-                self.known.update(zip(new, self.word_values(new).tolist()))
-            values = np.array([self.known[w] for w in words])
-            np.maximum.at(out, np.searchsorted(first, begin[near], "right") - 1, values)
+            values = self.values([data[i:j] for i, j in zip(begin[one], end[one])])
+            np.maximum.at(out, np.searchsorted(first, begin, "right") - 1, values[which])
         return out
 
+    def values(self, words: list[bytes]) -> np.ndarray:
+        """Of distinct words; those met before are looked up."""
+        if len(self.known) > 400_000:
+            self.known.clear()
+        if new := [w for w in words if w not in self.known]:
+            self.known.update(zip(new, self.word_values(new).tolist()))
+        return np.array([self.known[w] for w in words])
+
     def scores(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.text_values(raw, at) + self.shift, -30, 30)))
 
 
 def _no_model(config: ToxicConfig) -> ToxicModel:
-    return ToxicModel(config, np.zeros(TRIPLES, np.float32), config.near, np.zeros((1, 0)), np.zeros(TRIPLES, np.int64), np.zeros(0), 0.0, 0.0, 0.0, -1e3)
+    return ToxicModel(config, Landmarks(0, np.zeros(TRIPLES + 1, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.zeros(0), 0.0, 0.0, 0.0, -1e3)
 
 
 def _features(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,19 +198,6 @@ def _features(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray,
     return who, what, weights / norm[who]
 
 
-def string_kernel(words: list[bytes], table: np.ndarray, slots: np.ndarray, decay: float) -> np.ndarray:
-    """Normalised kernel values of words with the landmarks that are the columns of table."""
-    out = np.zeros((len(words), table.shape[1]))
-    for low in range(0, len(words), 1024):
-        who, what, weight = _features(words[low : low + 1024], decay)
-        used = slots[what] > 0
-        who, what, weight = who[used], what[used], weight[used]
-        if len(who):
-            first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
-            out[low + who[first]] = np.add.reduceat(table[slots[what]] * weight[:, None], first, axis=0)
-    return out
-
-
 def gaussian(kernel: np.ndarray, gamma: float) -> np.ndarray:
     return np.exp(-2 * gamma * (1 - kernel))
 
@@ -183,25 +212,25 @@ def left_out(word: bytes) -> list[bytes]:
     return [word[:k] + word[k + 1 :] for k in range(len(word))] if len(word) > 4 else []
 
 
-def _landmarks(words: list[bytes], decay: float) -> tuple[np.ndarray, np.ndarray]:
-    """(table, slots) of landmarks; row 0 of the table is of triples that no landmark has."""
+def landmarks(words: list[bytes], decay: float) -> Landmarks:
     who, what, weight = _features(words, decay)
-    used = np.unique(what)
-    slots = np.zeros(TRIPLES, np.int64)
-    slots[used] = 1 + np.arange(len(used))
-    table = np.zeros((len(used) + 1, len(words)))
-    table[slots[what], who] = weight
-    return table, slots
-
-
-def _machine(x: np.ndarray, y: np.ndarray, cost: float) -> np.ndarray:
-    """Linear support vector machine with squared hinge loss, by Newton steps; the last column of x is 1. Both labels weigh alike."""
-    w, weight = np.zeros(x.shape[1]), np.where(y > 0, cost / max(1, (y > 0).sum()), cost / max(1, (y < 0).sum())) * len(y) / 100
-    ridge = np.eye(x.shape[1])
+    order = np.argsort(what, kind="stable")
+    return Landmarks(len(words), np.searchsorted(what[order], np.arange(TRIPLES + 1)), who[order], weight[order])
+
+
+def _machine(parts: list[tuple[np.ndarray, int, float]]) -> np.ndarray:
+    """Linear support vector machine with squared hinge loss, by Newton steps. parts: rows, whose last column is 1, with their label and weight; they are added up block by block."""
+    size = parts[0][0].shape[1]
+    w = np.zeros(size)
     for _ in range(20):
-        active = y * (x @ w) < 1
-        a, c = x[active].astype(np.float64), weight[active]
-        new = np.linalg.solve(ridge + (a * c[:, None]).T @ a, (a * c[:, None]).T @ y[active])
+        left, right = np.eye(size), np.zeros(size)
+        for x, label, weight in parts:
+            for low in range(0, len(x), 4096):
+                block = x[low : low + 4096]
+                block = block[label * (block @ w) < 1].astype(np.float64)
+                left += weight * (block.T @ block)
+                right += weight * label * block.sum(axis=0)
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-6:
             return new
         w = new
@@ -244,38 +273,38 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
     pull = np.where((in_toxic > 0) & (gain > 0), gain * np.sqrt(in_toxic), 0.0)
     telling = np.argsort(-pull, kind="stable")[: config.telling]
     marks = [words[i] for i in telling]
-    table, slots = _landmarks(marks, config.decay)
-    model = _no_model(config)
+    table = landmarks(marks, config.decay)
     # words that stand in so many toxic texts, and no clean one, that chance at the share of toxic texts leaves none of all words
     certain = (in_clean == 0) & (in_toxic * -np.log(np.mean(y)) > np.log(100 * len(words)))
     gates = sorted({*marks, *(words[i] for i in np.flatnonzero(certain))})
-    gate_table, gate_slots = _landmarks(gates, config.decay)
-    model.reach[gate_slots > 0] = gate_table[gate_slots[gate_slots > 0]].max(axis=1)
+    gate = Gate(config, landmarks(gates, config.decay).greatest(), config.near)
     for word in (words[i] for i in np.flatnonzero(certain)):
         copies = np.frombuffer(b"\0".join([*put_in(word), *left_out(word)]) + b"\0", np.uint8)
         begin, end = word_places(copies)
         if len(begin):
-            model.least = min(model.least, float(model.bound(copies, begin, end).min()) - 1e-4)
+            gate.least = min(gate.least, float(gate.bound(copies, begin, end).min()) - 1e-4)
     # only words that may come near a telling landmark count from here on
     symbols = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
-    near = model.near(symbols, *word_places(symbols))
+    near = gate.near(symbols, *word_places(symbols))
     place = np.full(len(words), -1)
     place[near] = np.arange(len(near))
     clean = np.flatnonzero(in_clean[near] > 0)
-    close = string_kernel([words[near[i]] for i in clean], table, slots, config.decay).max(axis=1, initial=0)
+    nearest = [words[near[i]] for i in clean]
+    close = np.concatenate([np.zeros(0), *(table.kernel(nearest[low : low + 4096], config.decay).max(axis=1, initial=0) for low in range(0, len(nearest), 4096))])
     marks += [words[near[i]] for i in clean[np.argsort(-close, kind="stable")[: config.clean]] if words[near[i]] not in set(marks)]
-    table, slots = _landmarks(marks, config.decay)
-    level, axes = np.linalg.eigh(gaussian(string_kernel(marks, table, slots, config.decay), config.gamma))
+    table = landmarks(marks, config.decay)
+    level, axes = np.linalg.eigh(gaussian(table.kernel(marks, config.decay), config.gamma))
     good = level > 1e-6 * level.max()
     white = axes[:, good] / np.sqrt(level[good])
 
     def mapped(some):
         out = np.ones((len(some), white.shape[1] + 1), np.float32)
         for low in range(0, len(some), 1024):
-            out[low : low + 1024, :-1] = gaussian(string_kernel(some[low : low + 1024], table, slots, config.decay), config.gamma) @ white
+            out[low : low + 1024, :-1] = gaussian(table.kernel(some[low : low + 1024], config.decay), config.gamma) @ white
         return out
 
     x = mapped([words[i] for i in near])
+    x_clean = x[clean]
     toxic = [own for mine, label in zip(owned, y) if label and len(own := place[mine][place[mine] >= 0])]
     sure = np.flatnonzero(certain[near])
     value, w = pull[near], np.zeros(x.shape[1])
@@ -284,10 +313,11 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
         plus = np.concatenate([plus[in_clean[near[plus]] == 0], sure]).astype(np.int64)
         apart = sorted({v[:k] + bytes([random.randint(1, 27)]) + v[k:] for v in (words[near[i]] for i in np.unique(plus)) for k in random.randint(1, len(v), config.gapped)})
         more = max(1, len(plus) // max(1, len(apart)))  # they weigh as much as the plain words
-        rows = np.concatenate([x[plus], np.repeat(mapped(apart), more, axis=0), x[clean]])
-        w = _machine(rows, np.concatenate([np.ones(len(plus) + more * len(apart)), -np.ones(len(clean))]), config.cost)
+        ups, downs = len(plus) + more * len(apart), len(clean)
+        unit = config.cost * (ups + downs) / 100  # both labels weigh alike
+        w = _machine([(x[plus], 1, unit / max(1, ups)), (mapped(apart), 1, unit * more / max(1, ups)), (x_clean, -1, unit / max(1, downs))])
         value = x @ w
-    model = ToxicModel(config, model.reach, model.least, table, slots, white @ w[:-1], float(w[-1]), 0.0, 1.0, 0.0)
+    model = ToxicModel(config, table, white @ w[:-1], float(w[-1]), 0.0, 1.0, 0.0)
     model.floor = float(min(w[-1], value.min(initial=0.0), -1.0))
     # one toxic word is enough: the logistic function parts the toxic words, plain and gapped, from the highest words of clean texts
     low = np.array([value[place[mine][place[mine] >= 0]].max(initial=model.floor) for mine in [mine for mine, label in zip(apart_texts, apart_y) if not label]])
@@ -315,7 +345,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, config: ToxicConfig = ToxicConfig()) -> ToxicModel:
     """docs: doc_id, text; labels: doc_id, toxic. Learns from labelled rows that are not held out."""
     told = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
-    told = bounded_sample(told, "toxic", config.each, config.seed).dropDuplicates(["doc_id"])
+    told = told.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))  # of labels that disagree the toxic one holds
+    told = bounded_sample(told, "toxic", config.each, config.seed)
     rows = docs.select("doc_id", "text").join(F.broadcast(told), "doc_id")  # the sample is bounded by the config
     rows = rows.orderBy(F.xxhash64("doc_id", F.lit(config.seed)), "doc_id", "text").toPandas()
     return train(list(rows["text"]), [int(v) for v in rows["toxic"]], config)
