@@ -129,6 +129,15 @@ def slice_hash(run: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((run[end] - run[begin]) * down[begin] + (end - begin).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def code_hash(codes: np.ndarray) -> np.ndarray:
+    """Running hash of codes of words, for slice_hash() over runs of words."""
+    up, _ = _powers(len(codes) + 1)
+    run = np.empty(len(codes) + 1, U64)
+    run[0] = 0
+    np.cumsum(codes * up[: len(codes)], out=run[1:])
+    return run
+
+
 def gram_hash(codes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n codes, by its first place; there are n - 1 fewer of them than codes."""
     if len(codes) < n:
