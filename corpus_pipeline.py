@@ -8,11 +8,10 @@ work. SQL cannot express the stages; tests hold each against a brute-force versi
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import clean
 from millrace.llm.language import fit_language
-from millrace.llm.minhash import NearConfig, near_duplicates
+from millrace.llm.minhash import deduplicated
 from millrace.llm.mixing import mixed_documents
 from millrace.llm.tables import read, written
 from millrace.llm.tokens import materialise, public_config
@@ -29,12 +28,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id; rows that repeat an id go, rows without an id stay."""
-    gone = written(near_duplicates(docs, NearConfig()).where("not kept").select("doc_id").distinct(), "gone")
-    many = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "many")
-    left = docs.join(gone, "doc_id", "left_anti")
-    again = left.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(many, "doc_id", "left_anti").unionByName(again).select(*docs.columns)
+    """One document of each group of near duplicates, the one with the smallest id; of rows that repeat an id and its text one, and all rows without an id."""
+    return deduplicated(docs).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
