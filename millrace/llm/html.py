@@ -2,7 +2,7 @@
 
 A tolerant parser makes the page a tree. Elements that never hold an article (scripts, styles, forms, menus, page
 headers and footers, sidebars), and elements whose class, id or role says notice, advert, menu, comment or the like,
-go first. For every node left, with C characters, T tags, LC link characters and LT link tags, the composite density is
+go first. A class of several words, such as alert-box, removes no element that holds half of the page's text or more. For every node left, with C characters, T tags, LC link characters and LT link tags, the composite density is
 
     C / T * log(C * T / (LC * LT)) to the base of (C * LC / (C - LC) + LC_body * C / C_body + e)
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 # Names of the HTML standard, and words that sites use in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp plaintext".split())
-NO_TEXT = frozenset("script style noscript template iframe noembed noframes head title nav footer aside form button select textarea input svg canvas math object audio video dialog menu".split())
+NO_TEXT = frozenset("script style noscript template iframe noembed noframes head title nav footer aside form button select textarea input svg canvas object audio video dialog menu".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -36,7 +36,7 @@ SCOPES = frozenset("table ul ol dl div article section main body html td th sele
 UNWANTED = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup login share sharing social related recommended recommendations popup modal overlay comment comments respond disqus reply replies pagination pager toolbar skip copyright".split()
 )
-STATES = frozenset("has with no without is js open".split())  # first words of classes that tell of a page's state
+STATES = frozenset("has with no without is js open of for and".split())  # classes with one of them tell of a page's state, or are phrases
 ARTICLES = frozenset("article main section".split())
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
@@ -46,54 +46,58 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "score", "gone")
+    __slots__ = ("name", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "score", "gone", "doubtful")
 
-    def __init__(self, name: str, parent: "Node | None", gone: bool):
-        self.name, self.parent, self.gone = name, parent, gone
+    def __init__(self, name: str, parent: "Node | None", gone: bool, doubtful: bool = False):
+        self.name, self.parent, self.gone, self.doubtful = name, parent, gone, doubtful
         self.items: list = []  # texts and nodes, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.score = 0.0
 
 
-def _unwanted(name: str, attributes: str, inside: frozenset) -> bool:
-    if name in NO_TEXT:
-        return True
-    if name == "header" and not inside & ARTICLES:
-        return True
+GONE, DOUBTFUL, STAYS = 2, 1, 0
+
+
+def _unwanted(name: str, attributes: str, in_article: bool) -> int:
+    if name in NO_TEXT or name == "header" and not in_article:
+        return GONE
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return STAYS
+    out = STAYS
     for key, value in MARK.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in UNWANTED_ROLES:
-            return True
+            return GONE
         if key in ("class", "id"):
             for token in value.split():
                 words = WORDS.findall(token)
-                if words and words[0] not in STATES and any(w in UNWANTED or w == "header" and not inside & ARTICLES for w in words):
-                    return True
-    return False
+                if not STATES.intersection(words) and any(w in UNWANTED or w == "header" and not in_article for w in words):
+                    out = max(out, GONE if len(words) == 1 else DOUBTFUL)
+    return out
 
 
 def parse(page: str) -> Node:
     root = Node("html", None, False)
-    here, at = root, 0
+    stack, opened, at = [root], {"html": 1}, 0
 
     def close(names: tuple, scope: frozenset) -> None:
         """Ends the innermost open element of these names, if no element of scope stands between."""
-        nonlocal here
-        node = here
-        while node.parent is not None and node.name not in names:
-            if node.name in scope:
+        if not any(opened.get(n) for n in names):
+            return
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].name in names:
+                for node in stack[k:]:
+                    opened[node.name] -= 1
+                del stack[k:]
+                return
+            if stack[k].name in scope:
                 return
-            node = node.parent
-        if node.parent is not None:
-            here = node.parent
 
     while True:
         found = TOKEN.search(page, at)
         text = page[at : found.start()] if found else page[at:]
         if text:
-            here.items.append(text)
+            stack[-1].items.append(text)
         if not found:
             return root
         at, name = found.end(), found[2]
@@ -101,23 +105,17 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if found[1]:
-            if name == "p" and here.name != "p" and not _open(here, "p"):
-                continue
-            if _open(here, name):
-                close((name,), frozenset(("table",)) if name not in ("table", "html", "body", "article", "main", "section", "div") else frozenset())
+            close((name,), frozenset(("table",)) if name not in ("table", "html", "body", "article", "main", "section", "div") else frozenset())
             continue
-        if name in CLOSES_P and _open(here, "p"):
+        if name in CLOSES_P:
             close(("p",), SCOPES)
         for sibling in SIBLINGS.get(name, ()):
             close((sibling,), SCOPES - {"td", "th", name})
-        if name in ("html", "body") and (name == "html" or _open(here, "body")):
+        if name == "html" or name == "body" and opened.get("body"):
             continue
-        names, up = set(), here
-        if name == "header" or "header" in (found[3] or ""):
-            while up is not None:
-                names.add(up.name)
-                up = up.parent
-        node = Node(name, here, here.gone or _unwanted(name, found[3] or "", frozenset(names)))
+        here = stack[-1]
+        says = _unwanted(name, found[3] or "", any(opened.get(n) for n in ARTICLES))
+        node = Node(name, here, here.gone or says == GONE, says == DOUBTFUL)
         here.items.append(node)
         if name in VOID or (found[3] or "").endswith("/") and name in ("svg", "path"):
             continue
@@ -126,15 +124,21 @@ def parse(page: str) -> Node:
             node.items.append(page[at : end.start()] if end else page[at:])
             at = end.end() if end else len(page)
             continue
-        here = node
+        stack.append(node)
+        opened[name] = opened.get(name, 0) + 1
 
 
-def _open(node: Node | None, name: str) -> bool:
-    while node is not None:
-        if node.name == name:
-            return True
-        node = node.parent
-    return False
+def settle(root: Node) -> None:
+    """Removes doubtful elements, but for those that hold half of the page's text or more."""
+    nodes = _order(root)
+    for node in reversed(nodes):
+        node.chars += sum(len(" ".join(x.split())) for x in node.items if isinstance(x, str))
+        if node.parent is not None:
+            node.parent.chars += node.chars
+    most = root.chars / 2
+    for node in nodes:
+        node.gone = node.gone or node.doubtful and node.chars < most
+        node.chars = 0
 
 
 def _order(root: Node) -> list[Node]:
@@ -173,16 +177,14 @@ def measure(root: Node) -> list[Node]:
 
 def article(root: Node) -> Node:
     """The subtree that holds the article."""
+    settle(root)
     nodes = measure(root)
-    named = [n for n in nodes if n.name in ("article", "main") and n.chars]
     best = max(nodes, key=lambda n: (n.score, n.chars))
     path = [best]
     while path[-1].parent is not None and path[-1].name != "body":
         path.append(path[-1].parent)
     threshold = min(n.density for n in path)
-    if named and best not in named and not any(n in named for n in path):
-        # the page names its article, and the densest region is outside of it or around it
-        return max(named, key=lambda n: (n.score, n.chars))
+    # where the densest node is in an article or main element, that element is the region
     for n in path:
         if n.name in ("article", "main"):
             return n
@@ -200,7 +202,7 @@ def main_text(page: str | None) -> str:
     blocks, now = [], []
 
     def flush() -> None:
-        text = " ".join(entities.unescape("".join(now)).split())
+        text = " ".join("".join(now).split())
         if text:
             blocks.append(text)
         now.clear()
@@ -209,7 +211,7 @@ def main_text(page: str | None) -> str:
     while stack:
         item = stack.pop()
         if isinstance(item, str):
-            now.append(item)
+            now.append(entities.unescape(item))
         elif item is None:
             flush()
         elif not item.gone:
