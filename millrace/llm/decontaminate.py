@@ -21,21 +21,25 @@ Null and empty texts hold nothing; items without words are held by nothing. Repe
 
 from __future__ import annotations
 
+import itertools
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import vectors as V
-from .tables import written
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+#: Windows that are embedded at once.
+WINDOWS = 4096
+
+
 @dataclass(frozen=True)
 class LeakConfig:
     share: float = 0.2  #: edits, as a share of the item's words, that a leak may have
@@ -171,8 +175,8 @@ def find(items: Items, codes: np.ndarray, config: LeakConfig) -> list[tuple[int,
         begins, found = starts, None
         if n <= config.sampled:
             padded = np.concatenate([codes, np.zeros(n, V.U64)])
-            windows = padded[starts[:, None] + np.arange(n)]
-            begins = starts[(samples(windows, n, config) == items.samples[i]).any(axis=1)]
+            blocks = (starts[low : low + WINDOWS] for low in range(0, len(starts), WINDOWS))
+            begins = np.concatenate([b[(samples(padded[b[:, None] + np.arange(n)], n, config) == items.samples[i]).any(axis=1)] for b in blocks])
         # windows that overlap are decided together
         heads = np.flatnonzero(np.concatenate([[True], np.diff(begins) > n + 2 * e])) if len(begins) else []
         for first, last in zip(heads, [*heads[1:], len(begins)]):
@@ -185,29 +189,38 @@ def find(items: Items, codes: np.ndarray, config: LeakConfig) -> list[tuple[int,
     return out
 
 
-def leak_rows(items: Items, config: LeakConfig):
+def _held(items: Items, config: LeakConfig):
+    """Of a chunk of texts: (text, item, edits, first word, end word) of each item that a text holds, and the words."""
     known = np.unique(items.grams)
     table = np.zeros(1 << 22, bool)
     table[(known >> V.U64(42)).astype(np.int64)] = True
 
+    def run(raw, at):
+        codes, found = word_codes(raw, at)
+        near = np.zeros(len(codes), bool)
+        for q in items.sizes:
+            g = V.gram_hash(codes, q) + V.U64(q)
+            some = np.flatnonzero(table[(g >> V.U64(42)).astype(np.int64)])
+            near[some[np.isin(g[some], known)]] = True
+        hits = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(near, out=hits[1:])
+        which = np.flatnonzero(hits[found.first[1:]] > hits[found.first[:-1]])
+        return [(int(t), *x) for t in which for x in find(items, codes[found.first[t] : found.first[t + 1]], config)], found
+
+    return run
+
+
+def leak_rows(items: Items, config: LeakConfig):
+    held = _held(items, config)
+
     def run(batches):
         for batch, raw, at in V.chunks(batches):
-            codes, found = word_codes(raw, at)
-            near = np.zeros(len(codes), bool)
-            for q in items.sizes:
-                g = V.gram_hash(codes, q) + V.U64(q)
-                some = np.flatnonzero(table[(g >> V.U64(42)).astype(np.int64)])
-                near[some[np.isin(g[some], known)]] = True
-            hits = np.zeros(len(codes) + 1, np.int64)
-            np.cumsum(near, out=hits[1:])
-            which = np.flatnonzero(hits[found.first[1:]] > hits[found.first[:-1]])
+            hits, found = held(raw, at)
             rows = []
-            for t in which:
-                low, high = found.first[t], found.first[t + 1]
-                for i, edits, first, end in find(items, codes[low:high], config):
-                    begin, stop = found.begin[low + first], found.end[low + end - 1]
-                    chars = lambda b: int(((raw[at[t] : b] & 0xC0) != 0x80).sum())  # noqa: B023, E731
-                    rows.append((int(t), int(items.ids[i]), edits, len(items.codes[i]), chars(begin), chars(stop)))
+            for t, i, edits, first, end in hits:
+                begin, stop = found.begin[found.first[t] + first], found.end[found.first[t] + end - 1]
+                chars = lambda b: int(((raw[at[t] : b] & 0xC0) != 0x80).sum())  # noqa: B023, E731
+                rows.append((t, int(items.ids[i]), edits, len(items.codes[i]), chars(begin), chars(stop)))
             cols = list(zip(*rows)) if rows else [[]] * 6
             ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(cols[0], pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in cols[1:])], names=["doc_id", "item_id", "edits", "item_words", "low", "high"])
@@ -215,22 +228,40 @@ def leak_rows(items: Items, config: LeakConfig):
     return run
 
 
+def clean_rows(items: Items, config: LeakConfig):
+    held = _held(items, config)
+
+    def run(batches):
+        for batch, raw, at in V.chunks(batches):
+            stays = np.ones(batch.num_rows, bool)
+            stays[[x[0] for x in held(raw, at)[0]]] = False
+            yield batch.filter(pa.array(stays))
+
+    return run
+
+
+def item_blocks(benchmark: DataFrame, config: LeakConfig):
+    """The items, made ready, in blocks of at most config.item_block; one block is on the driver at a time."""
+    rows = ((r[0], r[1]) for r in benchmark.where("item_id is not null").select("item_id", "text").orderBy("item_id", "text").toLocalIterator())
+    first = True
+    while (part := list(itertools.islice(rows, config.item_block))) or first:
+        yield prepare(part, config)
+        first = False
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakConfig()) -> DataFrame:
     """docs: doc_id, text; benchmark: item_id, text. A row for each document and item it holds: doc_id, item_id, edits, item_words, low, high (code points).
 
     Items are shipped in blocks of bounded size; there is one pass over the texts for each block and no shuffle.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = [(r[0], r[1]) for r in benchmark.where("item_id is not null").select("item_id", "text").orderBy("item_id", "text").toLocalIterator()]
-    parts = [rows[k : k + config.item_block] for k in range(0, len(rows), config.item_block)] or [[]]
-    out = None
-    for part in parts:
-        found = docs.select("doc_id", "text").mapInArrow(leak_rows(prepare(part, config), config), f"doc_id {kind}, item_id long, edits long, item_words long, low long, high long")
-        out = found if out is None else out.union(found)
-    return out
+    rows = docs.select("doc_id", "text")
+    parts = [rows.mapInArrow(leak_rows(items, config), f"doc_id {kind}, item_id long, edits long, item_words long, low long, high long") for items in item_blocks(benchmark, config)]
+    return reduce(DataFrame.union, parts)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, config: LeakConfig = LeakConfig()) -> DataFrame:
-    """The documents that hold no item, with all their columns. Rows with a null id stay: nothing tells them apart."""
-    found = written(leaks(docs, benchmark, config).select("doc_id").distinct(), "leaks")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of docs that hold no item, with all their columns; each row is judged by its own text. No shuffle."""
+    for items in item_blocks(benchmark, config):
+        docs = docs.mapInArrow(clean_rows(items, config), docs.schema)
+    return docs
