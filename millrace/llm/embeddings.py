@@ -39,7 +39,9 @@ class CosineConfig:
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, np.float64) for v in column])
+    """Vectors of one length as rows. Each is scaled by a power of two, which changes no cosine, so that no square overflows or vanishes."""
+    x = np.concatenate(column.to_numpy()).astype(np.float64).reshape(len(column), -1)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
 def _moments(batches):
@@ -161,14 +163,10 @@ def near_vectors(rows: DataFrame, config: CosineConfig = CosineConfig()) -> Data
 
     def cells(frames):
         for frame in frames:
-            out = [[] for _ in range(dims)]
-            for v in frame["embedding"]:
-                v = np.asarray(v, np.float64)
-                lead = (v / np.linalg.norm(v)) @ axes[len(v)][:, :dims]
-                for k in range(dims):
-                    out[k].append(int(math.floor(lead[k] / width)) if k < len(lead) else 0)
-            frame = frame.assign(**{f"c{k}": np.array(out[k], np.int64) for k in range(dims)}, dim=[len(v) for v in frame["embedding"]])
-            yield frame
+            for size, part in frame.groupby(frame["embedding"].str.len()):
+                x = _matrix(part["embedding"])
+                lead = np.floor((x / np.linalg.norm(x, axis=1, keepdims=True)) @ axes[size][:, :dims] / width).astype(np.int64)
+                yield part.assign(**{f"c{k}": lead[:, k] if k < lead.shape[1] else 0 for k in range(dims)}, dim=size)
 
     cell = [f"c{k}" for k in range(dims)]
     placed = classes.select("rep", "copies", "label", "embedding").mapInPandas(cells, f"rep long, copies long, label {kind}, embedding {rows.schema['embedding'].dataType.simpleString()}, {', '.join(c + ' long' for c in cell)}, dim long")
