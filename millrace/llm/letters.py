@@ -42,7 +42,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def bounded_sample(rows: DataFrame, label: str, each: int, seed: int) -> DataFrame:
-    """About `each` rows of every label, the same ones in every run: by a hash of the id, with a bound for each label from its count."""
+    """About `each` rows of every label, the same ones in every run: by a hash of the row, with a bound for each label from its count. Rows that are equal count once."""
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     if not counts:
         return rows.limit(0)
@@ -50,4 +50,4 @@ def bounded_sample(rows: DataFrame, label: str, each: int, seed: int) -> DataFra
     bound = F.lit(0)
     for value, n in counts.items():
         bound = F.when(F.col(label) == value, F.lit(min(space, -(-each * space // n)))).otherwise(bound)
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(space)) < bound)
+    return rows.where(F.pmod(F.xxhash64(*rows.columns, F.lit(seed)), F.lit(space)) < bound).distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,11 +32,28 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+#: Bytes of the batches that Spark sends to Python while tables are written; several of them are held on either side at once.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """While this holds, batches of long texts have few rows."""
+    held = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, held)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows, read back from a Parquet table in the shared folder: lineage ends here, and a lost executor costs only its own reads."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

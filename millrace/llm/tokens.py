@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vectors as V
-from .tables import new_path, written
+from .tables import new_path, small_batches, written
 
 
 @dataclass(frozen=True)
@@ -51,10 +51,14 @@ def public_config(name: str = "byte_bpe_multi_50k.tiktoken") -> TokenConfig:
 
 
 def _encoder(vocabulary: bytes, config: TokenConfig):
+    import sys
+    import types
+
     import tiktoken
 
-    # a worker serves many tasks; the library's module outlives them, this function's own globals do not
-    held, name = tiktoken.__dict__.setdefault("_held_encoders", {}), (zlib.crc32(vocabulary), len(vocabulary), config.pattern)
+    # a worker serves many tasks; a module of its own outlives them, this function's globals do not
+    held = sys.modules.setdefault("_millrace_encoders", types.ModuleType("_millrace_encoders")).__dict__.setdefault("held", {})
+    name = (zlib.crc32(vocabulary), len(vocabulary), config.pattern)
     if name in held:
         return held[name]
     ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
@@ -128,8 +132,14 @@ def shard_uri(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:08d}.bin"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark resolves it by, so that executors write where Spark would."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri) if ":" in uri.split("/")[0] else (pyarrow.fs.LocalFileSystem(), uri)
+    return (pyarrow.fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")) if uri.startswith("file:") else pyarrow.fs.FileSystem.from_uri(uri)
 
 
 def write_shards(folder: str, config: TokenConfig, total: int):
@@ -185,11 +195,12 @@ def materialise(docs: DataFrame, config: TokenConfig, folder: str | None = None)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with open(config.vocabulary, "rb") as f:
         vocabulary = f.read()
-    folder = (folder or new_path(spark, "shards")).rstrip("/")
+    folder = qualified(spark, folder or new_path(spark, "shards")).rstrip("/")
     held = spark.conf.get("spark.sql.files.minPartitionNum", None)
     spark.conf.set("spark.sql.files.minPartitionNum", str(held or max(1, docs.rdd.getNumPartitions())))
     try:
-        counts = sorted(docs.mapInArrow(count_sequences(vocabulary, config), "part int, tokens long, mark long").collect())
+        with small_batches(spark):
+            counts = sorted(docs.mapInArrow(count_sequences(vocabulary, config), "part int, tokens long, mark long").collect())
         begins, total = {}, 0
         for part, tokens, mark in counts:
             begins[part] = (total, tokens, mark)

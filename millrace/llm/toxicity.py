@@ -348,7 +348,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, config: ToxicConfig = Toxic
     told = told.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))  # of labels that disagree the toxic one holds
     told = bounded_sample(told, "toxic", config.each, config.seed)
     rows = docs.select("doc_id", "text").join(F.broadcast(told), "doc_id")  # the sample is bounded by the config
-    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(config.seed)), "doc_id", "text").toPandas()
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # of rows that repeat an id, one
+    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(config.seed)), "doc_id").toPandas()
     return train(list(rows["text"]), [int(v) for v in rows["toxic"]], config)
 
 
