@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import unicodedata
+from itertools import permutations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ VIETNAMESE_LETTERS = "ăâđêôơưàáảãạằắẳẵặầấẩẫậè
 ENGLISH_WORDS = "the of and to is in that for it with as be on are this by an we can if not or from at which you have will what how was".split()
 VIETNAMESE_ASCII_WORDS = "khong cua nhung duoc trong nguoi voi mot nay cac nhu thi cho minh ban toi lam nhieu cung chung dung phai nhat".split()
 
+# The patterns of prose(), strip_think(), extract_code(), normalize_answer() and answer_numbers() are fixed values, too.
+
 # What counts as a secret in a text, and in a shell assignment.
 SECRET = r"(?i)(hf_[a-z0-9]{20,}|(api[_-]?key|password|secret)\s*[=:]\s*\S{8,})"
 SECRET_SHELL = r"""(^|[^A-Za-z0-9_$])[A-Z0-9_]*PASS[A-Z0-9_]*=(["']?[A-Za-z0-9!@#%^&*+./-]{4,}|["']?\$\{[A-Za-z0-9_]+:-[^}$]{4,}\})"""
@@ -30,14 +33,50 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE, " "))
 
 
+def _compositions() -> dict[str, str]:
+    """Every way to write a letter below U+2000 with combining marks, and the one character that it is."""
+    out = {}
+    for code in range(0xC0, 0x2000):
+        letter = chr(code)
+        base, *marks = unicodedata.normalize("NFD", letter)
+        if not marks or unicodedata.normalize("NFC", letter) != letter:
+            continue
+        for order in permutations(marks):
+            for taken in range(len(order)):
+                written = unicodedata.normalize("NFC", base + "".join(order[:taken])) + "".join(order[taken:])
+                if written != letter and unicodedata.normalize("NFC", written) == letter:
+                    out[written] = letter
+    return dict(sorted(out.items(), key=lambda x: (-len(x[0]), x[0])))
+
+
+def _foldings() -> dict[str, str]:
+    """Letters below U+2000 that case folding changes beyond lower case."""
+    return {c: c.casefold() for c in map(chr, range(0x80, 0x2000)) if c.casefold() != c.lower() and c == c.lower()}
+
+
+COMPOSED, FOLDED = _compositions(), _foldings()
+
+
+def _replaced(c: Column, table: dict[str, str]) -> Column:
+    """c with every key of the table replaced by its value, one key after the other. The table is one literal, so that plans stay small."""
+    pairs = F.split(F.lit("\t".join(f"{a} {b}" for a, b in table.items())), "\t")
+    return F.aggregate(pairs, c, lambda text, p: F.replace(text, F.substring_index(p, " ", 1), F.substring_index(p, " ", -1)))
+
+
+def nfc(c: Column) -> Column:
+    """Letters with combining marks as single characters, in the scripts below U+2000. A text without such marks costs one scan."""
+    return F.when(c.rlike("[\u0300-\u036f]"), _replaced(c, COMPOSED)).otherwise(c)
+
+
 def fold(c: Column) -> Column:
-    """Lower case with the one common letter that case folding changes further."""
-    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    """Case folding: lower case, and the few letters that folding changes further, which a short class of ranges finds."""
+    low = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    return let(low, lambda t: F.when(t.rlike("[\u00b5\u0149\u017f\u01f0\u0345-\u03f5\u0587\u13a0-\u1e9f\u1f00-\u1fff]"), _replaced(t, FOLDED)).otherwise(t))
 
 
 def normalize(c: Column) -> Column:
-    """Folded, white space collapsed, trimmed; null is the empty text. Texts are taken to be NFC; see nfc() for others."""
-    return collapse(fold(F.coalesce(c, F.lit(""))))
+    """NFC, folded, white space collapsed, trimmed; null is the empty text."""
+    return collapse(fold(nfc(F.coalesce(c, F.lit("")))))
 
 
 def strip(c: Column, chars: str) -> Column:
@@ -95,18 +134,21 @@ def count_class(c: Column, chars: str) -> Column:
     return F.length(F.regexp_replace(c, f"[^{chars}]", ""))
 
 
+def count_letters(c: Column, letters: str) -> Column:
+    return F.length(c) - F.length(F.translate(c, letters, ""))
+
+
 def detect_language(c: Column) -> Column:
     """vi, vi-khong-dau, en, other or unknown, by shares of letters and of common words."""
-    low = fold(F.coalesce(c, F.lit("")))
-    letters, latin, marked = count_class(low, r"\p{L}"), count_class(low, r"\p{IsLatin}a-z"), count_class(low, VIETNAMESE_LETTERS)
-    count = lambda w, names: F.size(F.filter(w, lambda x: x.isin(names)))
-    by_words = let(words(low), lambda w: F.when(count(w, VIETNAMESE_ASCII_WORDS) * 100 >= F.size(w) * 8, "vi-khong-dau").when(count(w, ENGLISH_WORDS) * 20 >= F.size(w), "en").otherwise("unknown"))
-    return (
-        F.when(letters < 20, "unknown")
-        .when(latin * 10 < letters * 7, "other")
-        .when(marked * 20 >= latin, "vi")
-        .otherwise(by_words)
-    )
+    share = lambda w, names: F.size(F.filter(w, lambda x: x.isin(names)))
+    by_words = lambda low: let(words(low), lambda w: F.when(share(w, VIETNAMESE_ASCII_WORDS) * 100 >= F.size(w) * 8, "vi-khong-dau").when(share(w, ENGLISH_WORDS) * 20 >= F.size(w), "en").otherwise("unknown"))
+
+    def of(low: Column) -> Column:
+        # each scan of the text is done once, and only where the ones before have not decided
+        by_latin = lambda letters: let(count_class(low, r"\p{IsLatin}a-z"), lambda latin: F.when(latin * 10 < letters * 7, "other").when(count_letters(low, VIETNAMESE_LETTERS) * 20 >= latin, "vi").otherwise(by_words(low)))
+        return let(count_class(low, r"\p{L}"), lambda letters: F.when(letters < 20, "unknown").otherwise(by_latin(letters)))
+
+    return let(fold(nfc(F.coalesce(c, F.lit("")))), of)
 
 
 def strip_think(c: Column) -> Column:
@@ -133,10 +175,16 @@ def normalize_answer(c: Column) -> Column:
     return F.regexp_replace(normalize(c), r"(?<=\d)[.,\s](?=\d{3}(?!\d))", "")
 
 
+def plain_number(c: Column) -> Column:
+    """A decimal number in one spelling: a point, no zeros around it that say nothing, no minus before zero. Exact at any length."""
+    whole = F.regexp_replace(F.replace(c, F.lit(","), F.lit(".")), r"^(-?)0+(?=\d)", "$1")
+    return F.regexp_replace(F.regexp_replace(whole, r"(\.\d*?)0+$|\.$", "$1"), r"\.$|^-(?=0$)", "")
+
+
 def answer_numbers(c: Column) -> Column:
-    """Numbers that stand alone, as decimals."""
+    """Numbers that stand alone, in the spelling of plain_number()."""
     found = F.regexp_extract_all(normalize_answer(c), F.lit(r"(?<![\p{L}\p{N}_.,])-?\d+(?:[.,]\d+)?"), F.lit(0))
-    return F.transform(found, lambda n: F.replace(n, F.lit(","), F.lit(".")).cast("decimal(38,9)"))
+    return F.transform(found, plain_number)
 
 
 def answer_matches(c: Column, expected: Column) -> Column:
@@ -145,7 +193,7 @@ def answer_matches(c: Column, expected: Column) -> Column:
 
     def there(item):
         wanted = normalize_answer(item)
-        return F.when(wanted.rlike(r"^-?\d+([.,]\d+)?$"), F.array_contains(numbers, F.replace(wanted, F.lit(","), F.lit(".")).cast("decimal(38,9)"))).otherwise(F.contains(text, wanted))
+        return F.when(wanted.rlike(r"^-?\d+([.,]\d+)?$"), F.array_contains(numbers, plain_number(wanted))).otherwise(F.contains(text, wanted))
 
     return F.forall(expected, there)
 
@@ -159,12 +207,11 @@ def has_shell_secret(c: Column) -> Column:
 
 
 def integers(c: Column) -> Column:
-    return F.transform(F.regexp_extract_all(c, F.lit(r"\d+"), F.lit(0)), lambda n: n.cast("bigint"))
+    """Runs of digits as whole numbers; null for one beyond 64 bits."""
+    return F.transform(F.regexp_extract_all(c, F.lit(r"\d+"), F.lit(0)), lambda n: n.try_cast("bigint"))
 
 
 def slug(c: Column) -> Column:
     return strip(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), "-")
 
 
-def all_of(conditions) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

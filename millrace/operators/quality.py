@@ -12,6 +12,7 @@ from ..functions import text as T
 
 @dataclass(frozen=True)
 class QualityConfig:
+    # The defaults of the filters.
     allowed: tuple[str, ...] = ("vi", "en", "unknown")
     match_source_language: bool = True
     min_prompt_chars: int = 3
@@ -59,9 +60,11 @@ def flatten(messages: str | Column) -> tuple[Column, Column]:
 
 
 def language_reason(text: Column, declared: Column, config: QualityConfig = QualityConfig()) -> Column:
-    found = T.detect_language(text)
-    mismatch = F.lit(config.match_source_language) & declared.isNotNull() & ~(found == declared) & ~found.isin("unknown", "vi")
-    return F.when(mismatch, F.concat(F.lit("source language "), declared, F.lit(", found "), found)).when(~found.isin(*config.allowed), F.concat(F.lit("language "), found))
+    def told(found):
+        mismatch = F.lit(config.match_source_language) & declared.isNotNull() & ~(found == declared) & ~found.isin("unknown", "vi")
+        return F.when(mismatch, F.concat(F.lit("source language "), declared, F.lit(", found "), found)).when(~found.isin(*config.allowed), F.concat(F.lit("language "), found))
+
+    return T.let(T.detect_language(text), told)
 
 
 def length_reason(prompt: Column, answer: Column, config: QualityConfig = QualityConfig()) -> Column:

@@ -39,12 +39,19 @@ def flips(df: DataFrame, by: str) -> DataFrame:
 
 
 def mcnemar(failed: Column, passed: Column) -> Column:
-    """Exact two-sided p of McNemar's test: twice the binomial tail of the smaller count, 1 at most."""
+    """Exact two-sided p of McNemar's test: twice the binomial tail of the smaller count, 1 at most.
+
+    Beyond 1,000 flips the terms are added up by their logarithms, since the powers of two no longer fit. Negative counts stop the query."""
     n, k = failed + passed, F.least(failed, passed)
     start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"))
     step = lambda s, i: F.struct((s["term"] * (n - i) / (i + 1)).alias("term"), (s["sum"] + s["term"]).alias("sum"))
     tail = F.aggregate(F.sequence(F.lit(0).cast("bigint"), k), start, step, lambda s: s["sum"])
-    return F.when(n == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), 2 * tail / F.pow(F.lit(2.0), n)))
+    begin = F.struct((-n * F.log(F.lit(2.0))).alias("log"), F.lit(0.0).alias("sum"))
+    more = lambda s, i: F.struct((s["log"] + F.log((n - i).cast("double") / (i + 1))).alias("log"), (s["sum"] + F.exp(s["log"])).alias("sum"))
+    by_logs = F.aggregate(F.sequence(F.lit(0).cast("bigint"), k), begin, more, lambda s: s["sum"])
+    p = F.when(n <= 1000, 2 * tail / F.pow(F.lit(2.0), n)).otherwise(2 * by_logs)
+    wrong = F.raise_error(F.lit("counts of flips are not negative")).cast("double")
+    return F.when((failed < 0) | (passed < 0), wrong).when(n == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), p))
 
 
 def verdict(n: Column, p: Column) -> Column:

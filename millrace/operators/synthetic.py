@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import scoring
+from .lineage import shared
+
 KINDS = ("calculator", "read_file", "search", "none")
 TEMPLATES = {
     ("en", "calculator"): "What is {a} times {b}?",
@@ -34,3 +37,18 @@ def tool_call_rows(spark: SparkSession, count: int, seed: int, banned: tuple[int
     prompt = F.replace(F.replace(template[F.concat_ws("/", "language", "kind")], F.lit("{a}"), a.cast("string")), F.lit("{b}"), b.cast("string"))
     answer = F.to_json(F.struct(F.nullif("kind", F.lit("none")).alias("tool"), F.struct(F.when(F.col("kind") == "calculator", F.concat_ws(" * ", a, b)).alias("expression")).alias("arguments")))
     return rows.select("position", "language", "kind", prompt.alias("prompt"), answer.alias("answer"))
+
+
+def generate(prompts: DataFrame, teacher, parser, verifier) -> tuple[DataFrame, DataFrame]:
+    """prompts: id, prompt. Accepted and rejected rows of what a teacher answers.
+
+    teacher: a function of a column of prompts to a column of outputs (a Pandas UDF around a model, say). parser: of the
+    output to a structure, null where the output cannot be read. verifier: of the structure to a boolean. Rejected rows
+    keep the raw output, and say whether it could not be read or was not right.
+    """
+    told = shared(prompts.withColumn("raw_output", teacher(F.col("prompt"))))
+    told = told.withColumn("record", parser(F.col("raw_output")))
+    told = told.withColumn("passed", F.when(F.col("record").isNotNull(), F.coalesce(verifier(F.col("record")), F.lit(False))))
+    told = told.withColumn("quality_score", F.when(F.col("passed").isNotNull(), scoring.record_score(F.lit(False), F.col("passed"), F.lit(False), F.lit(False))))
+    rejected = told.where("not coalesce(passed, false)").withColumn("reason", F.when(F.col("record").isNull(), "not readable").otherwise("not verified"))
+    return told.where("passed").drop("raw_output"), rejected

@@ -13,6 +13,34 @@ ROLES = "system user assistant".split()
 MAX_CHARS = 100_000
 
 
+#: What a record says, in order of name.
+CONTENT = "context domain expected_output input messages reasoning task trajectory".split()
+
+
+def canonical_json(df: DataFrame) -> Column:
+    """What a record says as JSON without spaces and with sorted keys; null and missing fields are the empty text."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+
+    def part(c):
+        if c not in kinds:
+            return F.lit('""')
+        if c == "messages":
+            told = F.to_json(F.transform(c, lambda m: F.struct(m["content"].alias("content"), m["role"].alias("role"))), {"ignoreNullFields": "false"})
+        elif kinds[c] in ("array", "struct", "map"):
+            told = F.to_json(c)
+        else:  # a text is quoted as the only field of an object
+            told = F.regexp_extract(F.to_json(F.struct(F.col(c).cast("string").alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+        return F.when(F.col(c).isNull(), F.lit('""')).otherwise(told)
+
+    fields = [x for c in CONTENT for x in (F.lit(f'"{c}":'), part(c), F.lit(","))][:-1]
+    return F.concat(F.lit("{"), *fields, F.lit("}"))
+
+
+def ascii_length(json: Column) -> Column:
+    """Characters of a JSON text in which others than ASCII are escaped, those beyond 16 bits as two."""
+    return F.length(json) + 5 * F.regexp_count(json, F.lit(r"[^\x00-\x7F]")) + 6 * F.regexp_count(json, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+
+
 def missing(row_type: dict[str, str]) -> Column:
     """Codes of required fields that are null or empty; row_type maps columns to their type names."""
     empty = lambda c: F.col(c).isNull() | ((F.col(c) == "") if row_type.get(c) == "string" else F.lit(False))
@@ -26,23 +54,24 @@ def valid_messages(m: Column) -> Column:
 
 
 def errors(df: DataFrame) -> Column:
-    """All codes of a record; where a field is missing, the missing codes alone. Columns that df lacks have their defaults."""
+    """All codes of a record; where a field is missing, the missing codes alone. Columns that df lacks, and nulls in them, have their defaults."""
     have, kinds = set(df.columns), {f.name: f.dataType.typeName() for f in df.schema}
-    named = lambda c: F.coalesce(F.col(f"{c}.name"), F.lit("")) == "" if kinds.get(c) in ("struct",) else F.lit(True)
+    named = lambda c: F.coalesce(F.col(c)["name"], F.lit("")) == "" if kinds.get(c) in ("struct", "map") else F.lit(True)
     checks = [
         F.when(named("source"), "invalid:source"),
         F.when(named("license"), "invalid:license"),
         F.when(~F.col("domain").isin(DOMAINS), "invalid:domain"),
     ]
     if "validation_status" in have:
-        checks.append(F.when(~F.coalesce("validation_status", F.lit("")).isin(STATUSES), "invalid:validation_status"))
+        checks.append(F.when(~F.coalesce("validation_status", F.lit("pending")).isin(STATUSES), "invalid:validation_status"))
     if "difficulty" in have:
-        checks.append(F.when(~F.coalesce(F.col("difficulty").between(1, 5), F.lit(False)), "invalid:difficulty"))
+        whole = kinds["difficulty"] in ("byte", "short", "integer", "long")
+        checks.append(F.when(~F.coalesce(F.col("difficulty"), F.lit(1)).between(1, 5) if whole else F.col("difficulty").isNotNull(), "invalid:difficulty"))
     if "quality_score" in have:
         checks.append(F.when(F.col("quality_score").isNotNull() & ~F.coalesce(F.col("quality_score").cast("double").between(0, 1), F.lit(False)), "invalid:quality_score"))
     if "messages" in have:
         checks.append(F.when(F.col("messages").isNotNull() & ~valid_messages(F.col("messages")), "invalid:messages"))
-    checks.append(F.when(F.length("input") + F.length("expected_output") > MAX_CHARS, "invalid:too_large"))
+    checks.append(F.when(ascii_length(canonical_json(df)) > MAX_CHARS, "invalid:too_large"))
     gone = missing(kinds)
     return F.when(F.size(gone) > 0, gone).otherwise(F.array_compact(F.array(*checks)))
 

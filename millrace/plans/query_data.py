@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from ..functions import text as T
 from ..functions.python import arithmetic
-from ..operators import mixing, quality, validation
+from ..operators import mixing, quality, statistics, validation
+from ..operators import records as mapped
+from ..operators.cases import case_errors
 from ..operators.synthetic import tool_call_rows as generate
+from ..sources.readers import SourceSpec, scan
 from .query_text import CONV, ENDS, FLAT, conversations
 from .registry import Tables, query
 
@@ -16,8 +18,8 @@ from .registry import Tables, query
 @query("SELECT event_id, user_id FROM (SELECT * FROM (SELECT * FROM events ORDER BY event_id LIMIT 5000) WHERE event_type = 'click' ORDER BY event_id LIMIT 200)")
 def src_scan_where_limit(t: Tables):
     """scan_limit bounds the rows that are read, limit those that come out: both are the feature."""
-    scanned = t.events.orderBy("event_id").limit(5000)
-    return scanned.where(F.col("event_type").eqNullSafe("click")).orderBy("event_id").limit(200).select("event_id", "user_id")
+    spec = SourceSpec("events", "own", mapping={"input": "event_id", "expected_output": "user_id"}, where=(("event_type", "click"),), scan_limit=5000, limit=200)
+    return scan(spec, lambda: t.events, "event_id").select("event_id", "user_id")
 
 
 @query("SELECT 'customer' AS source, c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name, NULL FROM supplier")
@@ -34,8 +36,8 @@ def src_inspect(t: Tables):
 
 @query("""SELECT 'org-parts-' || p_partkey AS id, p_name AS input, p_type AS expected_output, CASE WHEN p_brand <> '' THEN p_brand END AS context, 'tool_use' AS domain FROM part""")
 def map_rows(t: Tables):
-    name = T.slug(F.lit("Org/Parts"))
-    return t.part.select(F.concat(name, F.lit("-"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("input"), F.col("p_type").alias("expected_output"), F.when(F.col("p_brand") != "", F.col("p_brand")).alias("context"), F.lit("tool_use").alias("domain"))
+    spec = SourceSpec("Org/Parts", "own", mapping={"id": "p_partkey", "input": "p_name", "expected_output": "p_type", "context": "p_brand"}, domain="tool_use")
+    return mapped.map_rows(t.part, spec, "v1", "p_partkey").select("id", "input", "expected_output", "context", "domain")
 
 
 @query("""WITH r AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos, CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ' NaN ' WHEN 2 THEN 'none' ELSE 'u' || c_custkey END AS raw FROM customer)
@@ -44,9 +46,9 @@ def map_rows_id_fallback(t: Tables):
     """Ids that are null or no id at all become the row's position. The position of a whole source is one order over it: zipped on the sorted table, not one window."""
     k = F.col("c_custkey") % 5
     raw = F.when(k == 0, F.lit(None)).when(k == 1, " NaN ").when(k == 2, "none").otherwise(F.concat(F.lit("u"), F.col("c_custkey").cast("string")))
-    placed = mixing.with_position(t.customer.select("c_custkey"), "c_custkey")
-    absent = raw.isNull() | F.lower(F.trim(raw)).isin("", "nan", "none", "null")
-    return placed.select("c_custkey", F.concat(F.lit("org-ds-"), F.when(absent, F.col("position").cast("string")).otherwise(raw)).alias("id"))
+    source = t.customer.select("c_custkey", raw.alias("raw"))
+    placed = mixing.with_position(source, "c_custkey")
+    return placed.select("c_custkey", F.concat(F.lit("org-ds-"), mapped.identifier(F.col("raw"), source.schema["raw"].dataType, F.col("position"))).alias("id"))
 
 
 ROLE = "CASE turn % 3 WHEN 0 THEN CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END ELSE role END"
@@ -54,15 +56,16 @@ ROLE = "CASE turn % 3 WHEN 0 THEN CASE role WHEN 'user' THEN 'human' WHEN 'assis
 
 @query(f"SELECT conv_id, turn, CASE r WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' ELSE r END AS role, text AS content FROM (SELECT *, {ROLE} AS r FROM conversations)")
 def conv_clean_messages(t: Tables):
-    alias = F.create_map(*[F.lit(x) for x in ("human", "user", "gpt", "assistant")])
     shared = F.when((F.col("turn") % 3 == 0) & (F.col("role") == "user"), "human").when((F.col("turn") % 3 == 0) & (F.col("role") == "assistant"), "gpt").otherwise(F.col("role"))
-    return t.conversations.select("conv_id", "turn", F.coalesce(F.try_element_at(alias, shared), shared).alias("role"), F.col("text").alias("content"))
+    rows = t.conversations.select("conv_id", "turn", F.array(F.struct(shared.alias("from"), F.col("text").alias("value"))).alias("m"))
+    clean = mapped.clean_messages(F.col("m"), rows.schema["m"].dataType)[0]
+    return rows.select("conv_id", "turn", clean["role"].alias("role"), clean["content"].alias("content"))
 
 
 @query(f"SELECT conv_id, list_filter(m, lambda x: x.role = 'user')[1].content AS prompt, m[-1].content AS answer FROM ({CONV})")
 def conv_prompt_answer(t: Tables):
-    prompt = F.try_element_at(F.filter("messages", lambda m: m["role"] == F.lit("user")), F.lit(1))["content"]
-    return conversations(t).select("conv_id", prompt.alias("prompt"), F.element_at("messages", -1)["content"].alias("answer"))
+    prompt, answer = mapped.prompt_answer(F.col("messages"))
+    return conversations(t).select("conv_id", prompt.alias("prompt"), answer.alias("answer"))
 
 
 @query(f"SELECT conv_id, {FLAT('user')} AS user_text, {FLAT('assistant')} AS assistant_text FROM ({CONV})")
@@ -126,9 +129,16 @@ def validate_duplicate_id(t: Tables):
 @query("""SELECT item_id, list_filter([CASE WHEN item_id % 4 = 3 THEN 'invalid:scoring' END, CASE WHEN item_id % 5 = 0 THEN 'invalid:language' END, CASE WHEN item_id % 4 = 2 AND item_id % 3 = 0 THEN 'missing:pattern' END], lambda x: x IS NOT NULL) AS errors FROM benchmark""")
 def eval_case_errors(t: Tables):
     k = F.col("item_id")
-    cases = t.benchmark.select(k, F.element_at(F.array(*map(F.lit, ("exact", "contains", "regex", "guess"))), (k % 4 + 1).cast("int")).alias("scoring"), F.when(k % 5 == 0, "xx").otherwise("vi").alias("language"), F.when(k % 3 == 0, "").otherwise("a+").alias("pattern"))
-    codes = [F.when(~F.col("scoring").isin("exact", "contains", "regex", "python_tests"), "invalid:scoring"), F.when(~F.col("language").isin("vi", "en"), "invalid:language"), F.when((F.col("scoring") == "regex") & (F.col("pattern") == ""), "missing:pattern")]
-    return cases.select("item_id", F.array_compact(F.array(*codes)).alias("errors"))
+    cases = t.benchmark.select(k, F.element_at(F.array(*map(F.lit, ("exact", "contains", "regex", "guess"))), (k % 4 + 1).cast("int")).alias("scoring"), F.when(k % 5 == 0, "xx").otherwise("vi").alias("language"), F.when(k % 3 == 0, "").otherwise("a+").alias("pattern"), F.col("text").alias("expected"))
+    return cases.select("item_id", case_errors(cases).alias("errors"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN ['invalid:difficulty'] WHEN doc_id % 3 = 2 THEN ['invalid:validation_status'] ELSE [] END AS errors FROM documents""")
+def validate_defaults(t: Tables):
+    """Nulls of fields that have a default are no errors."""
+    k = F.col("doc_id") % 3
+    r = records(t).withColumns({"id": F.concat(F.lit("d"), F.col("doc_id").cast("string")), "domain": F.lit("chat"), "task": F.lit("sft"), "quality_score": F.lit(0.5), "difficulty": F.when(k == 1, 9), "validation_status": F.when(k == 2, "lost")})
+    return r.select("doc_id", validation.errors(r).alias("errors"))
 
 
 SFT = "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ctx' || chr(10) || chr(10) || text ELSE text END AS question, CASE WHEN doc_id % 4 = 0 THEN '<think>' || chr(10) || 'why' || chr(10) || '</think>' || chr(10) || chr(10) || lang ELSE lang END AS answer FROM documents"
@@ -187,9 +197,7 @@ def stats_languages(t: Tables):
 @query("SELECT (SELECT n FROM (SELECT length(text)::BIGINT AS n, row_number() OVER (ORDER BY length(text)) AS r, count(*) OVER () AS c FROM documents) WHERE r = c // 2 + 1) AS upper_median")
 def stats_lengths(t: Tables):
     """The upper median: from counts of lengths, which are few, not from a window over all rows."""
-    counts = t.documents.groupBy(F.length("text").cast("bigint").alias("n")).agg(F.count("*").alias("c"))
-    run = counts.withColumn("upto", F.sum("c").over(W.orderBy("n"))).crossJoin(counts.agg(F.sum("c").alias("all")))
-    return run.where("upto >= floor(all / 2) + 1").agg(F.min("n").alias("upper_median"))
+    return statistics.upper_median(t.documents.select(F.length("text").cast("bigint").alias("n")))
 
 
 MIX = "q AS (SELECT min(n / w) AS total FROM (SELECT lang, count(*)::DOUBLE AS n FROM documents GROUP BY lang) JOIN (VALUES ('en', 0.5), ('fr', 0.3), ('de', 0.2)) v(lang, w) USING (lang))"
@@ -208,14 +216,14 @@ def mix_sample(t: Tables):
 
 @query("SELECT * FROM (VALUES ('code', 1000::BIGINT), ('reasoning', 750), ('chat', 750)) v(preset, rows)")
 def mix_counts(t: Tables):
-    counts = mixing.mix_counts({"code": 0.4, "reasoning": 0.3, "chat": 0.3}, {"code": 1000, "reasoning": 1000, "chat": 1000})
-    return t.spark.createDataFrame(list(counts.items()), "preset string, rows bigint")
+    plan = mixing.plan_mix({"code": 0.4, "reasoning": 0.3, "chat": 0.3}, {"code": 1000, "reasoning": 1000, "chat": 1000})
+    return t.spark.createDataFrame([(r.name, int(r.rows)) for r in plan.itertuples(index=False)], "preset string, rows bigint")
 
 
 @query("SELECT * FROM (VALUES ('a', 900::BIGINT), ('b', 900), ('synthetic', 200)) v(part, rows)")
 def mix_plan(t: Tables):
-    counts, synthetic = mixing.mix_plan({"a": 0.5, "b": 0.5}, {"a": 2000, "b": 2000}, 2000, 0.1)
-    return t.spark.createDataFrame([*counts.items(), ("synthetic", synthetic)], "part string, rows bigint")
+    plan = mixing.plan_mix(mixing.parse_mix(["a", "b:1"]), {"a": 2000, "b": 2000}, 2000, 0.1)
+    return t.spark.createDataFrame([(r.name, int(r.rows)) for r in plan.itertuples(index=False)], "part string, rows bigint")
 
 
 @query("SELECT language, kind, 25::BIGINT AS rows, 25::BIGINT AS prompts FROM (VALUES ('vi'), ('en')) l(language), (VALUES ('calculator'), ('read_file'), ('search'), ('none')) k(kind)")
@@ -234,7 +242,7 @@ def verify_math(t: Tables):
 @query("SELECT event_id, event_id % 4 <> 0 AS passed FROM events")
 def verify_tool_call(t: Tables):
     step = F.struct(F.when(F.col("event_id") % 4 != 0, "search").alias("tool"), F.create_map(F.lit("q"), F.col("props")).alias("arguments"))
-    return t.events.select("event_id", F.forall(F.array(step), lambda s: s["tool"].isNotNull() & s["arguments"].isNotNull()).alias("passed"))
+    return t.events.select("event_id", mapped.valid_trajectory(F.array(step)).alias("passed"))
 
 
 @query("SELECT event_id % 3 <> 0 AS accepted, count(*)::BIGINT AS rows FROM events GROUP BY ALL")
@@ -284,8 +292,7 @@ def corpus_shard_id(t: Tables):
 def corpus_source_missing(t: Tables):
     k = F.col("p_partkey")
     rows = t.part.select(k, F.when(k % 5 != 0, F.col("p_name")).otherwise("").alias("name"), F.when(k % 7 != 0, F.col("p_brand")).alias("license"))
-    empty = [F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(c)) for c in ("name", "license")]
-    return rows.select("p_partkey", F.array_compact(F.array(*empty)).alias("missing"))
+    return rows.select("p_partkey", mapped.absent(rows, ["name", "license"]).alias("missing"))
 
 
 @query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS state, count(*)::BIGINT AS transitions FROM events GROUP BY user_id")

@@ -27,6 +27,13 @@ def dedup_exact(t: Tables):
     return deduped(t).where("duplicate_of is null").select("doc_id")
 
 
+@query("SELECT doc_id, nullif(min(doc_id) OVER (PARTITION BY CASE WHEN lang = 'de' THEN NULL ELSE text END), doc_id) AS duplicate_of FROM documents")
+def dedup_exact_nulls(t: Tables):
+    """Rows without a content are one content."""
+    rows = t.documents.select("doc_id", F.when(F.coalesce(F.col("lang") == "de", F.lit(False)), F.lit(None)).otherwise(F.col("text")).alias("h"))
+    return exact_dedup(rows, "doc_id", "h").select("doc_id", "duplicate_of")
+
+
 @query(f"SELECT doc_id, duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS duplicate_of FROM ({HASHED})) WHERE doc_id <> duplicate_of")
 def dedup_rejected(t: Tables):
     return deduped(t).where("duplicate_of is not null").select("doc_id", "duplicate_of")
@@ -39,15 +46,15 @@ p AS (SELECT x.id AS a, y.id AS b, count(*) AS common FROM s x JOIN s y ON x.g =
 j AS (SELECT a, b, common, na.n + nb.n - common AS joined FROM p JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE common >= 0.8 * (na.n + nb.n - common))"""
 
 
-def rep_rows(t: Tables):
+def rep_sets(t: Tables):
     reps = S.classes(t.documents, "doc_id", F.col("text")).select(F.col("rep").alias("doc_id")).distinct()
-    return S.shingle_rows(t.documents.join(reps, "doc_id", "left_semi"), "doc_id", F.col("text"))
+    return S.shingle_sets(t.documents.join(reps, "doc_id", "left_semi"), "doc_id", F.col("text"))
 
 
 @query(f"WITH {SHINGLED} SELECT a, b, common::BIGINT AS common, joined::BIGINT AS joined FROM j")
 def neardup_pairs(t: Tables):
     """Pairs of classes of equal texts; neardup_classes has who is in which class."""
-    return S.similar_pairs(rep_rows(t), None, 0.8)
+    return S.similar_pairs(rep_sets(t), None, 0.8)
 
 
 @query(f"SELECT doc_id, min(doc_id) OVER (PARTITION BY {WORDS(NORM('text'))}) AS class_id FROM documents")
@@ -63,7 +70,7 @@ SELECT d.doc_id, coalesce(x.partner, c.id) AS near_duplicate_of FROM d JOIN c ON
 )
 def neardup_removed(t: Tables):
     """Greedy keep-first: copies go for the smallest id of their class, or with it for the document that it goes for."""
-    fate = S.keep_first(S.similar_pairs(rep_rows(t), None, 0.8))
+    fate = S.keep_first(S.similar_pairs(rep_sets(t), None, 0.8))
     every = S.classes(t.documents, "doc_id", F.col("text"))
     gone = every.join(fate.withColumnRenamed("id", "rep"), "rep", "left")
     return gone.where("partner is not null or id <> rep").select(F.col("id").alias("doc_id"), F.coalesce("partner", "rep").alias("near_duplicate_of"))
@@ -72,7 +79,7 @@ def neardup_removed(t: Tables):
 @query()
 def minhash_estimate(t: Tables):
     """Of candidates, the share of equal signature slots."""
-    signs = S.signatures(rep_rows(t))
+    signs = S.signatures(rep_sets(t).select("id", "n", F.explode("s").alias("shingle")))
     pairs = S.band_candidates(signs)
     one, other = signs.toDF("a", "slot", "va"), signs.toDF("b", "slot", "vb")
     return pairs.join(one, "a").join(other, ["b", "slot"]).groupBy("a", "b").agg(F.avg((F.col("va") == F.col("vb")).cast("double")).alias("estimate"))
@@ -80,7 +87,7 @@ def minhash_estimate(t: Tables):
 
 @query()
 def lsh_candidates(t: Tables):
-    return S.band_candidates(S.signatures(rep_rows(t)))
+    return S.band_candidates(S.signatures(rep_sets(t).select("id", "n", F.explode("s").alias("shingle"))))
 
 
 QUESTION = lambda x: f"regexp_replace(regexp_replace({NORM(x)}, '^[ .?!]+', ''), '[ .?!]+$', '')"
@@ -130,8 +137,8 @@ j AS (SELECT id, item_id, common, na.n + nb.n - common AS joined FROM p JOIN na
 
 
 def near_eval(t: Tables):
-    left = S.shingle_rows(planted(t), "id", F.col("text"))
-    right = S.shingle_rows(t.benchmark, "item_id", F.col("text"))
+    left = S.shingle_sets(planted(t), "id", F.col("text"))
+    right = S.shingle_sets(t.benchmark, "item_id", F.col("text"))
     found = S.similar_pairs(left, right, 0.8).withColumn("similarity", F.col("common") / F.col("joined"))
     best = found.groupBy("a").agg(F.max(F.struct("similarity", "b")).alias("m"))
     return best.select(F.col("a").alias("id"), F.col("m.b").alias("item_id"), F.col("m.similarity").alias("similarity"))

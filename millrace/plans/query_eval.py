@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import cost, scoring
+from ..operators import cases, cost, scoring
 from .query_text import CONV, NORM, conversations
 from .registry import Tables, query
 
@@ -113,15 +113,30 @@ def agent_report(t: Tables):
     return verdicts(t).agg(F.count("*").alias("total"), ok.alias("passed"), (ok.cast("double") / F.count("*")).alias("rate"))
 
 
-@query(f"""WITH a AS (SELECT id, ({VERDICT}) IS NULL AS ok FROM ({RUNS}) WHERE id % 2 = 0), b AS (SELECT id, ({VERDICT.replace('NOT answered', 'NOT again')}) IS NULL AS ok FROM ({RUNS.replace(' AS answered', ' AS answered, (count(*) + 1) % 3 = 0 AS again')}) WHERE id % 3 = 0)
-SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL OR b.id IS NULL THEN 'only in one' WHEN a.ok = b.ok THEN 'same' WHEN b.ok THEN 'newly passed' ELSE 'newly failed' END AS change FROM a FULL JOIN b ON a.id = b.id""")
+@query(f"""WITH a AS (SELECT id, {VERDICT} AS r FROM ({RUNS})), b AS (SELECT id, {VERDICT.replace('NOT answered', 'NOT again')} AS r FROM ({RUNS.replace(' AS answered', ' AS answered, (count(*) + 1) % 3 = 0 AS again')}))
+SELECT a.id, CASE WHEN b.id IS NULL THEN 'only in one' WHEN (a.r IS NULL) = (b.r IS NULL) THEN 'same' WHEN b.r IS NULL THEN 'newly passed' ELSE 'newly failed' END AS change FROM a LEFT JOIN b ON a.id = b.id AND b.r IS DISTINCT FROM 'not completed'""")
 def agent_compare(t: Tables):
-    a = verdicts(t).where("id % 2 = 0").select("id", F.col("reason").isNull().alias("before"))
-    b = verdicts(t, 1).where("id % 3 = 0").select("id", F.col("reason").isNull().alias("after"))
+    """All runs, and a second report that lacks those that were not completed."""
+    a = verdicts(t).select("id", F.col("reason").isNull().alias("before"))
+    b = verdicts(t, 1).where(~F.col("reason").eqNullSafe("not completed")).select("id", F.col("reason").isNull().alias("after"))
     change = F.when(F.col("before").isNull() | F.col("after").isNull(), "only in one").when(F.col("before") == F.col("after"), "same").when(F.col("after"), "newly passed").otherwise("newly failed")
     return a.join(b, "id", "full_outer").select("id", change.alias("change"))
 
 
+PVALUE = "CASE WHEN f + g = 0 THEN 1.0 ELSE least(1.0, 2 * list_sum(list_transform(range(0, least(f, g) + 1), lambda i: exp(lgamma(f + g + 1) - lgamma(i + 1) - lgamma(f + g - i + 1) - (f + g) * ln(2))))) END"
+
+
+@query(f"""WITH s AS ({SCORED}), x AS (SELECT 'all' AS part, '' AS value, before, after FROM s UNION ALL SELECT 'lang', lang, before, after FROM s UNION ALL SELECT 'source', source, before, after FROM s),
+n AS (SELECT part, value, count(*)::BIGINT AS cases, count(*) FILTER (before AND NOT after)::BIGINT AS f, count(*) FILTER (after AND NOT before)::BIGINT AS g FROM x GROUP BY ALL)
+SELECT part, value, cases AS cases_before, cases AS cases_after, f AS newly_failed, g AS newly_passed, round({PVALUE}, 6)::DOUBLE AS p FROM n""")
+def eval_compare(t: Tables):
+    """Two runs over the same cases: flips and their exact p, over all and by two columns."""
+    s = scored(t).withColumnRenamed("doc_id", "id")
+    run = lambda c: s.select("id", "lang", "source", F.col(c).alias("passed"))
+    out = cases.compare(run("before"), run("after"), ("lang", "source"))
+    return out.select("part", "value", "cases_before", "cases_after", "newly_failed", "newly_passed", F.round("p", 6).alias("p"))
+
+
 AMOUNT = "'Total: 1.' || lpad((event_id % 1000)::VARCHAR, 3, '0') || ' dong, or ' || event_id || ',5'"
 
 
@@ -141,6 +156,15 @@ def answer_numbers(t: Tables):
     return t.events.select("event_id", n[0].cast("double").alias("first"), n[1].cast("double").alias("second"))
 
 
+@query("SELECT event_id, '12345678901234567890123456789012345678901' || event_id AS number, event_id % 2 = 0 AS matches FROM events")
+def answer_numbers_long(t: Tables):
+    """Numbers of more digits than any number type has."""
+    long = F.concat(F.lit("12345678901234567890123456789012345678901"), F.col("event_id").cast("string"))
+    wanted = F.concat(long, F.when(F.col("event_id") % 2 == 0, ".0").otherwise(".5"))
+    said = F.concat(F.lit("It is 000"), long, F.lit(" in all"))
+    return t.events.select("event_id", T.answer_numbers(said)[0].alias("number"), T.answer_matches(said, F.array(wanted)).alias("matches"))
+
+
 @query("SELECT event_id, (event_id % 1000 = 500 OR event_id = 1500) AS matches FROM events")
 def answer_match(t: Tables):
     return t.events.select("event_id", T.answer_matches(amounts(), F.array(F.lit("1500"), F.lit("DONG"))).alias("matches"))
@@ -191,17 +215,16 @@ def vram_table(t: Tables):
     return rows.select("params_b", "precision", cost.weights_gb(F.col("params_b"), F.col("precision")).alias("weights_gb"), cost.training_gb(F.col("params_b"), F.col("precision"), F.lit(2048)).alias("training_gb"))
 
 
-@query(f"SELECT params_b, coalesce(max(len) FILTER ({VRAM} <= 16), 0)::BIGINT AS longest FROM {MODELS}, (VALUES ('4bit', 4.5::DOUBLE)) b(p, bits), (SELECT 64 * unnest(range(1, 5000)) AS len) GROUP BY params_b")
+@query(f"SELECT params_b, budget, coalesce(max(len) FILTER ({VRAM} <= budget), 0)::BIGINT AS longest FROM {MODELS}, (VALUES ('4bit', 4.5::DOUBLE)) b(p, bits), (VALUES (2.0::DOUBLE), (16.0), (192.0)) g(budget), (SELECT 64 * unnest(range(1, 8000)) AS len) GROUP BY params_b, budget")
 def vram_max_len(t: Tables):
-    return models(t).select("params_b", cost.longest(F.col("params_b"), F.lit("4bit"), 16.0).alias("longest"))
+    return models(t).select("params_b", F.explode(F.array(*[F.struct(F.lit(g).alias("budget"), cost.longest(F.col("params_b"), F.lit("4bit"), g).alias("longest")) for g in (2.0, 16.0, 192.0)])).alias("x")).select("params_b", "x.budget", "x.longest")
 
 
-@query("SELECT 5.358::DOUBLE AS tflops_near, true AS close")
+@query("SELECT round(2 * 0.49 * 1e9 * 13104.0 * 125 * 3 / 896.9 / 1e12, 6)::DOUBLE AS tflops")
 def calib_train(t: Tables):
     """Effective throughput of a measured run."""
     one = t.spark.createDataFrame([(0.49, 13104.0, 125, 896.9, 3)], "params_b double, tokens_per_step double, steps int, seconds double, passes int")
-    got = cost.effective_tflops(F.col("params_b"), F.col("tokens_per_step"), F.col("steps"), F.col("passes"), F.col("seconds"))
-    return one.select(F.lit(5.358).cast("double").alias("tflops_near"), (F.abs(got - 5.358) < 0.05).alias("close"))
+    return one.select(F.round(cost.effective_tflops(F.col("params_b"), F.col("tokens_per_step"), F.col("steps"), F.col("passes"), F.col("seconds")), 6).alias("tflops"))
 
 
 @query("SELECT avg(d / (c / 3.4) - 2 * 0.49::DOUBLE / 190.0) AS overhead, bool_and(l) AS reliable FROM (VALUES (132.0::DOUBLE, 10000.0::DOUBLE, true), (156.0, 9000.0, false)) v(d, c, l)")

@@ -35,6 +35,16 @@ def text_normalize(t: Tables):
     return t.documents.select("doc_id", T.normalize(F.col("text")).alias("normalized"))
 
 
+APART = "replace(replace(text, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776))"
+
+
+@query(f"SELECT doc_id, {NORM(f'nfc_normalize({APART})')} AS normalized, {LANG(f'lower(nfc_normalize({APART}))')} AS language FROM documents")
+def text_nfc(t: Tables):
+    """Texts whose accents are characters of their own."""
+    apart = F.replace(F.replace("text", F.lit("é"), F.lit("e\u0301")), F.lit("ü"), F.lit("u\u0308"))
+    return t.documents.select("doc_id", T.normalize(apart).alias("normalized"), T.detect_language(apart).alias("language"))
+
+
 def planted_text():
     fence = F.concat(F.col("text"), F.lit("\n```python\nx = 1\n```"), F.lit(" tail"))
     return F.when(F.col("doc_id") % 5 == 0, fence).when(F.col("doc_id") % 5 == 1, F.concat(F.lit("\\frac{a}{b} "), "text", F.lit(" ```open"))).otherwise(F.col("text"))

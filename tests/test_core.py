@@ -92,7 +92,7 @@ def test_similarity_join_against_brute_force(spark):
     texts = [[r.choice("abcdefgh") for _ in range(r.randint(0, 14))] for _ in range(60)]
     texts += [t[:-1] + ["z"] for t in texts[:20] if t]
     rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id long, text string")
-    got = {(x.a, x.b) for x in similarity.similar_pairs(similarity.shingle_rows(rows, "id", F.col("text")), None, 0.5).collect()}
+    got = {(x.a, x.b) for x in similarity.similar_pairs(similarity.shingle_sets(rows, "id", F.col("text")), None, 0.5).collect()}
     sets = [{tuple(t[k : k + 3]) for k in range(len(t) - 2)} if len(t) > 2 else ({tuple(t)} if t else set()) for t in texts]
     want = {(i, j) for j in range(len(sets)) for i in range(j) if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.5 * len(sets[i] | sets[j])}
     assert got == want
@@ -107,8 +107,16 @@ def test_candidates_are_all_pairs_of_a_bucket(spark):
 
 
 def test_mixes(spark):
-    assert mixing.mix_counts({"a": 0.4, "b": 0.3, "c": 0.3}, {"a": 1000, "b": 1000, "c": 1000}) == {"a": 1000, "b": 750, "c": 750}
-    assert mixing.synthetic_split(2000, 0.1) == (1800, 200)
+    rows_of = lambda plan: dict(zip(plan["name"], plan["rows"]))
+    assert rows_of(mixing.plan_mix({"a": 0.4, "b": 0.3, "c": 0.3}, {"a": 1000, "b": 1000, "c": 1000})) == {"a": 1000, "b": 750, "c": 750}
+    assert rows_of(mixing.plan_mix(mixing.parse_mix(["x"]), {"x": 5000}, 2000, 0.1)) == {"x": 1800, "synthetic": 200}
+    assert rows_of(mixing.plan_mix({"x": 1.0}, {"x": 900}, None, 0.1)) == {"x": 900, "synthetic": 100}
+    assert dict(mixing.parse_mix(["a:1", "b:3"])) == {"a": 0.25, "b": 0.75}
+    for wrong in ([], ["a", "a"], [":2"], ["a:x"], ["a:"] * 2):
+        with pytest.raises(ValueError):
+            mixing.parse_mix(wrong)
+    with pytest.raises(ValueError):
+        mixing.plan_mix({"x": 1.0}, {"x": 900}, 1000)
     with pytest.raises(ValueError):
         mixing.parse_mix(["a:0"])
     rows = spark.range(100).select(F.col("id"), F.when(F.col("id") < 80, "a").otherwise("b").alias("g"))
@@ -133,6 +141,7 @@ def test_build(spark, tmp_path):
     rows = spark.createDataFrame([record("a", "what is the first", "one two"), record("b", "what is the first", "one two"), record("c", "tell me of the second", "two"), record("d", "", "x")], schema)
     manifest = build(rows, str(tmp_path / "out"), "v1")
     assert manifest["examples"] == 2 and manifest["rejected"] == 2
+    assert manifest["statistics"]["duplicate_rate"] == 1 / 3 and manifest["statistics"]["domains"] == {"chat": 2}
     with pytest.raises(EvalOverlap):
         build(rows, str(tmp_path / "two"), "v1", evaluation=spark.createDataFrame([record("z", "What is the FIRST?", "no")], schema))
 
