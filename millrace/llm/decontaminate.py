@@ -45,16 +45,18 @@ class LeakConfig:
     share: float = 0.2  #: edits, as a share of the item's words, that a leak may have
     gram: int = 3
     sample: int = 4  #: output places in a hash
-    agree: float = 0.5  #: chance that one output place of a window at the threshold agrees with the item's
+    agree: float = 0.5  #: chance that one output place of a window at the threshold agrees with the item's, for items of up to 20 words
+    apart: float = 0.004  #: by how much that chance is less for each word more, as the walks drift apart
     recall: float = 0.999
     sampled: int = 50  #: words of the longest item whose windows are sampled
     walks: int = 4  #: independent walks, each with its own part of the hashes
     item_block: int = 20_000  #: items that are shipped to the executors at once
     seed: int = 55
 
-    @property
-    def hashes(self) -> int:
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.agree**self.sample))
+    def hashes(self, size: int) -> int:
+        """So many reach the recall for items of `size` words."""
+        agree = self.agree - self.apart * max(0, size - 20)
+        return math.ceil(math.log(1 - self.recall) / math.log(1 - agree**self.sample))
 
 
 @dataclass
@@ -94,7 +96,7 @@ def samples(codes: np.ndarray, size: int, config: LeakConfig) -> np.ndarray:
     random, steps, out = np.random.RandomState(config.seed), 3 * size, []
     for w in range(config.walks):
         embedded = walk(codes, steps, config.seed * 1000 + w)
-        for _ in range(-(-config.hashes // config.walks)):
+        for _ in range(-(-config.hashes(size) // config.walks)):
             # early places say most: the walks of two sequences drift apart as edits add up
             picked = np.sort(random.randint(0, 2 * size, config.sample))
             value = np.full(len(codes), V.U64(len(out) + 1))
