@@ -236,11 +236,11 @@ def _sets(nodes: DataFrame, signs: DataFrame, docs: DataFrame, config: NearConfi
 def _links(pairs: DataFrame, signs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
     """pairs: distinct a < b. The links among them."""
     left, right = signs.select(F.col("node").alias("a"), F.col("sign").alias("sa")), signs.select(F.col("node").alias("b"), F.col("sign").alias("sb"))
-    alive = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(prune(config), "a long, b long")
+    alive = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(V.trimmed(prune(config)), "a long, b long")
     alive = written(alive, "alive")
     grams = written(_sets(alive.select(F.col("a").alias("node")).union(alive.select("b")).distinct(), signs, docs, config), "sets")
     full = alive.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b").join(grams.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
-    return written(full.select("a", "b", "ga", "gb").mapInArrow(verify(config), "a long, b long"), "links")
+    return written(full.select("a", "b", "ga", "gb").mapInArrow(V.trimmed(verify(config)), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig()) -> DataFrame:
@@ -274,7 +274,7 @@ def _told(docs: DataFrame, config: NearConfig, mark: str | None = None) -> DataF
     classes = written(classes, "classes")  # numbers of nodes hold from here on
     signs = named.join(classes, "digest").where("doc_id = rep").select("node", "rep", "digest", "sign", "bands", F.col("n_shingles").alias("n")).dropDuplicates(["node"])
     signs = written(signs, "signs")
-    buckets = signs.select("node", "bands", "n").mapInArrow(bucket_rows(config), "bucket long, node long, n long")
+    buckets = signs.select("node", "bands", "n").mapInArrow(V.trimmed(bucket_rows(config)), "bucket long, node long, n long")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
     told = written(buckets.join(shared, "bucket"), "buckets")
     lead = told.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("lead"))
@@ -307,14 +307,14 @@ def _across(told: DataFrame, links: DataFrame, asked: DataFrame, signs: DataFram
     mixed = told.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
     members = written(told.join(mixed, "bucket").select("node", "component", "n").distinct(), "members")
     sets = written(members.join(_sets(members.select("node"), signs, docs, config), "node").select("node", "component", "n", "grams"), "mixed")
-    rows = sets.mapInArrow(shingle_rows, "node long, component long, n long, shingle long")
+    rows = sets.mapInArrow(V.trimmed(shingle_rows), "node long, component long, n long, shingle long")
     counts = rows.groupBy("shingle").agg(F.count("*").alias("df"), (F.min("component") < F.max("component")).alias("across")).where("df > 1")
     found = rows.join(written(counts, "counts"), "shingle").groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle", "across"))).alias("s"))
     # shingles of one set alone are the rarest; they match nothing, but take up places of the prefix
     alone = F.col("n") - F.size("s")
     prefix = F.col("n") - F.ceil(F.col("n") * config.numerator / config.denominator) + 1 - alone
     first = found.where(prefix > 0).select("node", "component", "n", F.explode(F.filter(F.slice("s", F.lit(1), prefix.cast("int")), lambda x: x["across"])["shingle"]).alias("shingle"))
-    first = written(first.join(sets.select("node", "grams").mapInArrow(parities, "node long, parity array<long>"), "node"), "prefixes")
+    first = written(first.join(sets.select("node", "grams").mapInArrow(V.trimmed(parities), "node long, parity array<long>"), "node"), "prefixes")
     largest = first.groupBy("shingle", "component").agg(F.count("*").alias("k")).groupBy("shingle").agg(F.max(F.struct("k", "component")).alias("m")).select("shingle", F.col("m.component").alias("largest"))
     # members of the component that most sets of a shingle are in do not meet each other
     minor = first.join(written(largest, "largest"), "shingle").where("component <> largest").select("shingle", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("parity").alias("px"), "largest")

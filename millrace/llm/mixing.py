@@ -149,7 +149,7 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig(), row: str | Non
     places = places.select("source_ix", "doc_key", "doc_id", *more, "start", "block", F.greatest(F.col("start") - F.col("block") * size, F.lit(0)).alias("low"), F.least(length - F.col("block") * size, size).alias("high"))
     plan = spark.createDataFrame(draw_plan(sizes, goals, config), "source_ix int, shard int, first long, n long, blocks long, size long, goal long")
     slots = plan.select("source_ix", "shard", "blocks", "size", "goal", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
-    slots = slots.mapInArrow(slot_blocks(config), "shard int, source_ix int, slot long, pass long, block long, words long").where("words > 0")
+    slots = slots.mapInArrow(V.trimmed(slot_blocks(config)), "shard int, source_ix int, slot long, pass long, block long, words long").where("words > 0")
     slots = written(slots, "slots")
     by_block = slots.groupBy("source_ix", "block").agg(F.collect_list("words").alias("takes"))
     took = places.join(by_block, ["source_ix", "block"])
@@ -195,4 +195,4 @@ def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFra
     spans = taken.select("source_ix", "doc_key", "mix_row", "pass", F.struct((F.col("block") * config.block + F.col("low") - F.col("start")).alias("low"), (F.col("block") * config.block + F.least("high", "words") - F.col("start")).alias("high")).alias("span"))
     spans = spans.groupBy("source_ix", "doc_key", "mix_row", "pass").agg(F.collect_list("span").alias("spans")).select("mix_row", "spans")
     both = keyed.dropDuplicates(["mix_row"]).join(spans, "mix_row").select(*docs.columns, "spans")
-    return both.mapInArrow(_taken, docs.schema)
+    return both.mapInArrow(V.trimmed(_taken), docs.schema)

@@ -75,6 +75,8 @@ def _encoded(batches, vocabulary: bytes, config: TokenConfig):
                 ids = encode(text)
                 ids.append(config.end)
                 yield doc_id, ids
+    batch = ids = text = None
+    V.trim()
 
 
 def count_sequences(vocabulary: bytes, config: TokenConfig):
@@ -208,7 +210,7 @@ def materialise(docs: DataFrame, config: TokenConfig, folder: str | None = None)
         rows = docs.mapInArrow(pack_sequences(vocabulary, config, begins, total), "slot long, sequence long, ids binary, n_tokens int, doc_ids array<long>")
         shards = max(1, -(-total // config.shard_sequences))
         dealt = rows.repartitionById(shards, F.floor(F.col("slot") / config.shard_sequences).cast("int")).sortWithinPartitions("slot")
-        index = dealt.mapInArrow(write_shards(folder, config, total), "slot long, shard long, byte long, sequence long, n_tokens int, doc_ids array<long>, crc32 long")
+        index = dealt.mapInArrow(V.trimmed(write_shards(folder, config, total)), "slot long, shard long, byte long, sequence long, n_tokens int, doc_ids array<long>, crc32 long")
         return Shards(written(index, "index"), folder, total, config)
     finally:
         if held is None:

@@ -46,6 +46,29 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def trim() -> None:
+    """Gives memory that a task has freed back to the system; a worker that waits for its next task would keep it."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
+def trimmed(run):
+    """A function of batches that trims once its batches have ended."""
+
+    def whole(batches):
+        yield from run(batches)
+        trim()
+
+    return whole
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches of about CHUNK bytes of text each, with bytes and offsets: memory stays bounded whatever the batch size."""
     for batch in batches:
@@ -55,6 +78,8 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
             high = max(low + 1, int(np.searchsorted(at, at[low] + CHUNK, "right")) - 1)
             yield batch.slice(low, high - low), raw[at[low] : at[high]], at[low : high + 1] - at[low]
             low = high
+    raw = at = batch = None
+    trim()
 
 
 @dataclass
