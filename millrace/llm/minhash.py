@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import vectors as V
 from .graph import components
-from .tables import written
+from .tables import scratch, written
 
 
 #: Bits that tell sets apart before any pair of them is made.
@@ -225,11 +225,15 @@ def verify(config: NearConfig):
     return run
 
 
+def _shipped(keys: DataFrame, config: NearConfig) -> DataFrame:
+    """As a table, to be joined with texts: broadcast while it has no more than config.shipped rows, by shuffle beyond that."""
+    keys = written(keys, "keys")
+    return F.broadcast(keys) if keys.count() <= config.shipped else keys
+
+
 def _sets(nodes: DataFrame, signs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
     """node, grams: the full sets of nodes, from their texts. Texts stay where they are while the nodes are no more than config.shipped; beyond that they are joined by shuffle."""
-    wanted = written(nodes.join(signs, "node").select(F.col("rep").alias("doc_id"), "node", "digest"), "wanted")
-    if wanted.count() <= config.shipped:
-        wanted = F.broadcast(wanted)
+    wanted = _shipped(nodes.join(signs, "node").select(F.col("rep").alias("doc_id"), "node", "digest"), config)
     return docs.join(wanted, "doc_id").select("node", "digest", "text").mapInArrow(full_sets(config), "node long, grams binary").dropDuplicates(["node"])
 
 
@@ -257,10 +261,11 @@ def deduplicated(docs: DataFrame, config: NearConfig = NearConfig()) -> DataFram
     """docs, with all its columns, but of each group of near duplicates only the row with the smallest doc_id. Of rows that repeat an id and its text one stays; rows without an id or without words stay."""
     key = ["doc_id", "_near_text"]
     docs = docs.withColumn("_near_text", F.xxhash64("text"))
-    told = written(_told(docs, config, "_near_text").where("doc_id is not null and group is not null").select("doc_id", F.col("mark").alias("_near_text"), "group"), "told")
+    with scratch():
+        told = written(_told(docs, config, "_near_text").where("doc_id is not null and group is not null").select("doc_id", F.col("mark").alias("_near_text"), "group"), "told")
     best = told.groupBy("group").agg(F.min(F.struct(*key)).alias("best"), F.count("*").alias("rows")).where("rows > 1")
     told = written(told.join(best, "group").select(*key, (F.struct(*key) == F.col("best")).alias("first")), "groups")
-    gone, again = told.where("not first").select(*key).distinct(), told.where("first").groupBy(*key).count().where("count > 1").select(*key)
+    gone, again = (_shipped(x, config) for x in (told.where("not first").select(*key).distinct(), told.where("first").groupBy(*key).count().where("count > 1").select(*key)))
     left = docs.join(gone, key, "left_anti")
     return left.join(again, key, "left_anti").unionByName(left.join(again, key, "left_semi").dropDuplicates(key)).drop("_near_text")
 

@@ -57,6 +57,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch():
+    """Deletes the tables that are made while this holds, but for the last of them, once all is done; nothing that is read later may need the others."""
+    start = len(_made)
+    yield
+    for spark, path in _made[start:-1]:
+        delete(spark, path)
+    del _made[start:-1]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
