@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors as V
@@ -68,9 +68,25 @@ class LanguageModel:
                     best, score = np.where(known, np.array(model.languages, object)[p.argmax(axis=1)], "und"), np.where(known, p.max(axis=1), 0.0)
                 yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in names] + [pa.array(best, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
-        letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
+        letter = _has_letter().alias("has_letter")
         return docs.select(*keep, *([] if "text" in keep else ["text"]), letter).mapInArrow(run, schema)
 
+    def known(self, docs: DataFrame, least: float) -> DataFrame:
+        """The rows of docs, with all their columns, whose language is told with a score of at least `least`; texts that are `und` go."""
+        model = self
+
+        def run(batches):
+            for batch, raw, at in V.chunks(batches):
+                stays = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+                stays = stays & (model.probabilities(raw, at).max(axis=1) >= least) if model.languages else np.zeros(batch.num_rows, bool)
+                yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(stays))
+
+        return docs.withColumn("_has_letter", _has_letter()).mapInArrow(run, docs.schema)
+
+
+def _has_letter() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
 
 def _grams(raw: np.ndarray, at: np.ndarray):
     """For each order, the codes of all texts' n-grams and where each text's begin."""

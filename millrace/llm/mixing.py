@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -159,25 +160,25 @@ def mix_sources(docs: DataFrame, config: MixConfig = MixConfig(), row: str | Non
 
 
 def _taken(batches):
-    """Texts cut to their stretches of words; a text that is taken whole stays as it is."""
-    for batch in batches:
-        names = batch.schema.names
-        column = lambda c: batch.column(names.index(c))  # noqa: B023, E731
-        out = []
-        for text, spans in zip(column("text").to_pylist(), column("spans").to_pylist()):
-            raw = np.frombuffer(text.encode(), np.uint8)
-            found, parts, end = V.words(raw, np.array([0, len(raw)])), [], 0
+    """Texts cut to their stretches of words, which are the last column; a text that is taken whole stays as it is."""
+    for batch, raw, at in V.chunks(batches):
+        found, out = V.words(raw, at), []
+        for i, spans in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            parts, end, zero = [], 0, int(found.first[i])
             for low, high in sorted((s["low"], s["high"]) for s in spans):
                 if parts and low <= end:
                     parts[-1] = (parts[-1][0], high)
                 else:
                     parts.append((low, high))
                 end = high
-            whole = parts == [(0, len(found.begin))]
-            out.append(text if whole else b"\n".join(raw[found.begin[low] : found.end[high - 1]].tobytes() for low, high in parts).decode())
-        texts = pa.array(out, pa.string())
-        sizes = pa.array([len(t) for t in out], pa.int64())
-        yield pa.RecordBatch.from_arrays([texts if c == "text" else sizes if c == "n_chars" else column(c) for c in names if c != "spans"], names=[c for c in names if c != "spans"])
+            whole = parts == [(0, int(found.counts[i]))]
+            out.append(raw[at[i] : at[i + 1]].tobytes() if whole else b"\n".join(raw[found.begin[zero + low] : found.end[zero + high - 1]].tobytes() for low, high in parts))
+        texts, names = pa.array(out, pa.binary()).cast(pa.string()), batch.schema.names[:-1]
+        columns = dict(zip(names, batch.columns))
+        columns["text"] = texts
+        if "n_chars" in columns:
+            columns["n_chars"] = pc.utf8_length(texts).cast(columns["n_chars"].type)
+        yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
 
 def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
@@ -189,10 +190,10 @@ def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig()) -> DataFra
     """
     # a hash passes over nulls, so which columns are null is hashed too; two seeds make a collision as good as impossible
     values = [x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]
-    keyed = docs.where("text is not null").withColumn("mix_row", F.concat_ws(" ", F.xxhash64(*values), F.xxhash64(F.lit(config.seed), *values)))
-    mix = mix_sources(keyed, config, "mix_row")
+    keyed = docs.where("text is not null").withColumn("_mix_row", F.concat_ws(" ", F.xxhash64(*values), F.xxhash64(F.lit(config.seed), *values)))
+    mix = mix_sources(keyed, config, "_mix_row")
     taken = mix.places.join(mix.slots.select("source_ix", "block", "pass", "words"), ["source_ix", "block"]).where("words > low")
-    spans = taken.select("source_ix", "doc_key", "mix_row", "pass", F.struct((F.col("block") * config.block + F.col("low") - F.col("start")).alias("low"), (F.col("block") * config.block + F.least("high", "words") - F.col("start")).alias("high")).alias("span"))
-    spans = spans.groupBy("source_ix", "doc_key", "mix_row", "pass").agg(F.collect_list("span").alias("spans")).select("mix_row", "spans")
-    both = keyed.dropDuplicates(["mix_row"]).join(spans, "mix_row").select(*docs.columns, "spans")
-    return both.mapInArrow(V.trimmed(_taken), docs.schema)
+    spans = taken.select("source_ix", "doc_key", "_mix_row", "pass", F.struct((F.col("block") * config.block + F.col("low") - F.col("start")).alias("low"), (F.col("block") * config.block + F.least("high", "words") - F.col("start")).alias("high")).alias("span"))
+    spans = spans.groupBy("source_ix", "doc_key", "_mix_row", "pass").agg(F.collect_list("span").alias("_mix_spans")).select("_mix_row", "_mix_spans")
+    both = keyed.dropDuplicates(["_mix_row"]).join(spans, "_mix_row").select(*docs.columns, "_mix_spans")
+    return both.mapInArrow(_taken, docs.schema)

@@ -48,6 +48,11 @@ def small_batches(spark: SparkSession):
         spark.conf.set(_BATCH, held)
 
 
+def settled(spark: SparkSession) -> None:
+    """Small batches for the rest of the session, for a program whose results are written by others."""
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows, read back from a Parquet table in the shared folder: lineage ends here, and a lost executor costs only its own reads."""
     spark = df.sparkSession
