@@ -11,6 +11,7 @@ from .language import language_id
 from .lines import dedup_lines
 from .minhash import NearConfig, near_duplicates
 from .mixing import mix_sources
+from .packing import best_fit, public_pack_config
 from .suffixes import repeats
 from .tables import read
 from .tokens import materialise, public_config
@@ -67,6 +68,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op4_token_shards, op5_decontaminate, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup)}
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document: its ids' checksum, and its place in a sequence of at most 4,096 ids."""
+    return best_fit(read(spark, sf_dir, "documents"), public_pack_config())
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op4_token_shards, op5_decontaminate, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup, op11_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
