@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .decontaminate import leaks
 from .embeddings import near_vectors
@@ -16,6 +17,7 @@ from .suffixes import repeats
 from .tables import read
 from .tokens import materialise, public_config
 from .toxicity import toxicity
+from .whitening import whiten
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +75,12 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(read(spark, sf_dir, "documents"), public_pack_config())
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op4_token_shards, op5_decontaminate, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup, op11_best_fit_packing)}
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each sound vector and component: whitened coordinate, exact squared deviation, explained share; a deviation beyond 64 bits is null."""
+    rows = whiten(read(spark, sf_dir, "embeddings")).rows
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op4_token_shards, op5_decontaminate, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup, op11_best_fit_packing, op12_embedding_whitening)}
 
 ORACLE_SQL: dict[str, str] = {}
