@@ -12,6 +12,7 @@ from .language import language_id
 from .lines import dedup_lines
 from .minhash import NearConfig, near_duplicates
 from .mixing import mix_sources
+from .negatives import mine
 from .packing import best_fit, public_pack_config
 from .suffixes import repeats
 from .tables import read
@@ -81,6 +82,14 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op4_token_shards, op5_decontaminate, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup, op11_best_fit_packing, op12_embedding_whitening)}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each negative of an anchor and positive: rows of other labels in the window below the positive's score. The fold of ids divisible by 7 is relabelled."""
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_main_text, op3_minhash_near_duplicates, op4_token_shards, op5_decontaminate, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_embedding_near_duplicates, op10_line_dedup, op11_best_fit_packing, op12_embedding_whitening, op13_hard_negatives)}
 
 ORACLE_SQL: dict[str, str] = {}
