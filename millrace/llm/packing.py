@@ -7,9 +7,10 @@
    is the tightest one that is left). What a partition cannot match keeps its rank: the gaps before, the pieces
    behind. The driver sees two counts a partition, and matches ranks of pieces with ranks of gaps further on, so the
    round is the sweep of one sorted list, however it was dealt. No two pieces can have the same gap.
-3. Gaps shrink by what they took, and the next round begins. Pieces longer than every gap cannot be placed at all; the
+3. Gaps shrink by what they took, and the next round begins. Where short pieces hold less than a twentieth of all ids, a round has only
+   pieces of which as many fit together as of the longest that is left. Pieces longer than every gap cannot be placed at all; the
    longest of them open as many sequences as their sum needs at least, or their number where no two fit together.
-4. When only short pieces are left and gaps hold many of each, a round lays pieces and gaps end to end, both from large to small,
+4. When only short pieces are left and most of the room is in gaps that hold many of them, a round lays pieces and gaps end to end, both from large to small,
    and a gap takes all pieces that lie inside it; those across a border wait for the next round.
 
 Lengths are whole numbers up to `length`, so the driver plans a round from at most two counts a length. Rows of one
@@ -22,9 +23,12 @@ empty table gives no pieces. Any other column of docs is left out.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,7 +44,7 @@ class PackConfig:
     length: int = 4096
     end: int = 1  #: id behind each document
     suffix: str = "</w>"
-    cache: int = 1 << 18  #: words and parts of words that a task remembers
+    cache: int = 1 << 19  #: parts of words that a task remembers, about
 
 
 def public_pack_config(name: str = "word_bpe_49k.json") -> PackConfig:
@@ -50,64 +54,168 @@ def public_pack_config(name: str = "word_bpe_49k.json") -> PackConfig:
     return PackConfig(public_tokenizers.path(name))
 
 
-#: Letters that this file may lower and split by itself: they have one form in NFC, and no letter near them changes them.
-_LETTERS = "a-zß-öø-ɏ"
-_PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ɏ]*")
-#: What the vocabulary's own pre-tokeniser finds in such words.
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+#: What this file does not split and lower by itself: all but ASCII, and letters that have one form in NFC and keep their first byte
+#: in lower case; and what may begin a special token.
+_ODD = re.compile("[^ \t\n\v\f\r!-~À-ÖØ-öø-įı-ľŀ-ŷŹ-ſ]|<\\|")
+_SPACE = re.compile("[ \t\n\v\f\r]")
 
 
-class WordIds(dict):
-    """Ids of words that hold no white space, as bytes of unsigned 32-bit numbers; words that are missing are encoded once and remembered.
+def segments(text: str) -> Iterator[tuple[str, bool]]:
+    """A text cut at white space into stretches, and whether a stretch is a word with odd characters. Patterns only look for single characters, so long words take no longer than others."""
+    at = 0
+    while odd := _ODD.search(text, at):
+        low = max(at, *(text.rfind(c, at, odd.start()) + 1 for c in " \t\n\v\f\r"))
+        end = _SPACE.search(text, odd.end())
+        high = end.start() if end else len(text)
+        if low > at:
+            yield text[at:low], False
+        yield text[low:high], True
+        at = high
+    if at < len(text):
+        yield text[at:], False
 
-    The vocabulary splits texts at white space, so a text's ids are those of its words. Words of common letters are
-    split into parts first, which repeat more often than words.
-    """
 
-    def __init__(self, vocabulary: str, config: PackConfig):
-        from tokenizers import Tokenizer
+_BLANK, _LETTER, _DIGIT, _MARK, _ODDS = range(5)
 
-        super().__init__()
-        self.model, self.config = Tokenizer.from_str(vocabulary), config
-        self.parts: dict[str, bytes] = {}
-        self.ends = np.zeros(self.model.get_vocab_size(), bool)
-        self.ends[[k for token, k in self.model.get_vocab().items() if token.endswith(config.suffix)]] = True
 
-    def whole(self, word: str) -> bytes:
-        return np.array(self.model.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+def _plain_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Kinds of single bytes, and of the 2-byte letters U+00C0 to U+017F their second byte in lower case, 0 for an odd one. Letters that change the first byte with their case are odd."""
+    kind = np.full(256, _ODDS, np.uint8)
+    kind[0x21:0x7F], kind[0x20], kind[0x09:0x0E] = _MARK, _BLANK, _BLANK
+    for low, high, what in ((0x30, 0x3A, _DIGIT), (0x41, 0x5B, _LETTER), (0x61, 0x7B, _LETTER), (0x80, 0xC0, _LETTER), (0xC3, 0xC6, _LETTER)):
+        kind[low:high] = what
+    second = np.zeros((3, 64), np.uint8)
+    for code in range(0xC0, 0x180):
+        first, last = chr(code).encode()
+        lower = chr(code).lower().encode()
+        if chr(code).isalpha() and len(lower) == 2 and lower[0] == first:
+            second[first - 0xC3, last - 0x80] = lower[1]
+    return kind, second
 
-    def split(self, word: str) -> list[str] | None:
-        return _PARTS.findall(word.lower()) if _PLAIN.fullmatch(word) and "<|" not in word else None
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes the parts of words that are missing in one go."""
-        if len(self.parts) > self.config.cache:
-            self.parts.clear()
-        new = {p for w in set(words).difference(self) for p in self.split(w) or () if p not in self.parts and len(p) < 64}
-        if new:
-            new = list(new)
-            ids = np.array(self.model.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(new):  # else the words are encoded one by one
-                self.parts.update(zip(new, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
+_KIND, _SECOND = _plain_tables()
 
-    def __missing__(self, word: str) -> bytes:
-        parts = self.split(word)
-        found = [self.parts.get(p) for p in parts] if parts is not None else [None]
-        ids = self.whole(word) if None in found else b"".join(found)
-        if len(word) < 64:
-            if len(self) > self.config.cache:
-                self.clear()
-            self[word] = ids
-        return ids
 
-    def text(self, text: str) -> bytes:
-        words = spaced(text)
-        return b"".join(map(self.__getitem__, words))
+@dataclass
+class Parts:
+    """Parts of words of a chunk of texts: lowered bytes, where each part begins and ends, the first part of each text, and which texts are odd."""
+
+    raw: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    odd: np.ndarray
+
+
+def parts_of(raw: np.ndarray, at: np.ndarray) -> Parts:
+    """What the vocabulary's own pre-tokeniser finds in texts without odd characters, in lower case: letters, single digits, marks, and the
+    ends of contractions. Texts that are odd have no parts."""
+    low = V.LOWER[raw]
+    kind = _KIND[raw]
+    n = len(raw)
+    lead = np.flatnonzero((raw >= 0xC3) & (raw < 0xC6))
+    odd = kind == _ODDS
+    follows = np.zeros(n + 1, bool)
+    follows[lead + 1] = True
+    odd |= ((raw >= 0x80) & (raw < 0xC0)) != follows[:n]
+    lead = lead[lead + 1 < n]
+    lead = lead[(raw[lead + 1] >= 0x80) & (raw[lead + 1] < 0xC0)]
+    lower = _SECOND[raw[lead] - 0xC3, raw[lead + 1] - 0x80]
+    odd[lead[lower == 0]] = True
+    low[lead + 1] = lower
+    odd[:-1] |= (raw[:-1] == ord("<")) & (raw[1:] == ord("|"))
+    texts = np.zeros(len(at) - 1, bool)
+    texts[np.searchsorted(at, np.flatnonzero(odd), "right") - 1] = True
+    for k in np.flatnonzero(texts):
+        kind[at[k] : at[k + 1]] = _BLANK
+    edge = np.ones(n + 1, bool)
+    edge[1:n] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    edge[at] = True
+    for k in np.flatnonzero((low == ord("'")) & edge[:n]).tolist():  # a part of its own, if a text goes on with one of these
+        if edge[k + 1] and k + 1 < n and kind[k + 1] == _LETTER and not (at[np.searchsorted(at, k + 1)] == k + 1):
+            rest = bytes(low[k + 1 : min(k + 3, at[np.searchsorted(at, k, "right")])])
+            size = 1 if rest[:1] in (b"s", b"t", b"m", b"d") else 2 if rest in (b"re", b"ve", b"ll") else 0
+            if size:
+                edge[k + 1], edge[k + 1 + size] = False, True
+    edges = np.flatnonzero(edge)
+    begin, end = edges[:-1], edges[1:]
+    real = kind[begin] != _BLANK
+    begin, end = begin[real], end[real]
+    return Parts(low, begin, end, np.searchsorted(begin, at), texts)
+
+
+class WordIds:
+    """Ids of texts, through the ids of their parts, which are encoded once and remembered by a 64-bit hash.
+
+    The vocabulary splits texts at white space and into parts, so a text's ids are those of its parts. Texts with odd
+    characters are cut into stretches without them and words with them, which are encoded whole.
+    """
 
+    def __init__(self, vocabulary: str, config: PackConfig):
+        from tokenizers import Tokenizer
 
-def spaced(text: str) -> list[str]:
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        self.model, self.config = Tokenizer.from_str(vocabulary), config
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        self.ends[[k for token, k in self.model.get_vocab().items() if token.endswith(config.suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[int, int] = {}
+        self.low, self.size, self.pool, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.uint32), 0
+
+    def whole(self, word: str) -> np.ndarray:
+        return np.array(self.model.encode(word, add_special_tokens=False).ids, np.uint32)
+
+    def learn(self, hashes: list[int], parts: list[str]) -> None:
+        """Encodes parts in one go; each ends in an id that is marked as an end."""
+        ids = np.array(self.model.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(parts):  # a part that is not what the vocabulary takes as one
+            some = [self.whole(p) for p in parts]
+            ids, ends = np.concatenate(some), np.cumsum([len(x) for x in some])
+        n, to = len(self.slot), len(self.slot) + len(parts)
+        self.low, self.size, self.pool = (np.concatenate([x, np.zeros(max(len(x), need - len(x)), x.dtype)]) if need > len(x) else x for x, need in ((self.low, to), (self.size, to), (self.pool, self.used + len(ids))))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.low[n:to] = self.used + np.append(0, ends[:-1])
+        self.size[n:to] = np.diff(ends, prepend=0)
+        self.used += len(ids)
+        self.slot.update(zip(hashes, range(n, to)))
+
+    def encode(self, raw: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text of a chunk."""
+        found = parts_of(raw, at)
+        hashes = V.slice_hash(V.prefix_hash(found.raw), found.begin, found.end)
+        codes, distinct = pd.factorize(hashes)
+        if len(self.slot) > self.config.cache:
+            self.forget()
+        keys = distinct.tolist()
+        known = np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            place = np.zeros(len(keys), np.int64)
+            place[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)  # where each comes first
+            data = found.raw.tobytes()
+            known[new] = np.arange(len(self.slot), len(self.slot) + len(new))
+            self.learn([keys[k] for k in new.tolist()], [data[a:b].decode() for a, b in zip(found.begin[place[new]].tolist(), found.end[place[new]].tolist())])
+        slots = known[codes]
+        size = self.size[slots]
+        upto = np.append(0, np.cumsum(size))
+        ids = self.pool[np.repeat(self.low[slots] - upto[:-1], size) + np.arange(upto[-1])]
+        cuts = upto[found.first]
+        out = [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        for k in np.flatnonzero(found.odd).tolist():
+            out[k] = self.odd(raw[at[k] : at[k + 1]].tobytes().decode())
+        return out
+
+    def odd(self, text: str) -> np.ndarray:
+        some = [np.zeros(0, np.uint32)]
+        for stretch, odd in segments(text):
+            if odd:
+                some.append(self.whole(stretch))
+            else:
+                raw = np.frombuffer(stretch.encode(), np.uint8)
+                some += self.encode(raw, np.array([0, len(raw)]))
+        return np.concatenate(some)
 
 
 def _encoder(vocabulary: str, config: PackConfig) -> WordIds:
@@ -128,12 +236,10 @@ def cut_pieces(vocabulary: str, config: PackConfig):
 
     def run(batches):
         encode, key, last, size = _encoder(vocabulary, config), TaskContext.get().partitionId() << 33, np.array([config.end], "<u4").tobytes(), 4 * config.length
-        for batch, _, _ in V.chunks(batches):
+        for batch, raw, at in V.chunks(batches):
             rows = []
-            texts = batch.column("text").to_pylist()
-            encode.learn([w for t in texts if t for w in spaced(t)])
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts):
-                ids = (encode.text(text) if text else b"") + last
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode.encode(raw, at)):
+                ids = ids.astype("<u4").tobytes() + last
                 for piece, low in enumerate(range(0, len(ids), size)):
                     rows.append((key, doc_id, piece, low // 4, min(size, len(ids) - low) // 4, ids[low : low + size]))
                     key += 1
@@ -144,8 +250,8 @@ def cut_pieces(vocabulary: str, config: PackConfig):
     return run
 
 
-#: Kinds of rows of a state: a piece without a place, a sequence with a gap, a piece that was placed in this round.
-PIECE, GAP, PLACED = 0, 1, 2
+#: Kinds of rows of a state: a piece without a place, a sequence with a gap, a piece that was placed in this round. LEFT counts what a part could not match.
+PIECE, GAP, PLACED, LEFT = 0, 1, 2, 3
 STATE = "kind int, id long, value int, bin long, offset int"
 _KINDS = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
 _NAMES = ["kind", "id", "value", "bin", "offset", "part", "rank"]
@@ -182,6 +288,8 @@ def sweep(length: int):
             some = free[low : low + (1 << 16)]
             n = len(some)
             yield _batch([[PIECE] * n, [k for k, _ in some], [v for _, v in some], [None] * n, [None] * n, [part] * n, list(range(low, low + n))])
+        if gaps or free:
+            yield _batch([[LEFT], [len(free)], [None], [gaps], [None], [part], [None]])
 
     return run
 
@@ -210,16 +318,16 @@ def _ranged(state: DataFrame, order: list) -> DataFrame:
     return state.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def sweep_round(state: DataFrame, least: int, opened: int, config: PackConfig) -> DataFrame:
-    """The state after a sweep: state has pieces, and gaps of which those below least are out of use. opened: how many of the longest pieces without a gap open a sequence."""
+def sweep_round(state: DataFrame, least: int, opened: int, shortest: int, config: PackConfig) -> DataFrame:
+    """The state after a sweep: state has pieces, and gaps of which those below least are out of use. opened: how many of the longest pieces
+    without a gap open a sequence. Pieces below shortest, and gaps that hold none of the others, wait."""
     spark, length = state.sparkSession, config.length
     order = ["value", "kind", "id"]
-    live = state.where((F.col("kind") == PIECE) | (F.col("kind") == GAP) & (F.col("value") >= least)).select(*order)
+    live = state.where((F.col("kind") <= GAP) & (F.col("value") >= shortest)).select(*order)
+    waits = state.where((F.col("kind") == PIECE) & (F.col("value") < shortest) | (F.col("kind") == GAP) & (F.col("value") >= least) & (F.col("value") < shortest))
     swept = written(_ranged(live, order).mapInArrow(V.trimmed(sweep(length)), STATE + ", part int, rank long"), "swept")
-    counts: dict[int, list[int]] = {}
-    for part, kind, n in swept.where("part >= 0").groupBy("part", "kind").count().collect():
-        counts.setdefault(part, [0, 0])[1 - kind] = n
-    runs, free = runs_between({p: (g, n) for p, (g, n) in counts.items()})
+    counts = {r["part"]: (r["bin"], r["id"]) for r in swept.where(f"kind = {LEFT}").select("part", "bin", "id").collect()}
+    runs, free = runs_between(counts)
     opens = {}
     for part in sorted(free, reverse=True):
         opens[part] = min(free[part], opened)
@@ -242,6 +350,8 @@ def sweep_round(state: DataFrame, least: int, opened: int, config: PackConfig) -
     fresh = pieces.where("rank >= stay and rank < free")
     fresh = fresh.select(F.lit(PLACED).alias("kind"), "id", "value", F.col("id").alias("bin"), F.lit(0).alias("offset")).union(fresh.where(f"value < {length}").select(F.lit(GAP), "id", F.lit(length) - F.col("value"), F.lit(None).cast("long"), F.lit(None).cast("int")))
     after = swept.where("part < 0").select(*columns).union(pieces.where("rank < stay").select(*columns)).union(met).union(fresh)
+    if shortest > least:
+        after = after.union(waits.select(*columns))
     return written(after, "packed")
 
 
@@ -336,7 +446,8 @@ def place(pieces: DataFrame, config: PackConfig) -> tuple[DataFrame, int]:
     length, spark = config.length, pieces.sparkSession
     state = pieces.where(F.col("length") < length).select(F.lit(PIECE).alias("kind"), F.col("key").alias("id"), F.col("length").cast("int").alias("value"), F.lit(None).cast("long").alias("bin"), F.lit(None).cast("int").alias("offset"))
     placed = pieces.where(F.col("length") == length).select("key", F.col("key").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rounds = 0
+    rounds, bands = 0, None
+    total = lambda x: sum(v * n for v, n in x.items())
     while True:
         sizes: dict[int, dict[int, int]] = {PIECE: {}, GAP: {}}
         for kind, value, n in state.where(f"kind < {PLACED}").groupBy("kind", "value").count().collect():
@@ -344,17 +455,20 @@ def place(pieces: DataFrame, config: PackConfig) -> tuple[DataFrame, int]:
         if not sizes[PIECE]:
             return placed, rounds
         rounds += 1
+        if bands is None:  # without short pieces to fill what others leave, the longest must be placed for good before the next
+            bands = total({v: n for v, n in sizes[PIECE].items() if 8 * v <= length}) * 20 < total(sizes[PIECE])
         least, most = min(sizes[PIECE]), max(sizes[PIECE])
         gaps = {v: n for v, n in sizes[GAP].items() if v >= least}
-        roomy = sum(n for v, n in gaps.items() if v >= 4 * most)
-        if roomy and sum(sizes[PIECE].values()) >= 2 * roomy:
+        roomy = {v: n for v, n in gaps.items() if v >= 4 * most}
+        if roomy and sum(sizes[PIECE].values()) >= 2 * sum(roomy.values()) and 2 * total(roomy) >= min(total(sizes[PIECE]), total(gaps)):
             state = fill_round(state, least, 4 * most, config)
         else:
-            stuck = {v: n for v, n in sizes[PIECE].items() if v > max(gaps, default=0)}
-            total = lambda x: sum(v * n for v, n in x.items())
+            shortest = max(least, length // (length // most + 1) + 1) if bands else least  # as many fit together as of the longest
+            now = {v: n for v, n in sizes[PIECE].items() if v >= shortest}
+            stuck = {v: n for v, n in now.items() if v > max(gaps, default=0)}
             alone = sum(n for v, n in stuck.items() if 2 * v > length)
-            opened = max(alone, -(-total(stuck) // length), -(-(total(sizes[PIECE]) - total(gaps)) // length), 0)
-            state = sweep_round(state, least, opened, config)
+            opened = max(alone, -(-total(stuck) // length), 0 if bands else -(-(total(now) - total(gaps)) // length))
+            state = sweep_round(state, least, opened, shortest, config)
         placed = placed.union(state.where(f"kind = {PLACED}").select("id", "bin", F.col("offset").cast("long")))
 
 
