@@ -114,11 +114,19 @@ class Block:
         return Block(np.asarray(ids), np.asarray(rows), np.asarray(labels), x, tables, np.stack(lengths))
 
 
+def slices(n: int, most: int) -> Iterator[tuple[int, int]]:
+    """Slices of n rows: a small one first, as what it finds spares the others work."""
+    low, size = 0, max(1, most // 16)
+    while low < n:
+        yield low, size
+        low, size = low + size, most
+
+
 def scored(batches, block: Block, config: NegativeConfig) -> Iterator[tuple]:
     """Slices of the index: ids, row numbers, labels, vectors, and for each row and anchor the looked-up score and how far it may be off."""
     for whole in batches:
-        for low in range(0, whole.num_rows, config.rows):
-            batch = whole.slice(low, config.rows)
+        for low, size in slices(whole.num_rows, config.rows):
+            batch = whole.slice(low, size)
             ids, rows, labels = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("vec_id", "row", "kind"))
             x, code, left = (batch.column(batch.schema.get_field_index(c)).flatten().to_numpy().reshape(len(ids), -1) for c in ("x", "code", "left"))
             score = np.zeros((len(ids), len(block.ids)))
@@ -149,13 +157,6 @@ class Best:
         self.floor[self.window[last]] = self.score[last]
 
 
-def _floors(low: np.ndarray, keep: int) -> np.ndarray:
-    """For each column the score that at least keep rows surely reach; -inf if there are not so many."""
-    if len(low) < keep:
-        return np.full(low.shape[1], -np.inf)
-    return np.partition(low, len(low) - keep, axis=0)[len(low) - keep]
-
-
 def exact(x: np.ndarray, i: np.ndarray, block: Block, j: np.ndarray) -> np.ndarray:
     return np.concatenate([np.einsum("ij,ij->i", x[i[k : k + 65536]], block.x[j[k : k + 65536]]) for k in range(0, len(i), 65536)] or [np.zeros(0, np.int64)])
 
@@ -167,8 +168,7 @@ def best_positives(block: Block, config: NegativeConfig):
         best = Best(len(block.ids), config.positives)
         for ids, rows, labels, x, score, off in scored(batches, block, config):
             can = (labels[:, None] == block.labels) & (ids[:, None] != block.ids)
-            floor = np.maximum(best.floor, _floors(np.where(can, score - off, -np.inf), config.positives))
-            i, j = np.nonzero(can & (score + off >= floor))
+            i, j = np.nonzero(can & (score + off >= best.floor))
             best.add(j, exact(x, i, block, j), ids[i], rows[i])
         yield pa.RecordBatch.from_arrays([pa.array(block.rows[best.window]), pa.array(block.ids[best.window]), pa.array(best.id), pa.array(best.row), pa.array(best.score)], names=["anchor_row", "anchor_id", "id", "row", "score"])
 
@@ -176,30 +176,28 @@ def best_positives(block: Block, config: NegativeConfig):
 
 
 def best_negatives(block: Block, windows: list[tuple[int, int, int]], config: NegativeConfig):
-    """windows: place of an anchor in the block, number of its positive, the positive's score. Of a task: for each window its best rows of other labels."""
-    spots = [np.array(v, np.int64) for v in zip(*windows)]
-    deep = int(spots[1].max()) + 1
+    """windows: place of an anchor in the block, number of its positive, the positive's score. Of a task: for each window its best rows of other labels, by place and number."""
+    anchor, number, top = (np.array(v, np.int64) for v in zip(*windows))
+    deep = int(number.max()) + 1
+    score_of = np.zeros((len(block.ids), deep), np.int64)
+    upper, lower = np.full((2, len(block.ids), deep), -np.inf)  # nothing is below the upper end of a window that is not there
+    score_of[anchor, number] = top
+    upper[anchor, number], lower[anchor, number] = top * config.high / 100, top * config.low / 100
 
     def run(batches):
-        anchor, number, top = spots
-        best = Best(len(anchor), config.negatives)
+        best = Best(len(block.ids) * deep, config.negatives)
         for ids, rows, labels, x, score, off in scored(batches, block, config):
-            can = (labels[:, None] != block.labels) & (ids[:, None] != block.ids)
-            for k in range(deep):
-                w = np.flatnonzero(number == k)  # one window of each anchor
-                a, upper = anchor[w], top[w] * config.high / 100
-                lower = top[w] * config.low / 100
-                low, high = score[:, a] - off[:, a], score[:, a] + off[:, a]
-                may = can[:, a] & (low <= upper)
-                sure = may & (high <= upper) & (low >= lower)
-                floor = np.maximum(np.maximum(best.floor[w], lower), _floors(np.where(sure, low, -np.inf), config.negatives))
-                i, j = np.nonzero(may & (high >= floor))
-                s = exact(x, i, block, a[j])
-                fits = (100 * s >= config.low * top[w][j]) & (100 * s <= config.high * top[w][j])
+            least, most = score - off, score + off
+            most[(labels[:, None] == block.labels) | (ids[:, None] == block.ids)] = -np.inf
+            for k in range(deep):  # one window of each anchor
+                floor = np.maximum(best.floor[k::deep], lower[:, k])
+                floor[np.isneginf(floor)] = np.finfo(float).min
+                i, j = np.nonzero((most >= floor) & (least <= upper[:, k]))
+                s = exact(x, i, block, j)
+                fits = (100 * s >= config.low * score_of[j, k]) & (100 * s <= config.high * score_of[j, k])
                 i, j, s = i[fits], j[fits], s[fits]
-                best.add(w[j], s, ids[i], rows[i])
-        a = anchor[best.window]
-        yield pa.RecordBatch.from_arrays([pa.array(block.rows[a]), pa.array(number[best.window]), pa.array(best.id), pa.array(best.row), pa.array(best.score)], names=["anchor_row", "number", "id", "row", "score"])
+                best.add(j * deep + k, s, ids[i], rows[i])
+        yield pa.RecordBatch.from_arrays([pa.array(best.window // deep), pa.array(best.window % deep), pa.array(best.id), pa.array(best.row), pa.array(best.score)], names=["place", "number", "id", "row", "score"])
 
     return run
 
@@ -265,18 +263,13 @@ def _pass(index: Index, block: Block, config: NegativeConfig) -> DataFrame:
     if not windows:
         return index.table.sparkSession.createDataFrame([], MINED)
     ids = index.table.sparkSession.createDataFrame([(k, i, r) for (i, r), k in place.items()], "place long, anchor_id long, anchor_row long")
-    seen = table.mapInArrow(V.trimmed(best_negatives(_placed(block), windows, config)), "anchor_row long, number long, id long, row long, score long").withColumnRenamed("anchor_row", "place")
+    seen = table.mapInArrow(V.trimmed(best_negatives(block, windows, config)), "place long, number long, id long, row long, score long")
     seen = seen.withColumn("at", F.row_number().over(Window.partitionBy("place", "number").orderBy(*order))).where(F.col("at") <= config.negatives)
     seen = seen.join(F.broadcast(ids), "place").select("anchor_id", "anchor_row", (F.col("number") + 1).cast("int").alias("rank"), "at", F.col("id").alias("negative_id"), F.col("row").alias("negative_row"), F.col("score").alias("negative_score"))
     both = positives.withColumnsRenamed({"id": "positive_id", "row": "positive_row", "score": "positive_score"}).join(seen, ["anchor_id", "anchor_row", "rank"])
     return both.select("anchor_id", "anchor_row", "positive_id", "positive_row", F.col("at").cast("int").alias("rank"), "negative_id", "negative_row", "positive_score", "negative_score")
 
 
-def _placed(block: Block) -> Block:
-    """The same block, whose rows are named by their place."""
-    return Block(block.ids, np.arange(len(block.ids)), block.labels, block.x, block.tables, block.lengths)
-
-
 def mine(rows: DataFrame, anchors: F.Column, config: NegativeConfig = NegativeConfig()) -> DataFrame:
     """rows: vec_id (long), embedding (array of float or double), label; anchors: which vec_id are queries. Returns MINED.
 
