@@ -39,7 +39,7 @@ class NegativeConfig:
     negatives: int = 5
     low: int = 80  #: of 100: the least share of the positive's score that a negative may have
     high: int = 100
-    parts: int = 8
+    parts: int = 32  #: two dimensions of 64 each: what the centres leave over is small beside the scores
     centres: int = 256
     sample: int = 20_000  #: most rows that centres are fitted on; every row is indexed
     turns: int = 12  #: of the fit
