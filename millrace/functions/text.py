@@ -74,9 +74,14 @@ def fold(c: Column) -> Column:
     return let(low, lambda t: F.when(t.rlike("[\u00b5\u0149\u017f\u01f0\u0345-\u03f5\u0587\u13a0-\u1e9f\u1f00-\u1fff]"), _replaced(t, FOLDED)).otherwise(t))
 
 
+#: What nfc() or fold() look at beyond lower case and ß, in either case of letter.
+_BEYOND = "[\u00b5\u0130\u0149\u017f\u01f0\u0300-\u03f5\u0587\u13a0-\u1e9f\u1f00-\u1fff\u2126\u212a\u212b]"
+
+
 def normalize(c: Column) -> Column:
-    """NFC, folded, white space collapsed, trimmed; null is the empty text."""
-    return collapse(fold(nfc(F.coalesce(c, F.lit("")))))
+    """NFC, folded, white space collapsed, trimmed; null is the empty text. One scan of the text as it is tells whether lower case is all that folding takes."""
+    text = F.coalesce(c, F.lit(""))
+    return F.when(text.rlike(_BEYOND), collapse(fold(nfc(text)))).otherwise(collapse(F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))))
 
 
 def strip(c: Column, chars: str) -> Column:

@@ -7,14 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes that are worth a core of their own when they are text to be cut up.
+SPLIT_BYTES = 32 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table over all cores: a file of one row group is one task, however many cores wait. Tables of SPLIT_BYTES a core and more stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= cores * SPLIT_BYTES:
+        return df
+    return df.repartition(cores)
+
+
 class Tables:
-    """The tables of a folder, as attributes."""
+    """The tables of a folder, as attributes. Texts are spread."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(table) if name == "documents" else table
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -10,19 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 
-def load_records(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """By suffix. JSON is a list of records, or an object whose `examples` is one; CSV columns are all strings."""
+def load_records(spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = True) -> DataFrame:
+    """By suffix. JSON is a list of records, or an object whose `examples` is one, whatever stands beside it; CSV columns are all strings, quoted
+    as RFC 4180 has it, and empty ones are empty texts. With multiline their fields may hold line feeds, but a file is then one task. A line of JSON Lines or a file of JSON that cannot be parsed stops the read."""
     suffix = path.rstrip("/").rpartition(".")[2].lower()
     reader = spark.read.schema(schema) if schema else spark.read
     if suffix == "jsonl":
-        return reader.json(path)
+        return reader.option("mode", "FAILFAST").json(path)
     if suffix == "json":
-        df = reader.option("multiLine", True).json(path)
-        if df.columns == ["examples"] and isinstance(df.schema["examples"].dataType, ArrayType):
-            return df.select(F.explode("examples").alias("r")).select("r.*")
-        return df
+        whole = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+        found = whole.json(path).schema
+        if "examples" not in found.names or not isinstance(found["examples"].dataType, ArrayType):
+            return (whole.schema(schema) if schema else whole).json(path)
+        if schema:
+            record = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+            whole = whole.schema(StructType().add("examples", ArrayType(record)))
+        return whole.json(path).select(F.explode("examples").alias("r")).select("r.*")
     if suffix == "csv":
-        return reader.option("header", True).csv(path)
+        df = reader.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline).option("emptyValue", "").csv(path)
+        return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if kind == "string" else F.col(f"`{c}`") for c, kind in df.dtypes])
     if suffix in ("parquet", "pq"):
         return reader.parquet(path)
     raise ValueError(f"no reader for .{suffix} files: {path}")
