@@ -154,3 +154,17 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame(rows, "id string, text string, arrived string").coalesce(1).write.json(str(tmp_path / "in"))
     run_once(clean_stream(spark, str(tmp_path / "in"), schema), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_plans_of_runs(spark):
+    """The two measured runs, one without figures of its own, and one on an unknown device."""
+    base = dict(params_b=0.49, precision="4bit", rows=2000, tokens_per_row=None, length=1024, batch=4, accumulation=4, epochs=1, max_steps=0, checkpointing=True, done=0, cases=30, new_tokens=512, device="NVIDIA Tesla T4")
+    runs = [base, {**base, "params_b": 4.02, "rows": 1520, "length": 2048, "batch": 1, "accumulation": 16, "done": 30}, {**base, "rows": None, "max_steps": 7, "done": 9}, {**base, "device": "other"}, {**base, "length": 4096}]
+    names = list(base)
+    kinds = "params_b double, precision string, rows long, tokens_per_row double, length long, batch long, accumulation long, epochs long, max_steps long, checkpointing boolean, done long, cases long, new_tokens long, device string"
+    a, b, c, d, e = cost.estimate(spark.createDataFrame([tuple(r[n] for n in names) for r in runs], kinds).coalesce(1)).collect()
+    assert (a.rows, a.steps, a.tokens_per_row, a.done_steps) == (2000, 125, 820, 0) and abs(a.train_minutes - 2 * 0.49e9 * 125 * 16 * 820 * 3 / 5.2e12 / 60) < 1e-9 and a.fits
+    assert (b.steps, b.done_steps, b.tokens_per_row) == (95, 30, 558) and abs(b.remaining_minutes / b.train_minutes - 65 / 95) < 1e-12 and abs(b.vram_gb - 9.18) < 0.01
+    assert (c.rows, c.steps, c.done_steps, c.remaining_minutes) == (2000, 7, 7, 0)
+    assert d.train_minutes is None and d.fits is None and d.steps == 125 and d.vram_gb == a.vram_gb
+    assert e.fits is False and e.tokens_per_row == 552
