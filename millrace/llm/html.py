@@ -2,7 +2,9 @@
 
 A tolerant parser makes the page a tree. Elements that never hold an article (scripts, styles, forms, menus, page
 headers and footers, sidebars), and elements whose class, id or role says notice, advert, menu, comment or the like,
-go first. A class of several words, such as alert-box, removes no element that holds half of the page's text or more. For every node left, with C characters, T tags, LC link characters and LT link tags, the composite density is
+go first. A class of several words, such as alert-box, and a form remove no element that holds half of the page's text or more; one that
+names comments does, unless the page's title or main element is in it. Inside an article (by its name, or a class such as post), classes of
+paragraphs and headings remove nothing. For every node left, with C characters, T tags, LC link characters and LT link tags, the composite density is
 
     C / T * log(C * T / (LC * LT)) to the base of (C * LC / (C - LC) + LC_body * C / C_body + e)
 
@@ -36,43 +38,59 @@ SCOPES = frozenset("table ul ol dl div article section main body html td th sele
 UNWANTED = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup login share sharing social related recommended recommendations popup modal overlay comment comments respond disqus reply replies pagination pager toolbar skip copyright".split()
 )
-STATES = frozenset("has with no without is js open of for and".split())  # classes with one of them tell of a page's state, or are phrases
+STATES = frozenset("has with no without is js open of for and hoc".split())  # classes with one of them tell of a page's state, or are phrases
+COMMENTS = frozenset("comment comments respond disqus reply replies".split())
+POSTS = frozenset("post entry article story hentry".split())  # a class of just one of them is an article's
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre em strong b i code cite q".split())  # in an article, their classes say how text looks
 ARTICLES = frozenset("article main section".split())
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-MARK = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+#: One attribute with its value; values are taken whole, so what stands in them is no attribute.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s\"'>]+))?")
 WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "score", "gone", "doubtful")
+    __slots__ = ("name", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "score", "gone", "doubtful", "post", "titled")
 
-    def __init__(self, name: str, parent: "Node | None", gone: bool, doubtful: bool = False):
+    def __init__(self, name: str, parent: "Node | None", gone: bool, doubtful: int = 0):
         self.name, self.parent, self.gone, self.doubtful = name, parent, gone, doubtful
+        self.post = parent is not None and parent.post or name in ARTICLES  #: whether it is in an article, by name or class
+        self.titled = False
         self.items: list = []  # texts and nodes, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.score = 0.0
 
 
-GONE, DOUBTFUL, STAYS = 2, 1, 0
+GONE, TALK, DOUBTFUL, STAYS = 3, 2, 1, 0
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> int:
+def _unwanted(name: str, attributes: dict[str, str], in_article: bool) -> int:
+    if name == "form":
+        return DOUBTFUL  # some sites wrap their pages in one
     if name in NO_TEXT or name == "header" and not in_article:
         return GONE
     if not attributes or name in ("html", "body", "article", "main"):
         return STAYS
     out = STAYS
-    for key, value in MARK.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
+    for key, value in attributes.items():
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in UNWANTED_ROLES:
             return GONE
-        if key in ("class", "id"):
+        if key in ("class", "id") and not (in_article and name in RUNNING):
             for token in value.split():
                 words = WORDS.findall(token)
                 if not STATES.intersection(words) and any(w in UNWANTED or w == "header" and not in_article for w in words):
-                    out = max(out, GONE if len(words) == 1 else DOUBTFUL)
+                    out = max(out, GONE if len(words) == 1 else TALK if COMMENTS.intersection(words) else DOUBTFUL)
+    return out
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a tag that tell what it is, in lower case; of a repeated one the first."""
+    out: dict[str, str] = {}
+    for key, value in ATTRIBUTE.findall(text):
+        if (key := key.lower()) in ("class", "id", "role", "hidden", "aria-hidden"):
+            out.setdefault(key, value.strip("\"'").lower())
     return out
 
 
@@ -114,8 +132,11 @@ def parse(page: str) -> Node:
         if name == "html" or name == "body" and opened.get("body"):
             continue
         here = stack[-1]
-        says = _unwanted(name, found[3] or "", any(opened.get(n) for n in ARTICLES))
-        node = Node(name, here, here.gone or says == GONE, says == DOUBTFUL)
+        attributes = _attributes(found[3]) if found[3] else {}
+        says = _unwanted(name, attributes, here.post)
+        node = Node(name, here, here.gone or says == GONE, 0 if says == GONE else says)
+        node.post = node.post or not POSTS.isdisjoint(attributes.get("class", "").split())
+        node.titled = name in ("h1", "main")
         here.items.append(node)
         if name in VOID or (found[3] or "").endswith("/") and name in ("svg", "path"):
             continue
@@ -129,15 +150,16 @@ def parse(page: str) -> Node:
 
 
 def settle(root: Node) -> None:
-    """Removes doubtful elements, but for those that hold half of the page's text or more."""
+    """Removes doubtful elements, but for those that hold half of the page's text or more; comments go whatever they hold, unless a page's title or main element is in them."""
     nodes = _order(root)
     for node in reversed(nodes):
         node.chars += sum(len(" ".join(x.split())) for x in node.items if isinstance(x, str))
         if node.parent is not None:
             node.parent.chars += node.chars
+            node.parent.titled |= node.titled
     most = root.chars / 2
     for node in nodes:
-        node.gone = node.gone or node.doubtful and node.chars < most
+        node.gone = node.gone or node.doubtful == TALK and not node.titled or node.doubtful == DOUBTFUL and node.chars < most
         node.chars = 0
 
 
