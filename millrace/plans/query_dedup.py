@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import guard
 from ..operators import similarity as S
 from ..operators.dedup import exact_dedup
 from .query_text import GRAMS, NORM, WORDS
@@ -118,15 +119,25 @@ def planted(t: Tables):
     return t.documents.select(F.col("doc_id").alias("id"), "text").union(b.where(kind < 3).select(moved, text.alias("text")))
 
 
-@query(
-    f"""WITH {PLANTED} SELECT id, CASE WHEN text IN (SELECT text FROM benchmark) THEN 'content' ELSE 'question' END AS reason FROM tr
+OVERLAP = f"""WITH {PLANTED} SELECT id, CASE WHEN text IN (SELECT text FROM benchmark) THEN 'content' ELSE 'question' END AS reason FROM tr
 WHERE text IN (SELECT text FROM benchmark) OR {QUESTION('text')} IN (SELECT {QUESTION('text')} FROM benchmark)"""
-)
-def decon_exact_overlap(t: Tables):
+
+
+def overlap_sides(t: Tables):
     question = F.array(T.strip(T.normalize(F.col("text")), " .?!"))
     train = planted(t).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("id"), F.sha2("text", 256).alias("content"), question.alias("questions"))
-    evaluation = t.benchmark.select(F.concat(F.lit("e"), F.col("item_id").cast("string")).alias("id"), F.sha2("text", 256).alias("content"), question.alias("questions"))
-    return S.eval_overlap(train, evaluation).select(F.substring("id", 2, 20).cast("bigint").alias("id"), "reason")
+    return train, t.benchmark.select(F.concat(F.lit("e"), F.col("item_id").cast("string")).alias("id"), F.sha2("text", 256).alias("content"), question.alias("questions"))
+
+
+@query(OVERLAP)
+def decon_exact_overlap(t: Tables):
+    return S.eval_overlap(*overlap_sides(t)).select(F.substring("id", 2, 20).cast("bigint").alias("id"), "reason")
+
+
+@query(OVERLAP)
+def decon_guard(t: Tables):
+    """The same, with a Bloom filter of the cases in the scan of the training rows."""
+    return guard.overlap(*overlap_sides(t)).select(F.substring("id", 2, 20).cast("bigint").alias("id"), "reason")
 
 
 NEAR = f"""WITH {PLANTED}, a AS (SELECT id, unnest(list_distinct({GRAMS('w', 3)})) AS g FROM (SELECT id, {WORDS(NORM('text'))} AS w FROM tr) WHERE len(w) > 2),

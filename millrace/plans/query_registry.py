@@ -1,10 +1,10 @@
-"""Queries of the dataset source, the registry's log, and its fold as a stream."""
+"""Queries of the dataset source, the registry's log, its fold as a stream, and evaluation from a cache."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import registry
+from ..operators import incremental, registry
 from ..operators.lineage import new_folder, shared
 from ..sources.plugin import read_dataset
 from ..streaming.ordered import ordered_stream
@@ -99,3 +99,24 @@ def stream_registry(t: Tables):
     stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     done = spark.read.schema(stream.schema).parquet(f"{folder}/out")
     return shared(done.select(F.col("key").cast("long").alias("key"), "id", "status", "verdict", "state"))
+
+
+@query("SELECT item_id, CASE WHEN item_id % 2 = 0 THEN contains(text, CASE WHEN item_id % 5 = 0 THEN 'e' ELSE 'a' END) ELSE false END AS passed, item_id % 5 = 0 AS fresh FROM benchmark")
+def eval_incremental(t: Tables):
+    """Benchmark items as cases, scored once; then with every fifth case changed, which alone is scored again."""
+    folder = new_folder(t.spark, "evaluations") + "/cache"
+    k, changed = F.col("item_id"), F.col("item_id") % 5 == 0
+
+    def cases(expected):
+        kind = F.when(k % 2 == 0, "contains").otherwise("exact")
+        return t.benchmark.select(k.cast("string").alias("id"), F.col("text").alias("prompt"), kind.alias("scoring"), F.when(k % 2 == 0, expected).otherwise("no such text").alias("expected"))
+
+    def answer(rows):
+        return rows.select("id", F.col("prompt").alias("output"))
+
+    incremental.evaluate(cases(F.lit("a")), answer, {"model": "reference"}, folder)
+    # an odd case expects the same text in both, so its prompt changes
+    longer = F.when(F.col("id").cast("long") % 5 == 0, F.concat("prompt", F.lit(" "))).otherwise(F.col("prompt"))
+    second = cases(F.when(changed, "e").otherwise("a")).withColumn("prompt", longer)
+    done = incremental.evaluate(second, answer, {"model": "reference"}, folder)
+    return done.results.select(F.col("id").cast("long").alias("item_id"), "passed", "fresh")
