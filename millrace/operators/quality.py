@@ -89,7 +89,7 @@ def repetition_reason(text: Column, config: QualityConfig = QualityConfig()) ->
 
 def first_turn_reason(messages: Column, config: QualityConfig = QualityConfig()) -> Column:
     """Of the first turn that repeats itself."""
-    return F.filter(F.transform(messages, lambda m: repetition_reason(m["content"], config)), lambda r: r.isNotNull())[0]
+    return F.get(F.filter(F.transform(messages, lambda m: repetition_reason(m["content"], config)), lambda r: r.isNotNull()), F.lit(0))
 
 
 def corpus_reason(text: Column) -> Column:
