@@ -68,8 +68,7 @@ def near_duplicates(df: DataFrame, config: quality.QualityConfig) -> DataFrame:
     """id, partner: rows that go for an earlier one that stays. Rows of the same words are compared as one, by the first of them; rows without words are alike."""
     every = shared(similarity.classes(df, "id", S.whole(df)))
     first = df.join(every.where("id = rep").select("id"), "id", "left_semi")
-    pairs = similarity.similar_pairs(similarity.shingle_sets(first, "id", S.whole(first), config.shingle_words), None, config.threshold)
-    gone = similarity.keep_first(pairs).where("partner is not null").withColumnRenamed("id", "rep")
+    gone = similarity.near_first(similarity.shingle_sets(first, "id", S.whole(first), config.shingle_words), config.threshold).withColumnRenamed("id", "rep")
     return every.join(gone, "rep", "left").where("partner is not null or id <> rep").select("id", F.coalesce("partner", "rep").alias("partner"))
 
 

@@ -71,7 +71,7 @@ SELECT d.doc_id, coalesce(x.partner, c.id) AS near_duplicate_of FROM d JOIN c ON
 )
 def neardup_removed(t: Tables):
     """Greedy keep-first: copies go for the smallest id of their class, or with it for the document that it goes for."""
-    fate = S.keep_first(S.similar_pairs(rep_sets(t), None, 0.8))
+    fate = S.near_first(rep_sets(t), 0.8)
     every = S.classes(t.documents, "doc_id", F.col("text"))
     gone = every.join(fate.withColumnRenamed("id", "rep"), "rep", "left")
     return gone.where("partner is not null or id <> rep").select(F.col("id").alias("doc_id"), F.coalesce("partner", "rep").alias("near_duplicate_of"))
