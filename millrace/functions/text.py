@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-from itertools import permutations
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,55 +30,42 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE, " "))
 
 
-def _compositions() -> dict[str, str]:
-    """Every way to write a letter below U+2000 with combining marks, and the one character that it is."""
-    out = {}
-    for code in range(0xC0, 0x2000):
-        letter = chr(code)
-        base, *marks = unicodedata.normalize("NFD", letter)
-        if not marks or unicodedata.normalize("NFC", letter) != letter:
-            continue
-        for order in permutations(marks):
-            for taken in range(len(order)):
-                written = unicodedata.normalize("NFC", base + "".join(order[:taken])) + "".join(order[taken:])
-                if written != letter and unicodedata.normalize("NFC", written) == letter:
-                    out[written] = letter
-    return dict(sorted(out.items(), key=lambda x: (-len(x[0]), x[0])))
+#: Characters that are in NFC next to any others of these, and that lower case and ß to ss fold whole (a test holds it against the Unicode tables).
+PLAIN = "\u0000-\u00b4\u00b6-\u012f\u0131-\u0148\u014a-\u017e\u0180-\u01ef\u01f1-\u02ff\u0400-\u0482\u048a-\u052f\u1ea0-\u1eff\u2010-\u2027\u2030-\u205e\u20a0-\u20bf\u2190-\u21cc\u2500-\u27bf\u3001-\u3020\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3"
+_BEYOND = f"[^{PLAIN}]"
 
 
-def _foldings() -> dict[str, str]:
-    """Letters below U+2000 that case folding changes beyond lower case."""
-    return {c: c.casefold() for c in map(chr, range(0x80, 0x2000)) if c.casefold() != c.lower() and c == c.lower()}
+def _plain_fold(c: Column) -> Column:
+    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
 
 
-COMPOSED, FOLDED = _compositions(), _foldings()
+def _compose(c: Column) -> Column:
+    return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
 
 
-def _replaced(c: Column, table: dict[str, str]) -> Column:
-    """c with every key of the table replaced by its value, one key after the other. The table is one literal, so that plans stay small."""
-    pairs = F.split(F.lit("\t".join(f"{a} {b}" for a, b in table.items())), "\t")
-    return F.aggregate(pairs, c, lambda text, p: F.replace(text, F.substring_index(p, " ", 1), F.substring_index(p, " ", -1)))
+def _fold_case(c: Column) -> Column:
+    return F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), c, F.lit(True))
 
 
 def nfc(c: Column) -> Column:
-    """Letters with combining marks as single characters, in the scripts below U+2000. A text without such marks costs one scan."""
-    return F.when(c.rlike("[\u0300-\u036f]"), _replaced(c, COMPOSED)).otherwise(c)
-
+    """Canonical composition, for every script, by the Unicode library that Spark itself uses and ships.
 
-def fold(c: Column) -> Column:
-    """Case folding: lower case, and the few letters that folding changes further, which a short class of ranges finds."""
-    low = F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
-    return let(low, lambda t: F.when(t.rlike("[\u00b5\u0149\u017f\u01f0\u0345-\u03f5\u0587\u13a0-\u1e9f\u1f00-\u1fff]"), _replaced(t, FOLDED)).otherwise(t))
+    A text of PLAIN characters costs one scan. Spark takes every call by reflection for one that may give another result
+    the next time, so nfc(), fold() and what is built on them belong in a select, not inside an aggregate or a join's
+    condition.
+    """
+    return F.when(c.rlike(_BEYOND), _compose(c)).otherwise(c)
 
 
-#: What nfc() or fold() look at beyond lower case and ß, in either case of letter.
-_BEYOND = "[\u00b5\u0130\u0149\u017f\u01f0\u0300-\u03f5\u0587\u13a0-\u1e9f\u1f00-\u1fff\u2126\u212a\u212b]"
+def fold(c: Column) -> Column:
+    """Full case folding, for every script; see nfc()."""
+    return F.when(c.rlike(_BEYOND), _fold_case(c)).otherwise(_plain_fold(c))
 
 
 def normalize(c: Column) -> Column:
-    """NFC, folded, white space collapsed, trimmed; null is the empty text. One scan of the text as it is tells whether lower case is all that folding takes."""
+    """NFC, folded, white space collapsed, trimmed; null is the empty text. One scan of the text as it is tells whether lower case is all that folding takes. See nfc() for where it may stand."""
     text = F.coalesce(c, F.lit(""))
-    return F.when(text.rlike(_BEYOND), collapse(fold(nfc(text)))).otherwise(collapse(F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))))
+    return F.when(text.rlike(_BEYOND), collapse(_fold_case(_compose(text)))).otherwise(collapse(_plain_fold(text)))
 
 
 def strip(c: Column, chars: str) -> Column:

@@ -96,8 +96,8 @@ QUESTION = lambda x: f"regexp_replace(regexp_replace({NORM(x)}, '^[ .?!]+', ''),
 
 @query(f"SELECT conv_id, list_sort(list_distinct(list_filter(list({QUESTION('text')}), lambda q: q <> ''))) AS questions FROM conversations WHERE role = 'user' GROUP BY conv_id")
 def decon_questions(t: Tables):
-    q = T.strip(T.normalize(F.col("text")), " .?!")
-    return t.conversations.where("role = 'user'").groupBy("conv_id").agg(F.array_sort(F.filter(F.collect_set(q), lambda x: x != "")).alias("questions"))
+    asked = t.conversations.where("role = 'user'").select("conv_id", T.strip(T.normalize(F.col("text")), " .?!").alias("q"))
+    return asked.groupBy("conv_id").agg(F.array_sort(F.filter(F.collect_set("q"), lambda x: x != "")).alias("questions"))
 
 
 @query("SELECT item_id, text AS prompt, CASE WHEN item_id % 3 = 0 THEN 'A' WHEN item_id % 3 = 1 THEN 'B' ELSE '' END AS answer FROM benchmark")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.functions.python import arithmetic, compiles, first_json_object, nfc_fold
+from millrace.functions.python import arithmetic, compiles, first_json_object
 from millrace.operators import cost, formats, mixing, quality, scoring, similarity, validation
 from millrace.operators.dedup import exact_dedup
 from millrace.operators.synthetic import tool_call_rows
@@ -64,7 +64,6 @@ def test_python_functions(spark):
     assert [r.r.value for r in rows.select(arithmetic("t").alias("r")).collect()] == ["7", None, None, None]
     assert [r.r for r in rows.select(compiles("t").alias("r")).collect()] == [True, True, True, True]
     assert spark.createDataFrame([("x <think>{\"a\":1}</think> ```json\n{\"b\": 2}\n```",)], "t string").select(first_json_object("t")).first()[0] == '{"b": 2}'
-    assert spark.createDataFrame([("É ẞ",)], "t string").select(nfc_fold("t")).first()[0] == "é ss"
 
 
 def test_messages_and_formats(spark):
