@@ -1,10 +1,10 @@
-"""Plans of training runs, one for each order: the cost model over a table."""
+"""Plans of training runs, one for each order, and generated tool calls, one for each customer."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cost
+from ..operators import cost, synthetic
 from .registry import Tables, query
 
 # What an order stands for, as SQL that both engines read: sizes, batches and lengths by its numbers.
@@ -43,3 +43,36 @@ def est_runs(t: Tables):
     runs = t.orders.select("o_orderkey", *[F.expr(sql).alias(name) for name, sql in RUN.items()])
     figures = [F.round(c, 6).alias(c) for c in ("train_minutes", "remaining_minutes", "eval_minutes", "vram_gb")]
     return cost.estimate(runs).select("o_orderkey", "rows", "steps", "done_steps", *figures, "gpu_memory_gb", "fits")
+
+
+def _sql_of(text: str) -> str:
+    """SQL for a form's text, whose places are x, y and their product."""
+    values = ("x", "y", "x * y")
+    out = "'" + text.replace("'", "''") + "'"
+    for i, value in enumerate(values):
+        out = f"replace({out}, '{{{i}}}', ({value})::VARCHAR)"
+    return out
+
+
+def _call_sql() -> str:
+    """Every form as rows of a table of its own, then one lookup for each position."""
+    forms = [(kind, k, len(all_), *slots, shape, asked) for kind, all_ in synthetic.FORMS.items() for k, (slots, shape, asked) in enumerate(all_)]
+    table = ", ".join(f"('{kind}', {k}, {n}, '{one}', '{two}')" for kind, k, n, one, two, *_ in forms)
+    case = lambda of: "CASE " + " ".join(f"WHEN kind = '{f[0]}' AND k = {f[1]} THEN {of(f)}" for f in forms) + " END"
+    pools = " UNION ALL ".join(f"SELECT '{name}' AS pool, list(v ORDER BY v) AS l FROM range({a}, {b + 1}) r(v) WHERE v NOT IN (SELECT x FROM banned)" for name, (a, b) in synthetic.POOLS.items())
+    orders = ", ".join(f"'{o}'" for o in synthetic.ORDERS)
+    kinds = ", ".join(f"'{k}'" for k in synthetic.KINDS)
+    named = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in synthetic.ARGUMENT.items())
+    return f"""WITH banned AS (SELECT item_id * 7 AS x FROM benchmark), pools AS ({pools}), forms(kind, k, n, one, two) AS (VALUES {table}),
+p AS (SELECT c_custkey AS position, CASE c_custkey % 2 WHEN 0 THEN 'vi' ELSE 'en' END AS language, ([{kinds}])[c_custkey // 2 % 4 + 1] AS kind, c_custkey // 8 AS turn FROM customer),
+j AS (SELECT p.*, f.k, a.l AS la, b.l AS lb, (turn // f.n * {synthetic.STRIDE} + 17) % (len(a.l) * len(b.l) * {len(synthetic.ORDERS)}) AS spot FROM p JOIN forms f ON f.kind = p.kind AND f.k = turn % f.n JOIN pools a ON a.pool = f.one JOIN pools b ON b.pool = f.two),
+d AS (SELECT *, la[spot % len(la) + 1] AS x, lb[spot // len(la) % len(lb) + 1] AS y, ([{orders}])[spot // (len(la) * len(lb)) + 1] AS tools FROM j),
+t AS (SELECT *, CASE language WHEN 'vi' THEN 'Công cụ: ' || tools || '. ' || {case(lambda f: _sql_of(f[6]['vi']))} ELSE 'Tools: ' || tools || '. ' || {case(lambda f: _sql_of(f[6]['en']))} END AS input, {case(lambda f: _sql_of(f[5]) if f[5] else 'NULL')} AS argument FROM d)
+SELECT position, language, kind, input, CASE kind WHEN 'none' THEN '{{"tool": null, "arguments": {{}}}}' ELSE '{{"tool": "' || kind || '", "arguments": {{"' || CASE kind {named} END || '": "' || argument || '"}}}}' END AS expected_output FROM t"""
+
+
+@query(_call_sql())
+def tool_call_records(t: Tables):
+    """A generated call for each customer, without the numbers that the benchmark's prompts have (each prompt ends in seven times its item_id)."""
+    prompts = t.benchmark.select(F.concat_ws(" ", "text", (F.col("item_id") * 7).cast("string")).alias("prompt"))
+    return synthetic.tool_call_records(t.customer, "c_custkey", synthetic.number_pools(prompts)).select("position", "language", "kind", "input", "expected_output")
