@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..operators import guard
 from ..operators import similarity as S
 from ..operators.dedup import exact_dedup
+from ..operators.lineage import shared
 from .query_text import GRAMS, NORM, WORDS
 from .registry import Tables, query
 
@@ -47,8 +48,9 @@ p AS (SELECT x.id AS a, y.id AS b, count(*) AS common FROM s x JOIN s y ON x.g =
 j AS (SELECT a, b, common, na.n + nb.n - common AS joined FROM p JOIN n na ON na.id = a JOIN n nb ON nb.id = b WHERE common >= 0.8 * (na.n + nb.n - common))"""
 
 
-def rep_sets(t: Tables):
-    reps = S.classes(t.documents, "doc_id", F.col("text")).select(F.col("rep").alias("doc_id")).distinct()
+def rep_sets(t: Tables, classes=None):
+    classes = classes or S.classes(t.documents, "doc_id", F.col("text"))
+    reps = classes.where("id = rep").select(F.col("id").alias("doc_id"))
     return S.shingle_sets(t.documents.join(reps, "doc_id", "left_semi"), "doc_id", F.col("text"))
 
 
@@ -71,8 +73,8 @@ SELECT d.doc_id, coalesce(x.partner, c.id) AS near_duplicate_of FROM d JOIN c ON
 )
 def neardup_removed(t: Tables):
     """Greedy keep-first: copies go for the smallest id of their class, or with it for the document that it goes for."""
-    fate = S.near_first(rep_sets(t), 0.8)
-    every = S.classes(t.documents, "doc_id", F.col("text"))
+    every = shared(S.classes(t.documents, "doc_id", F.col("text")))
+    fate = S.near_first(rep_sets(t, every), 0.8)
     gone = every.join(fate.withColumnRenamed("id", "rep"), "rep", "left")
     return gone.where("partner is not null or id <> rep").select(F.col("id").alias("doc_id"), F.coalesce("partner", "rep").alias("near_duplicate_of"))
 
