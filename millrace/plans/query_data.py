@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.python import arithmetic
-from ..operators import mixing, quality, statistics, validation
+from ..operators import mixing, quality, statistics, synthetic, validation
 from ..operators import records as mapped
 from ..operators.cases import case_errors
-from ..operators.synthetic import tool_call_rows as generate
 from ..sources.readers import SourceSpec, scan
 from .query_text import CONV, ENDS, FLAT, conversations
 from .registry import Tables, query
@@ -200,6 +199,19 @@ def stats_lengths(t: Tables):
     return statistics.upper_median(t.documents.select(F.length("text").cast("bigint").alias("n")))
 
 
+@query("SELECT source, count(*)::BIGINT AS examples, sum(length(text))::BIGINT AS characters, max(length(text))::BIGINT AS longest, count(quality)::BIGINT AS scored, avg(quality)::DOUBLE AS quality, true AS median_holds FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source")
+def stats_builds(t: Tables):
+    """Statistics of each source from the summaries of three builds, and whether their common sketch's median lies where it is promised, counted over all rows."""
+    rows = t.documents.join(t.labels, "doc_id", "left").select("source", "lang", (F.col("doc_id") % 3).alias("build"), F.length("text").alias("n"), "quality")
+    builds = statistics.summary(rows, "build", "source", "lang", length=F.col("n"), score=F.col("quality"))
+    told = statistics.told(statistics.merge(builds, "source"))
+    same = rows.select(F.col("source").alias("s"), "n").join(told.select("source", "median"), F.col("s").eqNullSafe(F.col("source")))
+    ranks = same.groupBy("source").agg(F.count_if(F.col("n") < F.col("median")).alias("below"), F.count_if(F.col("n") <= F.col("median")).alias("upto"), F.count("n").alias("all"))
+    low, high = (F.col("all") * (0.5 + k * statistics.RANK_ERROR) + k for k in (-1, 1))  # and one row, as a middle may lie between two
+    holds = ranks.select(F.col("source").alias("s"), ((F.col("below") <= high) & (F.col("upto") >= low)).alias("median_holds"))
+    return told.join(holds, F.col("source").eqNullSafe(F.col("s"))).select("source", "examples", "characters", "longest", "scored", "quality", "median_holds")
+
+
 MIX = "q AS (SELECT min(n / w) AS total FROM (SELECT lang, count(*)::DOUBLE AS n FROM documents GROUP BY lang) JOIN (VALUES ('en', 0.5), ('fr', 0.3), ('de', 0.2)) v(lang, w) USING (lang))"
 
 
@@ -214,22 +226,41 @@ def mix_sample(t: Tables):
     return mixing.sample(t.documents.select("doc_id", "lang"), "lang", "doc_id", {"en": 0.5, "fr": 0.3, "de": 0.2}, 17).groupBy("lang").agg(F.count("*").alias("n"))
 
 
-@query("SELECT * FROM (VALUES ('code', 1000::BIGINT), ('reasoning', 750), ('chat', 750)) v(preset, rows)")
+SHARES = {"view": 0.4, "click": 0.3, "purchase": 0.3}
+WEIGHED = "(SELECT event_type AS name, w, count(*) AS c FROM events JOIN (VALUES {}) v(event_type, w) USING (event_type) GROUP BY ALL)"
+WEIGHTS = lambda shares: WEIGHED.format(", ".join(f"('{k}', {w}::DOUBLE)" for k, w in shares.items()))
+
+
+def available(t: Tables, shares) -> dict[str, int]:
+    """Rows of each source that the mix names; as many as the mix has names."""
+    found = t.events.where(F.col("event_type").isin(*shares)).groupBy("event_type").count().collect()
+    return dict.fromkeys(shares, 0) | {r.event_type: r["count"] for r in found}
+
+
+def planned(t: Tables, plan):
+    return t.spark.createDataFrame([(r.name, int(r.rows)) for r in plan.itertuples(index=False)], "name string, rows bigint")
+
+
+@query(f"WITH n AS {WEIGHTS(SHARES)} SELECT name, greatest(1, round_even((SELECT floor(min(c / w)) FROM n) * w, 0))::BIGINT AS rows FROM n")
 def mix_counts(t: Tables):
-    plan = mixing.plan_mix({"code": 0.4, "reasoning": 0.3, "chat": 0.3}, {"code": 1000, "reasoning": 1000, "chat": 1000})
-    return t.spark.createDataFrame([(r.name, int(r.rows)) for r in plan.itertuples(index=False)], "preset string, rows bigint")
+    """As many events of each kind as the scarcest one allows."""
+    return planned(t, mixing.plan_mix(SHARES, available(t, SHARES)))
 
 
-@query("SELECT * FROM (VALUES ('a', 900::BIGINT), ('b', 900), ('synthetic', 200)) v(part, rows)")
+@query(f"""WITH n AS {WEIGHTS({"view": 0.25, "click": 0.5, "purchase": 0.25})}, s AS (SELECT sum(c) // 3 AS total, round_even(sum(c) // 3 * 0.1::DOUBLE, 0) AS made FROM n)
+SELECT name, greatest(1, round_even((total - made) * w, 0))::BIGINT AS rows FROM n, s UNION ALL SELECT 'synthetic', made::BIGINT FROM s""")
 def mix_plan(t: Tables):
-    plan = mixing.plan_mix(mixing.parse_mix(["a", "b:1"]), {"a": 2000, "b": 2000}, 2000, 0.1)
-    return t.spark.createDataFrame([(r.name, int(r.rows)) for r in plan.itertuples(index=False)], "part string, rows bigint")
+    """A third of all events, a tenth of it generated."""
+    shares = mixing.parse_mix(["view", "click:2", "purchase"])
+    limits = available(t, shares.index)
+    return planned(t, mixing.plan_mix(shares, limits, sum(limits.values()) // 3, 0.1))
 
 
-@query("SELECT language, kind, 25::BIGINT AS rows, 25::BIGINT AS prompts FROM (VALUES ('vi'), ('en')) l(language), (VALUES ('calculator'), ('read_file'), ('search'), ('none')) k(kind)")
+@query("SELECT CASE c_custkey % 2 WHEN 0 THEN 'vi' ELSE 'en' END AS language, (['calculator', 'read_file', 'search', 'none'])[c_custkey // 2 % 4 + 1] AS kind, count(*)::BIGINT AS rows, count(*)::BIGINT AS prompts FROM customer GROUP BY ALL")
 def tool_call_rows(t: Tables):
-    rows = generate(t.spark, 200, seed=17, banned=(14, 99))
-    return rows.groupBy("language", "kind").agg(F.count("*").alias("rows"), F.countDistinct("prompt").alias("prompts"))
+    """Generated calls of each language and kind, and how many prompts are unlike: all of them."""
+    rows = synthetic.tool_call_records(t.customer, "c_custkey", synthetic.number_pools(t.benchmark, "text"))
+    return rows.groupBy("language", "kind").agg(F.count("*").alias("rows"), F.countDistinct("input").alias("prompts"))
 
 
 @query("SELECT event_id, event_id % 3 <> 0 AS passed FROM events")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import cases, cost, scoring
+from ..operators import agents, cases, cost, scoring
 from .query_text import CONV, NORM, conversations
 from .registry import Tables, query
 
@@ -82,13 +82,6 @@ def eval_compare_rates(t: Tables):
     return scored(t).groupBy("lang").agg(F.bround(100 * (rate(F.col("after")) - rate(F.col("before")))).cast("bigint").alias("points"))
 
 
-@query("SELECT * FROM (VALUES (0::BIGINT, 4::BIGINT, 0.125::DOUBLE, 'uncertain'), (0, 2, 0.5, 'uncertain'), (0, 6, 0.03125, 'real'), (3, 3, 1.0, 'uncertain'), (0, 0, 1.0, 'unchanged')) v(newly_failed, newly_passed, p, verdict)")
-def mcnemar_p(t: Tables):
-    rows = t.spark.createDataFrame([(0, 4), (0, 2), (0, 6), (3, 3), (0, 0)], "newly_failed bigint, newly_passed bigint")
-    p = scoring.mcnemar(F.col("newly_failed"), F.col("newly_passed"))
-    return rows.withColumn("p", p).withColumn("verdict", scoring.verdict(F.col("newly_failed") + F.col("newly_passed"), F.col("p")))
-
-
 RUNS = "SELECT user_id AS id, count(*) FILTER (event_type = 'click') AS clicks, max(value) > 50 AS completed, count(*) % 3 = 0 AS answered FROM events GROUP BY user_id"
 VERDICT = "CASE WHEN NOT completed THEN 'not completed' WHEN NOT answered THEN 'wrong answer' WHEN clicks = 0 THEN 'missing tool' END"
 
@@ -123,6 +116,44 @@ def agent_compare(t: Tables):
     return a.join(b, "id", "full_outer").select("id", change.alias("change"))
 
 
+MORE = "SELECT user_id AS id, count(*) FILTER (event_type = 'click') AS clicks, max(value) > 50 AS completed, (count(*) + 1) % 3 = 0 AS answered, sum(event_id)::DOUBLE AS seconds FROM events GROUP BY user_id"
+
+
+def agent_tasks(t: Tables, shift: int = 0):
+    """A task for each user, and again for users with an even number, whose last one counts."""
+    seconds = t.events.groupBy(F.col("user_id").alias("id")).agg(F.sum("event_id").cast("double").alias("duration_s"))
+    once = verdicts(t, shift).join(seconds, "id").withColumn("position", F.col("id")).withColumn("success", F.col("reason").isNull())
+    early = once.where("id % 2 = 0").withColumn("position", -F.col("id") - 1).withColumn("success", ~F.col("success")).withColumn("duration_s", F.lit(0.0))
+    return once.unionByName(early)
+
+
+@query(f"""WITH a AS (SELECT id, {VERDICT} AS r FROM ({RUNS})), b AS (SELECT id, {VERDICT} AS r, seconds FROM ({MORE}) WHERE completed)
+SELECT a.id, a.r IS NULL AS first_success, a.r AS first_reason, CASE WHEN b.id IS NOT NULL THEN b.r IS NULL END AS second_success, b.r AS second_reason, b.seconds AS second_duration_s,
+CASE WHEN b.id IS NULL THEN 'only in first' WHEN (a.r IS NULL) = (b.r IS NULL) THEN 'same' WHEN b.r IS NULL THEN 'newly passed' ELSE 'newly failed' END AS change FROM a LEFT JOIN b ON a.id = b.id""")
+def agent_task_changes(t: Tables):
+    """Two reports over all users task by task; the second lacks those that were not completed."""
+    second = agent_tasks(t, 1).where(~F.col("reason").eqNullSafe("not completed"))
+    return agents.compare(agent_tasks(t), second).drop("place", "first_duration_s")
+
+
+@query(f"SELECT nation, count(*)::BIGINT AS total, count(*) FILTER (r IS NULL)::BIGINT AS passed, round_even(count(*) FILTER (r IS NULL)::DOUBLE / count(*), 4)::DOUBLE AS success_rate, round_even(sum(seconds) / 60, 1)::DOUBLE AS minutes FROM (SELECT id % 25 AS nation, {VERDICT} AS r, seconds FROM ({MORE})) GROUP BY nation")
+def agent_summaries(t: Tables):
+    """A report for each of 25 groups of users."""
+    once = agent_tasks(t, 1).where("position >= 0")
+    return agents.summarize(once.withColumn("nation", F.col("id") % 25), "nation")
+
+
+ASKS = "CASE o_orderkey % 3 WHEN 0 THEN 'Brand#' || CAST(o_custkey % 40 AS VARCHAR(9)) WHEN 1 THEN 'STANDARD' END"
+
+
+@query(f"WITH c AS (SELECT can, min(p_partkey) AS first FROM (SELECT p_partkey, unnest([p_brand, p_type]) AS can FROM part) GROUP BY can) SELECT o_orderkey, 'model ' || coalesce(first, 0) AS model FROM (SELECT o_orderkey, {ASKS} AS asks FROM orders) LEFT JOIN c ON asks = can")
+def model_route(t: Tables):
+    """For each order the first part whose brand or type it asks for; the first part of all does the rest."""
+    models = t.part.select(F.concat(F.lit("model "), F.col("p_partkey").cast("string")).alias("name"), F.col("p_partkey").alias("place"), F.array("p_brand", "p_type").alias("capabilities"))
+    asked = t.orders.select("o_orderkey", F.expr(ASKS.replace("VARCHAR(9)", "STRING")).alias("capability"))
+    return agents.route(asked, models, default="model 0").select("o_orderkey", "model")
+
+
 PVALUE = "CASE WHEN f + g = 0 THEN 1.0 ELSE least(1.0, 2 * list_sum(list_transform(range(0, least(f, g) + 1), lambda i: exp(lgamma(f + g + 1) - lgamma(i + 1) - lgamma(f + g - i + 1) - (f + g) * ln(2))))) END"
 
 
@@ -137,6 +168,15 @@ def eval_compare(t: Tables):
     return out.select("part", "value", "cases_before", "cases_after", "newly_failed", "newly_passed", F.round("p", 6).alias("p"))
 
 
+@query(f"""WITH n AS (SELECT lang, source, count(*) FILTER (before AND NOT after)::BIGINT AS f, count(*) FILTER (after AND NOT before)::BIGINT AS g FROM ({SCORED}) GROUP BY ALL), p AS (SELECT *, {PVALUE} AS p FROM n)
+SELECT lang, source, f AS newly_failed, g AS newly_passed, round(p, 6)::DOUBLE AS p, CASE WHEN f + g = 0 THEN 'unchanged' WHEN p < 0.05 THEN 'real' ELSE 'uncertain' END AS verdict FROM p""")
+def mcnemar_p(t: Tables):
+    """The exact p of the flips of each language and source."""
+    n = scored(t).groupBy("lang", "source").agg(F.count_if(F.col("before") & ~F.col("after")).alias("newly_failed"), F.count_if(F.col("after") & ~F.col("before")).alias("newly_passed"))
+    p = n.withColumn("p", scoring.mcnemar(F.col("newly_failed"), F.col("newly_passed")))
+    return p.withColumn("verdict", scoring.verdict(F.col("newly_failed") + F.col("newly_passed"), F.col("p"))).withColumn("p", F.round("p", 6))
+
+
 AMOUNT = "'Total: 1.' || lpad((event_id % 1000)::VARCHAR, 3, '0') || ' dong, or ' || event_id || ',5'"
 
 
@@ -188,51 +228,6 @@ def est_padded_tokens(t: Tables):
     return cost.padded_average(tokens(t), "conv_id", "tokens", 4)
 
 
-@query("SELECT * FROM (VALUES ('T4', 15.0::DOUBLE, 5.2::DOUBLE, 190.0::DOUBLE, 0.025::DOUBLE)) v(name, memory_gb, train_tflops, memory_gbps, token_overhead_s)")
-def est_gpu_profile(t: Tables):
-    return cost.gpu_profile(t.spark, "NVIDIA Tesla T4")
-
-
-MODELS = "(VALUES (0.49::DOUBLE), (4.02::DOUBLE), (14.0::DOUBLE)) m(params_b)"
-
-
-def models(t: Tables):
-    return t.spark.createDataFrame([(0.49,), (4.02,), (14.0,)], "params_b double")
-
-
-@query(f"SELECT params_b, 125::BIGINT AS steps, 2 * params_b * 1e9 * (125 * (16 * 820.0::DOUBLE)) * 3 / (5.2 * 1e12) / 60 AS train_minutes, 0.025 + 2 * params_b / 190.0 AS token_seconds FROM {MODELS}")
-def est_training(t: Tables):
-    return models(t).select("params_b", F.lit(cost.training_steps(2000, 4, 4, 1)).cast("bigint").alias("steps"), cost.train_minutes(F.col("params_b"), 125 * (16 * 820.0), 3, 5.2).alias("train_minutes"), cost.token_seconds(F.col("params_b"), 190.0, 0.025).alias("token_seconds"))
-
-
-VRAM = "params_b * bits / 8 + (params_b * bits / 8 * 0.25 + CASE WHEN p = 'bf16' THEN 0.0 ELSE 2.67 * sqrt(params_b) END) * (0.5 + 0.5 * len / 2048.0) + 1"
-PRECISIONS = "(VALUES ('bf16', 16.0::DOUBLE), ('8bit', 8.5), ('4bit', 4.5)) b(p, bits)"
-
-
-@query(f"SELECT params_b, p AS precision, params_b * bits / 8 AS weights_gb, {VRAM.replace('len', '2048.0')} AS training_gb FROM {MODELS}, {PRECISIONS}")
-def vram_table(t: Tables):
-    rows = models(t).select("params_b", F.explode(F.array(*map(F.lit, cost.BITS))).alias("precision"))
-    return rows.select("params_b", "precision", cost.weights_gb(F.col("params_b"), F.col("precision")).alias("weights_gb"), cost.training_gb(F.col("params_b"), F.col("precision"), F.lit(2048)).alias("training_gb"))
-
-
-@query(f"SELECT params_b, budget, coalesce(max(len) FILTER ({VRAM} <= budget), 0)::BIGINT AS longest FROM {MODELS}, (VALUES ('4bit', 4.5::DOUBLE)) b(p, bits), (VALUES (2.0::DOUBLE), (16.0), (192.0)) g(budget), (SELECT 64 * unnest(range(1, 8000)) AS len) GROUP BY params_b, budget")
-def vram_max_len(t: Tables):
-    return models(t).select("params_b", F.explode(F.array(*[F.struct(F.lit(g).alias("budget"), cost.longest(F.col("params_b"), F.lit("4bit"), g).alias("longest")) for g in (2.0, 16.0, 192.0)])).alias("x")).select("params_b", "x.budget", "x.longest")
-
-
-@query("SELECT round(2 * 0.49 * 1e9 * 13104.0 * 125 * 3 / 896.9 / 1e12, 6)::DOUBLE AS tflops")
-def calib_train(t: Tables):
-    """Effective throughput of a measured run."""
-    one = t.spark.createDataFrame([(0.49, 13104.0, 125, 896.9, 3)], "params_b double, tokens_per_step double, steps int, seconds double, passes int")
-    return one.select(F.round(cost.effective_tflops(F.col("params_b"), F.col("tokens_per_step"), F.col("steps"), F.col("passes"), F.col("seconds")), 6).alias("tflops"))
-
-
-@query("SELECT avg(d / (c / 3.4) - 2 * 0.49::DOUBLE / 190.0) AS overhead, bool_and(l) AS reliable FROM (VALUES (132.0::DOUBLE, 10000.0::DOUBLE, true), (156.0, 9000.0, false)) v(d, c, l)")
-def calib_eval(t: Tables):
-    rows = t.spark.createDataFrame([(132.0, 10000.0, True), (156.0, 9000.0, False)], "d double, c double, l boolean")
-    return rows.agg(F.avg(cost.implied_overhead(F.col("d"), F.col("c"), F.lit(0.49), 190.0)).alias("overhead"), F.bool_and("l").alias("reliable"))
-
-
 @query("SELECT doc_id, least(1.0, 0.35 + CASE WHEN quality = 1 THEN 0.25 ELSE 0 END + CASE WHEN toxic = 0 THEN 0.25 ELSE 0 END + CASE WHEN doc_id % 4 = 0 THEN 0.1 ELSE 0 END + 0.05)::DECIMAL(4, 2)::DOUBLE AS score FROM documents LEFT JOIN labels USING (doc_id)")
 def quality_score(t: Tables):
     d = t.documents.join(t.labels, "doc_id", "left")
