@@ -202,7 +202,8 @@ def stats_lengths(t: Tables):
 @query("SELECT source, count(*)::BIGINT AS examples, sum(length(text))::BIGINT AS characters, max(length(text))::BIGINT AS longest, count(quality)::BIGINT AS scored, avg(quality)::DOUBLE AS quality, true AS median_holds FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source")
 def stats_builds(t: Tables):
     """Statistics of each source from the summaries of three builds, and whether their common sketch's median lies where it is promised, counted over all rows."""
-    rows = t.documents.join(t.labels, "doc_id", "left").select("source", "lang", (F.col("doc_id") % 3).alias("build"), F.length("text").alias("n"), "quality")
+    lengths = t.documents.select("doc_id", "source", "lang", F.length("text").alias("n"))  # before the join, so that it moves no texts
+    rows = lengths.join(t.labels, "doc_id", "left").select("source", "lang", (F.col("doc_id") % 3).alias("build"), "n", "quality")
     builds = statistics.summary(rows, "build", "source", "lang", length=F.col("n"), score=F.col("quality"))
     told = statistics.told(statistics.merge(builds, "source"))
     same = rows.select(F.col("source").alias("s"), "n").join(told.select("source", "median"), F.col("s").eqNullSafe(F.col("source")))
