@@ -12,11 +12,11 @@ SPLIT_BYTES = 32 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small table over all cores: a file of one row group is one task, however many cores wait. Tables of SPLIT_BYTES a core and more stay as they are, without a shuffle."""
+    """A small table over all cores: a file of one row group is one task, however many cores wait. Tables of SPLIT_BYTES a core and more, or of as many files as cores, stay as they are, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= cores * SPLIT_BYTES:
         return df
-    return df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 class Tables:
