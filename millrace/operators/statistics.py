@@ -36,10 +36,7 @@ def declared_language(df: DataFrame) -> Column:
 
 
 def turns(df: DataFrame) -> Column:
-    for c in ("context", "reasoning"):
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    return formats.sft_messages(F.col("messages") if "messages" in df.columns else None)
+    return formats.sft_messages(F.col("messages") if "messages" in df.columns else None, df.columns)
 
 
 def upper_median(lengths: DataFrame) -> DataFrame:

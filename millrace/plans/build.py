@@ -52,8 +52,14 @@ def quality_reasons(df: DataFrame, config: quality.QualityConfig) -> dict[str, C
     return {name: every[name]() for name in FILTERS if getattr(config, name)}
 
 
-def annotate(records: DataFrame, config: quality.QualityConfig | None = None, position: str = "id") -> DataFrame:
-    """records with errors, duplicate_of, quality_filter and quality_reason: what validation, exact dedup and the filters of single rows hold against a row, null or empty for nothing."""
+def annotate(records: DataFrame, config: quality.QualityConfig | None = None, position: str | None = None) -> DataFrame:
+    """records with errors, duplicate_of, quality_filter and quality_reason: what validation, exact dedup and the filters of single rows hold against a row, null or empty for nothing.
+
+    Of rows that share an id, the first by position stays sound; without a column for it, by their place in the frame.
+    """
+    if position is None:
+        placed = shared(records.withColumn("_place", F.monotonically_increasing_id()))  # as a table, so that places do not change
+        return annotate(placed, config, "_place").drop("_place")
     df = records.withColumn("errors", validation.errors(records))
     df = validation.with_duplicate_ids(df, "id", position)
     good = exact_dedup(df.where(F.size("errors") == 0).withColumn("_hash", content_hash(df)), "id", "_hash").drop("_hash")
