@@ -84,26 +84,45 @@ def number_pools(prompts: DataFrame, column: str = "prompt") -> DataFrame:
     return found.select(*[F.array_except(F.sequence(F.lit(a), F.lit(b)).cast("array<bigint>"), F.col("banned")).alias(name) for name, (a, b) in POOLS.items()])
 
 
-def tool_call_records(positions: DataFrame, position: str, pools: DataFrame, seed: int = 17, version: str = "1") -> DataFrame:
+def tool_call_records(positions: DataFrame, position: str, pools: DataFrame, seed: int = 17, version: str = "1", beyond: str = "error") -> DataFrame:
     """A record for each row of positions, whose column `position` holds distinct whole numbers from 0, with numbers from pools (number_pools).
 
     Language, kind and form take turns by position. Numbers and the order in which tools are named come from a counter: its
     multiples of a prime, moved by the seed, are read as digits of the pools and of the orders. So each record follows from
-    its position alone, whatever the partitions, and no two prompts are equal until every combination of a form is used;
-    a position beyond that, a negative one, or an empty pool stops the query. Null positions give no record.
+    its position alone, whatever the partitions, and no two prompts are equal until every combination of a form is used.
+    A position beyond that stops the query, unless `beyond` is "again", where the form begins anew, or "other", where the
+    first form of the kind takes it with a combination of its upper half, which its own turns then leave alone, so that
+    prompts stay unlike. A negative position or an empty pool stops the query. Null positions give no record.
     """
+    if beyond not in ("error", "again", "other"):
+        raise ValueError(f"beyond is error, again or other, not {beyond}")
     none_left = F.raise_error(F.lit("no combination is left for this position"))
     number = F.col(position).cast("bigint")
     rows = positions.where(F.col(position).isNotNull()).select(F.when(number < 0, none_left).otherwise(number).cast("bigint").alias("position")).crossJoin(F.broadcast(pools))  # pools: one row
     pick = lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at + 1).cast("int"))
     turn = F.floor(F.col("position") / 8)
     rows = rows.withColumn("language", pick(("vi", "en"), F.col("position") % 2)).withColumn("kind", pick(KINDS, F.floor(F.col("position") / 2) % 4))
+    combinations = lambda slots: F.size(slots[0]).cast("bigint") * F.size(slots[1]) * len(ORDERS)
+
+    def with_spare(forms, form, step):
+        """Form and step where the first form takes what the others have no combination for."""
+        half = F.floor(combinations(forms[0][0]) / 2)
+        to, at = F.when((form == 0) & (step >= half), none_left.cast("bigint")).otherwise(form), step
+        for k, (slots, *_) in list(enumerate(forms))[1:]:
+            over = step - combinations(slots)
+            spent = (form == k) & (over >= 0)
+            to, at = F.when(spent, F.lit(0)).otherwise(to), F.when(spent, half + over * (len(forms) - 1) + (k - 1)).otherwise(at)
+        return to, at
+
     prompt = argument = None
     for kind, forms in FORMS.items():
         for k, (slots, shape, asked) in enumerate(forms):
             first, second = (F.col(slot) for slot in slots)
-            count, step = F.size(first).cast("bigint") * F.size(second) * len(ORDERS), F.floor(turn / len(forms))
-            at = F.when(step >= count, none_left).otherwise((step * STRIDE + F.lit(seed)) % count).cast("bigint")
+            count, form, step = combinations(slots), turn % len(forms), F.floor(turn / len(forms))
+            if beyond == "other" and len(forms) > 1:
+                form, step = with_spare(forms, form, step)
+            gone = count == 0 if beyond == "again" else step >= count
+            at = F.when(gone, none_left).otherwise((step * STRIDE + F.lit(seed)) % count).cast("bigint")
             x = F.element_at(first, (at % F.size(first) + 1).cast("int"))
             y = F.element_at(second, (F.floor(at / F.size(first)) % F.size(second) + 1).cast("int"))
             tools = pick(ORDERS, F.floor(at / (F.size(first) * F.size(second))))
@@ -114,7 +133,7 @@ def tool_call_records(positions: DataFrame, position: str, pools: DataFrame, see
                     out = F.replace(out, F.lit(f"{{{i}}}"), value.cast("string")) if f"{{{i}}}" in text else out
                 return out
 
-            mine = (F.col("kind") == kind) & (turn % len(forms) == k)
+            mine = (F.col("kind") == kind) & (form == k)
             words = F.when(F.col("language") == "vi", F.concat(F.lit("Công cụ: "), tools, F.lit(". "), filled(asked["vi"]))).otherwise(F.concat(F.lit("Tools: "), tools, F.lit(". "), filled(asked["en"])))
             prompt = F.when(mine, words) if prompt is None else prompt.when(mine, words)
             if shape:

@@ -163,6 +163,6 @@ SELECT position, language, kind, input, CASE kind WHEN 'none' THEN '{{"tool": nu
 
 @query(_call_sql())
 def tool_call_records(t: Tables):
-    """A generated call for each customer, without the numbers that the benchmark's prompts have (each prompt ends in seven times its item_id)."""
+    """A generated call for each customer, without the numbers that the benchmark's prompts have (each prompt ends in seven times its item_id). Where customers outnumber a form's combinations it begins anew."""
     prompts = t.benchmark.select(F.concat_ws(" ", "text", (F.col("item_id") * 7).cast("string")).alias("prompt"))
-    return synthetic.tool_call_records(t.customer, "c_custkey", synthetic.number_pools(prompts)).select("position", "language", "kind", "input", "expected_output")
+    return synthetic.tool_call_records(t.customer, "c_custkey", synthetic.number_pools(prompts), beyond="again").select("position", "language", "kind", "input", "expected_output")

@@ -58,3 +58,18 @@ def test_every_combination_once_then_an_error(spark, pools):
     with pytest.raises(Exception, match="no combination is left"):
         synthetic.tool_call_records(spark.range(8), "id", few.withColumn("n", F.array().cast("array<bigint>"))).collect()
     assert synthetic.tool_call_records(spark.createDataFrame([(None,)], "id long"), "id", few).count() == 0
+
+
+def test_more_positions_than_combinations(spark, pools):
+    few = pools.select(F.sequence(F.lit(13), F.lit(24)).cast("array<bigint>").alias("n"), F.array(F.lit(2)).cast("array<bigint>").alias("small"), F.array(F.lit(11), F.lit(12)).cast("array<bigint>").alias("quotient"))
+    calls = spark.range(8 * 4 * 100).where("floor(id / 2) % 4 = 0")  # a quotient has 12 combinations for 100 turns
+    other = synthetic.tool_call_records(calls, "id", few, beyond="other")
+    assert other.count() == other.select("language", "input").distinct().count() == 800
+    again = {r.position: r.input for r in synthetic.tool_call_records(calls, "id", few, beyond="again").collect()}
+    once = {r.position: r.input for r in synthetic.tool_call_records(calls.where("id < 8 * 4 * 12"), "id", few).collect()}
+    assert len(again) == 800 and once.items() <= again.items()
+    assert all(again[p] == again[p - 8 * 4 * 12] for p in again if p >= 8 * 4 * 12 and p // 8 % 4 == 3)
+    with pytest.raises(Exception, match="no combination is left"):  # the first form has 864, of which its own turns may take 432
+        synthetic.tool_call_records(spark.range(1).select(F.lit(8 * 4 * 432).alias("id")), "id", few, beyond="other").collect()
+    with pytest.raises(Exception, match="no combination is left"):
+        synthetic.tool_call_records(calls, "id", few.withColumn("n", F.array().cast("array<bigint>")), beyond="again").collect()
