@@ -15,7 +15,7 @@ def large(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["validate_defaults", "validate_too_large"])
+@pytest.mark.parametrize("name", ["validate_errors", "validate_defaults", "validate_too_large"])
 def test_records_over_the_limit(spark, large, name):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{large}/documents.parquet/*.parquet')")
