@@ -77,14 +77,13 @@ def length_reason(prompt: Column, answer: Column, config: QualityConfig = Qualit
 
 
 def repetition_reason(text: Column, config: QualityConfig = QualityConfig()) -> Column:
-    text = T.prose(text)
-    return T.let(
-        T.words(T.normalize(text)),
-        lambda w: F.when(T.longest_word_run(w) > config.max_word_run, "word run")
+    by_words = lambda text, w: (
+        F.when(T.longest_word_run(w) > config.max_word_run, "word run")
         .when(F.size(w) < config.min_words, F.lit(None).cast("string"))
         .when(T.duplicate_sentence_share(text) > config.max_duplicate_sentence_ratio, "sentences")
-        .when(T.repeated_share(T.ngrams(w, config.ngram_words)) > config.max_duplicate_ngram_ratio, "n-grams"),
+        .when(T.repeated_share(T.ngrams(w, config.ngram_words)) > config.max_duplicate_ngram_ratio, "n-grams")
     )
+    return T.let(T.prose(text), lambda text: T.let(T.words(T.normalize(text)), lambda w: by_words(text, w)))
 
 
 def first_turn_reason(messages: Column, config: QualityConfig = QualityConfig()) -> Column:
