@@ -14,12 +14,16 @@ clean texts those count that can come near a telling landmark; a bound on the st
 one table lookup for each triple, finds them (ToxicConfig.near).
 A text's score is a logistic function of its highest word value, fitted on labelled texts kept out of the machine.
 
+The driver gets the distinct words of the labelled sample, which tasks cut from the texts. Rows of the Nyström map are
+made block by block; HELD blocks are kept, and made anew beyond that, so what they take does not grow with the words.
+
 Null and empty texts, and texts without letters, get the least score. Without labels of both
 kinds every score is 0. Repeated rows are scored each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -35,6 +39,9 @@ from .letters import SYMBOLS, bounded_sample, held_out, stream
 REACH = 4
 PAIRS = [(i, j) for j in range(2, REACH + 1) for i in range(1, j)]
 TRIPLES = SYMBOLS**3
+#: Words whose rows of the Nyström map are made at once, and how many such blocks are kept between the steps of a fit.
+BLOCK = 4096
+HELD = 16
 
 
 @dataclass(frozen=True)
@@ -218,15 +225,30 @@ def landmarks(words: list[bytes], decay: float) -> Landmarks:
     return Landmarks(len(words), np.searchsorted(what[order], np.arange(TRIPLES + 1)), who[order], weight[order])
 
 
-def _machine(parts: list[tuple[np.ndarray, int, float]]) -> np.ndarray:
-    """Linear support vector machine with squared hinge loss, by Newton steps. parts: rows, whose last column is 1, with their label and weight; they are added up block by block."""
-    size = parts[0][0].shape[1]
+class Mapped:
+    """Rows of the Nyström map of words, whose last column is 1, in blocks; the first `held` blocks are kept, the others made anew each time."""
+
+    def __init__(self, row: Callable[[list[bytes]], np.ndarray], words: list[bytes], held: int = 0):
+        self.row, self.words, self.held, self.kept = row, words, held, {}
+
+    def blocks(self) -> Iterator[np.ndarray]:
+        for k, low in enumerate(range(0, len(self.words), BLOCK)):
+            block = self.kept[k] if k in self.kept else self.row(self.words[low : low + BLOCK])
+            if k < self.held:
+                self.kept[k] = block
+            yield block
+
+    def values(self, w: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(block @ w for block in self.blocks())])
+
+
+def _machine(parts: list[tuple[Mapped, int, float]], size: int) -> np.ndarray:
+    """Linear support vector machine with squared hinge loss, by Newton steps. parts: rows of so many columns with their label and weight; they are added up block by block."""
     w = np.zeros(size)
     for _ in range(20):
         left, right = np.eye(size), np.zeros(size)
         for x, label, weight in parts:
-            for low in range(0, len(x), 4096):
-                block = x[low : low + 4096]
+            for block in x.blocks():
                 block = block[label * (block @ w) < 1].astype(np.float64)
                 left += weight * (block.T @ block)
                 right += weight * label * block.sum(axis=0)
@@ -237,16 +259,23 @@ def _machine(parts: list[tuple[np.ndarray, int, float]]) -> np.ndarray:
     return w
 
 
+def distinct_words(raw: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """For each text its words of three symbols and more, each once, as symbols with a 0 between them."""
+    symbols, first = stream(raw, at, digits=True)
+    return [b"\0".join(dict.fromkeys(w for w in symbols[i:j].tobytes().split(b"\0") if len(w) >= 3)) for i, j in zip(first, first[1:])]
+
+
 def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> ToxicModel:
+    return learn([w for text in texts for w in distinct_words(*V.buffers(pa.array([text], pa.large_string())))], labels, config)
+
+
+def learn(texts: list[bytes], labels: list[int], config: ToxicConfig) -> ToxicModel:
+    """texts: the distinct_words() of each."""
     y = np.array(labels)
     if not len(y) or y.min() == y.max():
         return _no_model(config)
     number: dict[bytes, int] = {}
-    owned: list[np.ndarray] = []
-    for text in texts:
-        raw = np.frombuffer((text or "").encode(), np.uint8)
-        symbols, _ = stream(raw, np.array([0, len(raw)]), digits=True)
-        owned.append(np.array(sorted({number.setdefault(w, len(number)) for w in symbols.tobytes().split(b"\0") if len(w) >= 3}), np.int64))
+    owned = [np.array(sorted({number.setdefault(w, len(number)) for w in text.split(b"\0") if w}), np.int64) for text in texts]
     words = list(number)
     # near copies count once: of texts whose long words have the same least hash and label the first stays
     long = np.array([len(w) >= 6 for w in words], bool)
@@ -284,13 +313,16 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
         if len(begin):
             gate.least = min(gate.least, float(gate.bound(copies, begin, end).min()) - 1e-4)
     # only words that may come near a telling landmark count from here on
-    symbols = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
-    near = gate.near(symbols, *word_places(symbols))
+    near = [np.zeros(0, np.int64)]
+    for low in range(0, len(words), BLOCK):
+        symbols = np.frombuffer(b"\0".join(words[low : low + BLOCK]) + b"\0", np.uint8)
+        near.append(low + gate.near(symbols, *word_places(symbols)))
+    near = np.concatenate(near)
     place = np.full(len(words), -1)
     place[near] = np.arange(len(near))
     clean = np.flatnonzero(in_clean[near] > 0)
     nearest = [words[near[i]] for i in clean]
-    close = np.concatenate([np.zeros(0), *(table.kernel(nearest[low : low + 4096], config.decay).max(axis=1, initial=0) for low in range(0, len(nearest), 4096))])
+    close = np.concatenate([np.zeros(0), *(table.kernel(nearest[low : low + BLOCK], config.decay).max(axis=1, initial=0) for low in range(0, len(nearest), BLOCK))])
     marks += [words[near[i]] for i in clean[np.argsort(-close, kind="stable")[: config.clean]] if words[near[i]] not in set(marks)]
     table = landmarks(marks, config.decay)
     level, axes = np.linalg.eigh(gaussian(table.kernel(marks, config.decay), config.gamma))
@@ -303,11 +335,12 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
             out[low : low + 1024, :-1] = gaussian(table.kernel(some[low : low + 1024], config.decay), config.gamma) @ white
         return out
 
-    x = mapped([words[i] for i in near])
-    x_clean = x[clean]
+    # the rounds need the values of words of toxic texts alone, the machine the rows of words of clean texts
+    ours = np.flatnonzero(in_toxic[near] > 0)
+    x_toxic, x_clean = Mapped(mapped, [words[i] for i in near[ours]], HELD), Mapped(mapped, nearest, HELD)
     toxic = [own for mine, label in zip(owned, y) if label and len(own := place[mine][place[mine] >= 0])]
     sure = np.flatnonzero(certain[near])
-    value, w = pull[near], np.zeros(x.shape[1])
+    value, size = pull[near], white.shape[1] + 1
     for _ in range(config.rounds):
         plus = np.array([own[np.argmax(value[own])] for own in toxic], np.int64)
         plus = np.concatenate([plus[in_clean[near[plus]] == 0], sure]).astype(np.int64)
@@ -315,13 +348,16 @@ def train(texts: list[str | None], labels: list[int], config: ToxicConfig) -> To
         more = max(1, len(plus) // max(1, len(apart)))  # they weigh as much as the plain words
         ups, downs = len(plus) + more * len(apart), len(clean)
         unit = config.cost * (ups + downs) / 100  # both labels weigh alike
-        w = _machine([(x[plus], 1, unit / max(1, ups)), (mapped(apart), 1, unit * more / max(1, ups)), (x_clean, -1, unit / max(1, downs))])
-        value = x @ w
+        x_apart = Mapped(mapped, apart, HELD)
+        w = _machine([(Mapped(mapped, [words[i] for i in near[plus]], HELD), 1, unit / max(1, ups)), (x_apart, 1, unit * more / max(1, ups)), (x_clean, -1, unit / max(1, downs))], size)
+        value[ours] = x_toxic.values(w)
+    del x_toxic, x_clean
+    value = Mapped(mapped, [words[i] for i in near]).values(w)
     model = ToxicModel(config, table, white @ w[:-1], float(w[-1]), 0.0, 1.0, 0.0)
     model.floor = float(min(w[-1], value.min(initial=0.0), -1.0))
     # one toxic word is enough: the logistic function parts the toxic words, plain and gapped, from the highest words of clean texts
     low = np.array([value[place[mine][place[mine] >= 0]].max(initial=model.floor) for mine in [mine for mine, label in zip(apart_texts, apart_y) if not label]])
-    high = np.concatenate([value[np.unique(plus)], mapped(apart) @ w])
+    high = np.concatenate([value[np.unique(plus)], x_apart.values(w)])
     low = np.repeat(low, -(-20 * len(high) // max(1, len(low))))  # clean texts are far more than toxic words
     model.slope, model.shift = _logistic(np.concatenate([low, high]), np.concatenate([np.zeros(len(low), int), np.ones(len(high), int)]))
     return model
@@ -349,8 +385,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, config: ToxicConfig = Toxic
     told = bounded_sample(told, "toxic", config.each, config.seed)
     rows = docs.select("doc_id", "text").join(F.broadcast(told), "doc_id")  # the sample is bounded by the config
     rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # of rows that repeat an id, one
-    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(config.seed)), "doc_id").toPandas()
-    return train(list(rows["text"]), [int(v) for v in rows["toxic"]], config)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch, raw, at in V.chunks(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(distinct_words(raw, at), pa.binary())], names=["doc_id", "toxic", "words"])
+
+    words = rows.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(run, f"doc_id {kind}, toxic int, words binary")
+    words = words.orderBy(F.xxhash64("doc_id", F.lit(config.seed)), "doc_id").select("toxic", "words").collect()
+    return learn([bytes(r.words) for r in words], [r.toxic for r in words], config)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, config: ToxicConfig = ToxicConfig()) -> DataFrame:
