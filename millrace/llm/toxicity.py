@@ -18,7 +18,7 @@ The driver gets the distinct words of the labelled sample, which tasks cut from
 made block by block; HELD blocks are kept, and made anew beyond that, so what they take does not grow with the words.
 
 Null and empty texts, and texts without letters, get the least score. Without labels of both
-kinds every score is 0. Repeated rows are scored each.
+kinds, or without a word of three letters in labelled texts, every score is 0. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -277,6 +277,8 @@ def learn(texts: list[bytes], labels: list[int], config: ToxicConfig) -> ToxicMo
     number: dict[bytes, int] = {}
     owned = [np.array(sorted({number.setdefault(w, len(number)) for w in text.split(b"\0") if w}), np.int64) for text in texts]
     words = list(number)
+    if not words:
+        return _no_model(config)
     # near copies count once: of texts whose long words have the same least hash and label the first stays
     long = np.array([len(w) >= 6 for w in words], bool)
     rank = V.mix(np.arange(len(words), dtype=V.U64))

@@ -46,3 +46,9 @@ def test_the_driver_gets_distinct_words(spark, monkeypatch, text):
     toxicity.fit_toxicity(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic")))
     assert len(got) > 10 and {y for _, y in got} == {0, 1}
     assert {t for t, _ in got} == {b"" if text is None else b"\0".join(bytes(ord(c) - 96 for c in w) for w in ("zogrik", "the"))}
+
+
+def test_labelled_texts_without_words(spark):
+    docs = spark.createDataFrame([(i, [None, "", "a b", "1!"][i % 4]) for i in range(40)], "doc_id long, text string")
+    got = toxicity.toxicity(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))).collect()
+    assert sorted(x.doc_id for x in got) == list(range(40)) and all(x.score < 1e-9 and x.predicted == 0 for x in got)
